@@ -18,12 +18,12 @@ from salesflow.operators._common import By, by_list, group
 
 # Fixed values from the reference: error messages of the two rule sets
 # and the named health checks.
-MSG_NULLS = "Valeurs nulles : {}"
+MSG_NULLS = "Valeurs nulles : %s"
 MSG_EMPTY = "DataFrame vide"
-MSG_NEGATIVE_COUNT = "Montants négatifs : {}"
+MSG_NEGATIVE_COUNT = "Montants négatifs : %s"
 MSG_NEGATIVE = "Montants négatifs ou nuls"
-MSG_UNKNOWN = "Vendeurs inconnus : {}"
-MSG_VOLUME = "Volume insuffisant : {} < {}"
+MSG_UNKNOWN = "Vendeurs inconnus : %s"
+MSG_VOLUME = "Volume insuffisant : %s < %s"
 CHECK_NAMES = ("pas_de_nulls", "montants_positifs", "volume_ok", "vendeurs_valides")
 
 
