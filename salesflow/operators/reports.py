@@ -102,3 +102,13 @@ def region_daily_attainment(sales: DataFrame, objectifs: DataFrame) -> DataFrame
                     ca.cast("double").alias("ca_region"),
                     F.coalesce(F.col("nb_ventes"), F.lit(0)).alias("nb_ventes"),
                     attainment(ca, F.col("objectif_region").cast(MONEY), 1).alias("atteinte_pct"))
+
+
+def share_of_total(df: DataFrame, key: str, amount: str = "montant", scale: int = 1) -> DataFrame:
+    """per ``key`` the summed amount and its share (%) of the grand
+    total; the total is a window over the grouped rows."""
+    t = df.groupBy(key).agg(F.sum(F.col(amount).cast(MONEY)).alias("_ca"))
+    total = F.sum("_ca").over(Window.partitionBy())
+    return t.select(key, F.col("_ca").cast("double").alias("ca"),
+                    ratio(F.col("_ca"), total, scale=scale, factor=100, half_even=False)
+                    .alias("part_pct"))

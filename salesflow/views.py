@@ -121,3 +121,37 @@ ventes_brutes AS (
 
 VENDEURS_VALIDES_SQL = """
 vendeurs_valides AS (SELECT s_name AS vendeur FROM supplier WHERE s_acctbal >= 0)"""
+
+
+def customer_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customer + nation + region: (c_custkey, region)."""
+    geo = (table(spark, sf_dir, "nation")
+           .join(F.broadcast(table(spark, sf_dir, "region")),
+                 F.col("n_regionkey") == F.col("r_regionkey"))
+           .select("n_nationkey", F.col("r_name").alias("region")))
+    return (table(spark, sf_dir, "customer")
+            .join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"))
+            .select("c_custkey", "region"))
+
+
+def objectifs_regions(spark: SparkSession, sf_dir: str, share: str = "0.2") -> DataFrame:
+    """Daily region targets (date, region, objectif_region, source): a
+    ``share`` of the value of the orders placed that day by the region's
+    customers.  A (date, region) can have a target and no sales."""
+    from decimal import Decimal
+    o = table(spark, sf_dir, "orders").select(
+        day_key("o_orderdate").alias("date"), "o_custkey",
+        F.col("o_totalprice").cast(MONEY).alias("tp"))
+    j = o.join(customer_regions(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
+    return j.groupBy("date", "region").agg(
+        (F.sum("tp") * F.lit(Decimal(share))).cast(MONEY).alias("objectif_region")) \
+        .withColumn("source", F.lit("SOURCE_SECONDAIRE"))
+
+
+OBJECTIFS_SQL = """
+objectifs AS (
+  SELECT strftime(o.o_orderdate, '%Y-%m-%d') AS date, r.r_name AS region,
+         CAST(sum(CAST(o.o_totalprice AS DECIMAL(18,2))) * 0.2 AS DECIMAL(18,2)) AS objectif_region
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+  JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
+  GROUP BY 1, 2)"""
