@@ -1 +1,119 @@
-"""placeholder"""
+"""File sources.  Each query writes driver-derived data to a
+fresh folder under the shared checkpoint dir, reads it back with the
+source operator and returns what was read."""
+
+from pyspark.sql import functions as F
+
+from salesflow.functions.text import code_key
+from salesflow.registry import register
+from salesflow.registry._sql import W, WB
+from salesflow.registry.q_consolidate import region_files
+from salesflow.session import scratch_path, unique_table
+from salesflow.sinks.files import write_csv
+from salesflow.sinks.tables import ensure_table, replace_days
+from salesflow.sources import config_df, read_available, read_csv, read_json_records, read_many
+from salesflow.sources import scan
+from salesflow.views import table, ventes, ventes_brutes
+
+RAW_SCHEMA = ("date string, produit string, vendeur string, montant decimal(18,2), "
+              "remise double, l_orderkey bigint, l_linenumber int")
+REGION_SCHEMA = "date string, region string, ca_region decimal(18,2), nb_ventes bigint, source string"
+VENTES_DDL = ("date string, produit string, categorie string, vendeur string, region string, "
+              "quantite int, montant decimal(18,2), l_orderkey bigint, l_linenumber int")
+
+
+def _raw_cols(df):
+    return df.select("date", "produit", "vendeur", "montant", "remise", "l_orderkey", "l_linenumber")
+
+
+@register("a1_read_csv", WB + """
+SELECT date, produit, vendeur, CAST(montant AS DOUBLE) AS montant, remise, l_orderkey, l_linenumber
+FROM ventes_brutes""")
+def a1_read_csv(spark, sf_dir):
+    """Raw sales exported as CSV with missing values written as ``NA``;
+    the reader maps NA tokens back to null."""
+    path = scratch_path(spark, "a1")
+    _raw_cols(ventes_brutes(spark, sf_dir)).write.option("header", True) \
+        .option("nullValue", "NA").csv(path)
+    df = read_csv(spark, path, RAW_SCHEMA)
+    return df.withColumn("montant", F.col("montant").cast("double"))
+
+
+def write_region_files(spark, sf_dir, folder):
+    """One folder of CSV files per region code (``code=<key>``)."""
+    f = region_files(spark, sf_dir).withColumn("code", code_key("region"))
+    f.write.partitionBy("code").option("header", True).csv(folder)
+    return folder
+
+
+_FILES_SQL = W + """,
+files AS (SELECT date, region, sum(montant) AS ca_region, count(*) AS nb_ventes,
+                 'FICHIER_LOCAL' AS source FROM ventes GROUP BY date, region)"""
+
+
+@register("a2_read_many", _FILES_SQL + """
+SELECT date, region, CAST(ca_region AS DOUBLE) AS ca_region, nb_ventes, source,
+       lower(substr(region, 1, 3)) AS code FROM files""")
+def a2_read_many(spark, sf_dir):
+    folder = write_region_files(spark, sf_dir, scratch_path(spark, "a2"))
+    df = read_many(spark, folder, REGION_SCHEMA, prefix="part-", suffix=".csv")
+    return df.select("date", "region", F.col("ca_region").cast("double").alias("ca_region"),
+                     "nb_ventes", "source",
+                     F.regexp_extract("_file", r"code=([^/]+)/", 1).alias("code"))
+
+
+@register("a3_read_available", _FILES_SQL + """
+SELECT date, region, CAST(ca_region AS DOUBLE) AS ca_region, nb_ventes, source FROM files""")
+def a3_read_available(spark, sf_dir):
+    """A fixed list of region folders, one of which was never delivered."""
+    folder = write_region_files(spark, sf_dir, scratch_path(spark, "a3"))
+    paths = [f"{folder}/code={c}" for c in ("afr", "ame", "asi", "eur", "mid", "xyz")]
+    df = read_available(spark, paths, REGION_SCHEMA)
+    return df.select("date", "region", F.col("ca_region").cast("double").alias("ca_region"),
+                     "nb_ventes", "source")
+
+
+def load_ventes_table(spark, sf_dir, name=None):
+    """ventes -> a date-partitioned warehouse table (B2 + B4 many days)."""
+    name = name or unique_table("ventes")
+    ensure_table(spark, name, VENTES_DDL)
+    v = ventes(spark, sf_dir).select(*[c.split()[0] for c in VENTES_DDL.split(", ")])
+    replace_days(spark, v, name)
+    return name
+
+
+@register("a4_scan", W + """
+SELECT date, l_orderkey, l_linenumber, CAST(montant AS DOUBLE) AS montant, vendeur FROM ventes""")
+def a4_scan(spark, sf_dir):
+    name = load_ventes_table(spark, sf_dir)
+    return scan(spark, name).select("date", "l_orderkey", "l_linenumber",
+                                    F.col("montant").cast("double").alias("montant"), "vendeur")
+
+
+@register("a5_read_json_records", """
+SELECT event_id AS id, user_id AS userId, event_type AS title FROM events""")
+def a5_read_json_records(spark, sf_dir):
+    """Records with extra fields; only id, userId, title are kept."""
+    path = scratch_path(spark, "a5")
+    table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("id"), F.col("user_id").alias("userId"),
+        F.col("event_type").alias("title"), F.col("props").alias("body"), "value").write.json(path)
+    return read_json_records(spark, path, "id bigint, userId bigint, title string, body string",
+                             ["id", "userId", "title"])
+
+
+STAGE_CONFIG = (("view", "extract"), ("click", "transform"), ("purchase", "load"))
+
+
+@register("a8_config", """
+SELECT e.event_id, c.stage, coalesce(CAST(json_extract(e.props, '$.k') AS INTEGER), 0) AS k
+FROM events e JOIN (VALUES ('view', 'extract'), ('click', 'transform'), ('purchase', 'load'))
+     c(event_type, stage) ON e.event_type = c.event_type""")
+def a8_config(spark, sf_dir):
+    """A configuration frame (bounded: its literal rows) broadcast-joined
+    to the events, and JSON settings parsed with defaults."""
+    from salesflow.sources.config import parse_config
+    cfg = config_df(spark, STAGE_CONFIG, "event_type string, stage string")
+    e = table(spark, sf_dir, "events")
+    return e.join(F.broadcast(cfg), "event_type").select(
+        "event_id", "stage", parse_config("props", "k INT", {"k": 0})["k"].alias("k"))

@@ -39,9 +39,29 @@ def _by_name(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
                        .cast(f.dataType).alias(f.name) for f in target.fields])
 
 
+def for_partitioned_write(df: DataFrame, key: str = "date") -> DataFrame:
+    """Group rows by partition value before a partitioned write, so a day
+    becomes few files.  ``rebalance`` (not ``repartition``) lets AQE split
+    a hot day over several tasks and merge small ones."""
+    return df.hint("rebalance", key)
+
+
+def _partition_key(spark: SparkSession, table: str) -> str | None:
+    cols = [c for c in spark.catalog.listColumns(table) if c.isPartition]
+    return cols[0].name if cols else None
+
+
+def _insert(spark: SparkSession, df: DataFrame, table: str, overwrite: bool) -> None:
+    data = _by_name(spark, df, table)
+    key = _partition_key(spark, table)
+    if key:
+        data = for_partitioned_write(data, key)
+    data.write.insertInto(table, overwrite=overwrite)
+
+
 def append_by_name(spark: SparkSession, df: DataFrame, table: str) -> None:
     """Append, matching columns by name."""
-    _by_name(spark, df, table).write.insertInto(table, overwrite=False)
+    _insert(spark, df, table, overwrite=False)
 
 
 def log_events(spark: SparkSession, events: DataFrame, table: str) -> None:
@@ -78,12 +98,11 @@ def replace_days(spark: SparkSession, df: DataFrame, table: str,
     days present in ``df`` and leaves the others.  Days listed in
     ``days`` but absent from ``df`` are cleared too (dynamic overwrite
     alone would keep them), by dropping their partitions."""
-    data = _by_name(spark, df, table)
     conf_key = "spark.sql.sources.partitionOverwriteMode"
     old = spark.conf.get(conf_key, "static")
     spark.conf.set(conf_key, "dynamic")
     try:
-        data.write.insertInto(table, overwrite=True)
+        _insert(spark, df, table, overwrite=True)
     finally:
         spark.conf.set(conf_key, old)
     if days:
@@ -92,10 +111,25 @@ def replace_days(spark: SparkSession, df: DataFrame, table: str,
             spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({key} = '{d}')")
 
 
-def upsert_kpis(spark: SparkSession, kpis: DataFrame, table: str, key: str = "date") -> None:
-    """Keyed upsert, one row per date: dates in ``kpis`` are replaced
-    (dynamic partition overwrite on the date partition), others kept."""
-    replace_days(spark, kpis, table, key=key)
+def upsert_kpis(spark: SparkSession, kpis: DataFrame, table: str,
+                key: str | Sequence[str] = "date") -> None:
+    """Keyed upsert: rows whose key is in ``kpis`` are replaced, the
+    others kept.
+
+    A KPI table holds one row per key (date, or date and region): its
+    size is bounded by the calendar, so it is kept unpartitioned (no
+    file per day).  The merged state (old rows not in ``kpis`` + ``kpis``)
+    is checkpointed to the shared folder, which cuts the read of the
+    table out of the lineage, then written over the table.  Tables
+    partitioned on the key use a dynamic partition overwrite instead.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    part = _partition_key(spark, table)
+    if part is not None and keys == [part]:
+        replace_days(spark, kpis, table, key=part)
+        return
+    merged = upsert_frame(spark.table(table), _by_name(spark, kpis, table), keys)
+    merged.checkpoint(eager=True).write.insertInto(table, overwrite=True)
 
 
 def upsert_frame(old: DataFrame, new: DataFrame, key: str | Sequence[str] = "date") -> DataFrame:
