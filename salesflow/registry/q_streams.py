@@ -1 +1,50 @@
-"""placeholder"""
+"""Streaming queries, checked against batch SQL."""
+
+from pyspark.sql import functions as F
+
+from salesflow.operators import kpis as K
+from salesflow.registry import register
+from salesflow.registry._sql import W
+from salesflow.session import scratch_path, unique_table
+from salesflow.streaming import daily_kpi_stream, event_counts_stream, file_stream, ingest_arrivals
+from salesflow.views import table, ventes
+
+ARRIVAL_SCHEMA = "date string, vendeur string, montant decimal(18,2), l_orderkey bigint"
+
+
+@register("l1_ingest_arrivals", W + """
+SELECT date, CAST(sum(montant) AS DOUBLE) AS ca_total, count(*) AS nb_ventes FROM ventes GROUP BY date""")
+def l1_ingest_arrivals(spark, sf_dir):
+    """Sales files dropped in an inbox are ingested as they arrive (a few
+    files per micro-batch); a second run with the same checkpoint finds
+    nothing new.  The days touched are then rebuilt from what arrived."""
+    inbox = scratch_path(spark, "inbox")
+    ventes(spark, sf_dir).select("date", "vendeur", "montant", "l_orderkey") \
+        .repartition(6).write.option("header", True).csv(inbox)
+    target, ckpt = scratch_path(spark, "arrivals"), scratch_path(spark, "arrivals-ckpt")
+    ingest_arrivals(spark, inbox, ARRIVAL_SCHEMA, target, ckpt, file_glob="*.csv",
+                    max_files_per_trigger=2)
+    got = ingest_arrivals(spark, inbox, ARRIVAL_SCHEMA, target, ckpt, file_glob="*.csv")
+    return K.day_totals(got)
+
+
+def _events_stream(spark, sf_dir):
+    schema = table(spark, sf_dir, "events").schema
+    return file_stream(spark, sf_dir.rstrip("/"), schema, glob="events.parquet")
+
+
+@register("l2_daily_kpi_stream", """
+SELECT strftime(ts, '%Y-%m-%d') AS date, count(*) AS nb_evenements,
+       CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS valeur_totale
+FROM events GROUP BY 1""")
+def l2_daily_kpi_stream(spark, sf_dir):
+    return daily_kpi_stream(spark, _events_stream(spark, sf_dir), unique_table("kpi_stream"),
+                            scratch_path(spark, "l2-ckpt"))
+
+
+@register("l3_event_counts", """
+SELECT strftime(ts, '%Y-%m-%d') AS date, event_type AS type_event, count(*) AS nb
+FROM events GROUP BY 1, 2""")
+def l3_event_counts(spark, sf_dir):
+    return event_counts_stream(spark, _events_stream(spark, sf_dir), unique_table("event_counts"),
+                               scratch_path(spark, "l3-ckpt"))
