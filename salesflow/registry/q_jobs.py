@@ -1 +1,206 @@
-"""placeholder"""
+"""The composite jobs, each returning its last report."""
+
+from pyspark.sql import functions as F
+
+from salesflow.functions.text import code_key
+from salesflow.plans import jobs as J
+from salesflow.registry import register
+from salesflow.registry._sql import (EDGES, MIN_LIGNES, OBJECTIF, W, WB, WV, bucket_sql, snap,
+                                     title_sql, top_sql)
+from salesflow.registry.q_consolidate import API_SQL, api_rows
+from salesflow.registry.q_enrich import SELLER_YEARS_SQL, ROUTE_LIMITS, seller_years
+from salesflow.registry.q_kpis import _G7_SQL, CONSOLIDATED_LIMITS, g6_sql
+from salesflow.registry.q_monitoring import METRICS_SQL, SLA_LIMITS, run_metrics_from_events
+from salesflow.registry.q_reports import REGION_TARGETS, REGION_TARGETS_SQL, _REGION_SQL, _targets
+from salesflow.registry.q_sources import REGION_SCHEMA, write_region_files
+from salesflow.session import scratch_path
+from salesflow.views import table, ventes, ventes_brutes, vendeurs_valides
+
+CODES = ("afr", "ame", "asi", "eur", "mid", "xyz")
+
+
+def _money(df, *cols):
+    return df.withColumns({c: F.col(c).cast("double") for c in cols})
+
+
+@register("n1_simple_etl", W + f"""
+SELECT date, produit, categorie, quantite, CAST(prix AS DOUBLE) AS prix,
+       CAST(montant AS DOUBLE) AS montant, {title_sql('vendeur')} AS vendeur,
+       CAST(round_even(montant * 0.40, 0) AS INTEGER) AS marge, {bucket_sql('montant')} AS taille_vente
+FROM ventes""")
+def n1_simple_etl(spark, sf_dir):
+    raw = ventes(spark, sf_dir).select("date", "produit", "categorie", "quantite", "prix",
+                                       "montant", "vendeur")
+    return _money(J.simple_etl(spark, raw, scratch_path(spark, "n1"), EDGES), "prix", "montant")
+
+
+@register("n2_seller_performance", SELLER_YEARS_SQL + f""",
+r AS (SELECT *, {snap('ca * 100 / objectif', 1)} AS atteinte_obj FROM perf)
+SELECT vendeur, annee, CAST(ca AS DOUBLE) AS ca, CAST(objectif AS DOUBLE) AS objectif, atteinte_obj,
+       CASE WHEN atteinte_obj >= 100 THEN '✓ Atteint' ELSE '✗ Non atteint' END AS statut FROM r""")
+def n2_seller_performance(spark, sf_dir):
+    rep = J.seller_performance_report(spark, seller_years(spark, sf_dir), scratch_path(spark, "n2"))
+    return _money(rep, "ca", "objectif")
+
+
+@register("n3_regional_consolidation", W + """
+SELECT date, CAST(sum(montant) AS DOUBLE) AS ca_total, count(DISTINCT region) AS nb_lignes
+FROM ventes GROUP BY date""")
+def n3_regional_consolidation(spark, sf_dir):
+    folder = write_region_files(spark, sf_dir, scratch_path(spark, "n3"))
+    paths = [f"{folder}/code={c}" for c in CODES]
+    return J.regional_consolidation(spark, paths, REGION_SCHEMA, scratch_path(spark, "n3-out"))
+
+
+@register("n4_warehouse_reports", W + f"""
+SELECT vendeur, count(*) AS nb_ventes, CAST(sum(quantite) AS BIGINT) AS unites_vendues,
+       CAST(round(sum(montant)) AS DOUBLE) AS ca_total,
+       {snap('sum(montant) / count(montant)', 0, even=False)} AS panier_moyen
+FROM ventes GROUP BY vendeur""")
+def n4_warehouse_reports(spark, sf_dir):
+    sales = ventes(spark, sf_dir)
+    _, seller, _ = J.warehouse_reports(spark, sales, None, scratch_path(spark, "n4"))
+    return seller
+
+
+@register("n5_json_ingest", """
+SELECT event_id AS id, user_id AS userId, event_type AS title FROM events ORDER BY id LIMIT 5""")
+def n5_json_ingest(spark, sf_dir):
+    path = scratch_path(spark, "n5")
+    table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("id"), F.col("user_id").alias("userId"),
+        F.col("event_type").alias("title"), F.col("props").alias("body")).write.json(path)
+    return J.json_ingest(spark, path, "id bigint, userId bigint, title string, body string",
+                         ["id", "userId", "title"], scratch_path(spark, "n5-out"))
+
+
+@register("n6_load_guard", W + """
+SELECT date, count(*) AS nb_lignes, true AS ok FROM ventes GROUP BY date""")
+def n6_load_guard(spark, sf_dir):
+    return J.load_guard(spark, ventes(spark, sf_dir), edges=EDGES)
+
+
+RV_SCHEMA = "date string, region string, vendeur string, ca decimal(18,2)"
+
+
+@register("n7_regional_kpis", W + f""",
+rv AS (SELECT date, region, vendeur, sum(montant) AS ca FROM ventes GROUP BY date, region, vendeur)
+SELECT date, CAST(trunc(sum(ca)) AS BIGINT) AS ca_total, count(*) AS nb_vendeurs,
+       CASE WHEN trunc(sum(ca)) > {CONSOLIDATED_LIMITS[0]} THEN 'excellent'
+            WHEN trunc(sum(ca)) > {CONSOLIDATED_LIMITS[1]} THEN 'bon' ELSE 'faible' END AS statut
+FROM rv GROUP BY date""")
+def n7_regional_kpis(spark, sf_dir):
+    folder = scratch_path(spark, "n7")
+    rv = ventes(spark, sf_dir).groupBy("date", "region", "vendeur").agg(F.sum("montant").alias("ca"))
+    rv.withColumn("code", code_key("region")).write.partitionBy("code") \
+        .option("header", True).csv(folder)
+    paths = [f"{folder}/code={c}" for c in CODES]
+    return J.regional_kpis(spark, paths, RV_SCHEMA, limits=CONSOLIDATED_LIMITS)
+
+
+@register("n8_daily_flow", WV + f""",
+bad AS (SELECT DISTINCT date FROM ventes WHERE vendeur NOT IN (SELECT vendeur FROM vendeurs_valides)),
+acc AS (SELECT * FROM ventes WHERE date NOT IN (SELECT date FROM bad)
+        AND date IN (SELECT date FROM ventes GROUP BY date HAVING count(*) >= 5)),
+e AS (SELECT *, round_even(montant * 0.42, 2) AS marge FROM acc)""" + g6_sql("e"))
+def n8_daily_flow(spark, sf_dir):
+    _, hist = J.daily_flow(spark, ventes(spark, sf_dir), vendeurs_valides(spark, sf_dir),
+                           scratch_path(spark, "n8"), min_lignes=5, edges=EDGES)
+    return hist
+
+
+@register("n9_config_run", W + """
+SELECT date, CAST(sum(montant) AS DOUBLE) AS ca_total, count(*) AS nb_lignes,
+       CASE WHEN sum(montant) < 800000 THEN 'ALERTE' ELSE 'RAS' END AS alerte,
+       count(*) >= 10 AS volume_ok
+FROM ventes GROUP BY date""")
+def n9_config_run(spark, sf_dir):
+    return J.config_run(spark, ventes(spark, sf_dir), '{"seuil_ca": 800000}')
+
+
+@register("n10_region_fanout", W + _REGION_SQL.format(keys="date,", targets=REGION_TARGETS_SQL))
+def n10_region_fanout(spark, sf_dir):
+    return J.region_fanout(spark, ventes(spark, sf_dir), _targets(spark, REGION_TARGETS))
+
+
+@register("n11_multi_source", API_SQL + """
+SELECT date, CAST(sum(ca) AS DOUBLE) AS ca_total,
+       CASE WHEN coalesce(sum(ca), 0) = 0 THEN 'N/A'
+            ELSE printf('%.0f', CAST(round_even(sum(ca), 0) AS DOUBLE)) END AS ca_texte
+FROM consolide WHERE dimension = 'vendeur' GROUP BY date""")
+def n11_multi_source(spark, sf_dir):
+    folder = write_region_files(spark, sf_dir, scratch_path(spark, "n11"))
+    return J.multi_source(spark, api_rows(spark, sf_dir), folder, REGION_SCHEMA)
+
+
+@register("n12_monitored_etl", METRICS_SQL + """,
+r AS (SELECT date, duree_totale_s, nb_lignes,
+        CAST(avg(CAST(duree_totale_s AS DECIMAL(18,2))) OVER w AS DECIMAL(28,6)) AS md,
+        CAST(avg(CAST(nb_lignes AS DECIMAL(18,2))) OVER w AS DECIMAL(28,6)) AS mv,
+        count(*) OVER w AS c
+      FROM metrics WINDOW w AS (ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW))
+SELECT date, duree_totale_s, CAST(round(md, 4) AS DOUBLE) AS moyenne_duree_totale_s,
+       c AS nb_jours_historique, c >= 3 AND CAST(duree_totale_s AS DECIMAL(18,2)) > md * 1.5 AS anomalie_perf,
+       CAST(round(mv, 4) AS DOUBLE) AS moyenne_nb_lignes,
+       c >= 2 AND nb_lignes < mv * 0.7 AS baisse_volume
+FROM r""")
+def n12_monitored_etl(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    m = run_metrics_from_events(spark, sf_dir)
+    stages = m.select("date", F.explode(F.array(*[
+        F.struct(F.lit(s).alias("stage"), F.col(f"duree_{s}_s").alias("seconds"))
+        for s in ("extract", "transform", "load")])).alias("x")).select("date", "x.*")
+    sales = e.select(F.date_format("ts", "yyyy-MM-dd").alias("date"),
+                     F.col("value").cast("decimal(18,2)").alias("montant"),
+                     F.col("user_id").cast("string").alias("vendeur"))
+    errors = e.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("date")) \
+        .agg(F.count_if(F.col("event_type") == "error").alias("nb_erreurs"))
+    allowed = e.select(F.col("user_id").cast("string").alias("vendeur")).distinct()
+    _, anomalies, _ = J.monitored_etl(spark, sales, allowed, stages, errors, limits=SLA_LIMITS)
+    return anomalies
+
+
+@register("n13_testable_etl", W + f""",
+t AS (SELECT date, produit, {title_sql('vendeur')} AS vendeur, montant FROM ventes)
+SELECT d.date, CAST(round_even(sum(montant), 2) AS DOUBLE) AS ca_total, count(*) AS nb_ventes,
+       {snap('sum(montant) / count(montant)', 2)} AS panier_moyen,
+       any_value(tp.top_produit) AS top_produit, any_value(tv.top_vendeur) AS top_vendeur
+FROM t d LEFT JOIN {top_sql('t', 'produit')} tp USING (date)
+         LEFT JOIN {top_sql('t', 'vendeur')} tv USING (date)
+GROUP BY d.date""")
+def n13_testable_etl(spark, sf_dir):
+    _, k = J.testable_etl(spark, ventes(spark, sf_dir), vendeurs_valides(spark, sf_dir), EDGES)
+    return k
+
+
+@register("n14_final_etl", _G7_SQL.replace(
+    "e AS (SELECT *, round_even(montant * 0.42, 2) AS marge FROM ventes)",
+    f"""acc AS (SELECT * FROM ventes WHERE date IN
+          (SELECT date FROM ventes GROUP BY date HAVING count(*) >= {MIN_LIGNES})),
+e AS (SELECT *, round_even(montant * 0.42, 2) AS marge FROM acc)""") + "\nSELECT * FROM k")
+def n14_final_etl(spark, sf_dir):
+    raw = ventes(spark, sf_dir).select("date", "produit", "categorie", "vendeur", "region",
+                                       "quantite", "montant")
+    kpis, _ = J.final_etl(spark, raw, OBJECTIF, MIN_LIGNES, EDGES)
+    return kpis
+
+
+@register("n15_day_routing", W + f""",
+d AS (SELECT date, sum(montant) AS ca, count(*) AS n FROM ventes GROUP BY date),
+r AS (SELECT *, CASE WHEN ca >= {ROUTE_LIMITS[0]} THEN 'traitement_gros_volume'
+                     WHEN ca >= {ROUTE_LIMITS[1]} THEN 'traitement_volume_moyen'
+                     ELSE 'traitement_faible_volume' END AS traitement FROM d)
+SELECT traitement, CAST(sum(n) AS BIGINT) AS nb_lignes, count(*) AS nb_jours FROM r GROUP BY traitement""")
+def n15_day_routing(spark, sf_dir):
+    return J.day_routing(spark, ventes(spark, sf_dir), scratch_path(spark, "n15"), ROUTE_LIMITS)
+
+
+@register("n16_file_check", WB + """
+SELECT date, count(*) AS nb_lignes, CAST(sum(montant) AS DOUBLE) AS ca_brut, count(*) > 0 AS is_valid
+FROM ventes_brutes GROUP BY date""")
+def n16_file_check(spark, sf_dir):
+    path = scratch_path(spark, "n16")
+    ventes_brutes(spark, sf_dir).select("date", "produit", "vendeur", "montant", "remise") \
+        .write.option("header", True).csv(path)
+    return J.file_check(spark, path, "date string, produit string, vendeur string, "
+                                     "montant decimal(18,2), remise double")

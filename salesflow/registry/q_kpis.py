@@ -51,16 +51,21 @@ def g5_top_by_sum(spark, sf_dir):
     return K.top_by_sum(v, "produit").join(K.top_by_sum(v, "vendeur"), "date")
 
 
-@register("g6_kpis_sql", W + f""",
-e AS (SELECT *, round_even(montant * 0.42, 2) AS marge FROM ventes)
+def g6_sql(src: str) -> str:
+    """SELECT of the SQL day KPIs over ``src`` (rows with a marge)."""
+    return f"""
 SELECT d.date, CAST(round(sum(montant), 2) AS DOUBLE) AS ca_total,
        CAST(round(sum(marge), 2) AS DOUBLE) AS marge_totale,
        {snap('sum(marge) * 100 / sum(montant)', 1, even=False)} AS taux_marge,
        count(*) AS nb_ventes, any_value(tp.top_produit) AS top_produit,
        any_value(tv.top_vendeur) AS top_vendeur
-FROM e d LEFT JOIN {top_sql('e', 'produit', keep_null=True)} tp USING (date)
-         LEFT JOIN {top_sql('e', 'vendeur', keep_null=True)} tv USING (date)
-GROUP BY d.date""")
+FROM {src} d LEFT JOIN {top_sql(src, 'produit', keep_null=True)} tp USING (date)
+         LEFT JOIN {top_sql(src, 'vendeur', keep_null=True)} tv USING (date)
+GROUP BY d.date"""
+
+
+@register("g6_kpis_sql", W + """,
+e AS (SELECT *, round_even(montant * 0.42, 2) AS marge FROM ventes)""" + g6_sql("e"))
 def g6_kpis_sql(spark, sf_dir):
     return K.kpis_sql(with_margin(ventes(spark, sf_dir)))
 
