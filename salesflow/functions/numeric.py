@@ -25,6 +25,17 @@ def as_money(c: Column | str) -> Column:
     return to_col(c).cast(MONEY)
 
 
+def cents(c: Column | str) -> Column:
+    """Money as a LONG count of cents (exact; sums of longs run in the
+    aggregation fast path, sums of wide decimals go through BigDecimal)."""
+    return (to_col(c).cast(MONEY) * F.lit(100)).cast("long")
+
+
+def from_cents(c: Column | str) -> Column:
+    """A LONG count of cents back to an exact DECIMAL with 2 digits."""
+    return to_col(c).cast("decimal(20,0)") * F.lit(Decimal("0.01"))
+
+
 def round_even(c: Column | str, scale: int = 0) -> Column:
     """pandas / Python rounding (half to even)."""
     return F.bround(to_col(c), scale)

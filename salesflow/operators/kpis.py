@@ -17,13 +17,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesflow.functions.labels import FIXED_STATUS_LIMITS, status_fixed, status_vs_target
-from salesflow.functions.numeric import MONEY, margin, ratio
+from salesflow.functions.numeric import MONEY, cents, from_cents, margin, ratio
 from salesflow.operators._common import By, by_list, group, top_order
 
 
 def day_totals(df: DataFrame, by: By = "date", amount: str = "montant") -> DataFrame:
     """G1: CA sum and row count per date."""
-    return group(df, by).agg(F.sum(F.col(amount).cast(MONEY)).cast("double").alias("ca_total"),
+    return group(df, by).agg(from_cents(F.sum(cents(amount))).cast("double").alias("ca_total"),
                              F.count(F.lit(1)).alias("nb_ventes"))
 
 
@@ -35,7 +35,7 @@ def top_by_sum(df: DataFrame, key: str, value: str = "montant", by: By = "date",
     keeps them as SQL GROUP BY does.  Ties go to the smallest key.
     """
     keys = by_list(by)
-    sums = df.groupBy(*keys, key).agg(F.sum(F.col(value).cast(MONEY)).alias("_s"))
+    sums = df.groupBy(*keys, key).agg(F.sum(cents(value)).alias("_s"))
     if not keep_null:
         sums = sums.where(F.col(key).isNotNull())
     return group(sums, keys).agg(
@@ -43,22 +43,24 @@ def top_by_sum(df: DataFrame, key: str, value: str = "montant", by: By = "date",
 
 
 def _one_pass(df: DataFrame, by: By, tops: Sequence[str], extra: dict[str, Column],
-              keep_null: bool) -> DataFrame:
+              keep_null: bool, money: Sequence[str] = ()) -> DataFrame:
     """Per date: ``ca`` (sum of montant), ``nb`` (rows), the ``extra``
-    sums and ``top_<key>`` for each key, from one GROUPING SETS pass."""
+    sums and ``top_<key>`` for each key, from one GROUPING SETS pass.
+    Money is summed as long cents; ``extra`` sums named in ``money`` are
+    cents too and come back as decimals."""
     keys = by_list(by)
-    amount = F.col("montant").cast(MONEY)
     sets = [keys + [k] for k in tops]
     first = (df.groupingSets(sets, *keys, *tops)
-             .agg(F.sum(amount).alias("_s"),
+             .agg(F.sum(cents("montant")).alias("_s"),
                   F.count(F.lit(1)).alias("_n"),
                   *[e.alias(f"_x_{n}") for n, e in extra.items()],
                   *[F.grouping(k).alias(f"_g_{k}") for k in tops]))
     lead = f"_g_{tops[0]}"
     in_lead = F.col(lead) == 0
-    aggs = [F.sum(F.when(in_lead, F.col("_s"))).alias("ca"),
+    aggs = [from_cents(F.sum(F.when(in_lead, F.col("_s")))).alias("ca"),
             F.sum(F.when(in_lead, F.col("_n"))).alias("nb")]
-    aggs += [F.sum(F.when(in_lead, F.col(f"_x_{n}"))).alias(n) for n in extra]
+    aggs += [(from_cents(F.sum(F.when(in_lead, F.col(f"_x_{n}")))) if n in money
+              else F.sum(F.when(in_lead, F.col(f"_x_{n}")))).alias(n) for n in extra]
     for k in tops:
         member = F.col(f"_g_{k}") == 0
         if not keep_null:
@@ -78,8 +80,8 @@ def kpis_final(df: DataFrame, objectif: float = 50000, by: By = "date") -> DataF
     frame when present, else computed at 0.42.
     """
     m = F.col("marge") if "marge" in df.columns else margin("montant")
-    t = _one_pass(df, by, ["produit", "vendeur"], {"marge": F.sum(m.cast(MONEY))},
-                  keep_null=False)
+    t = _one_pass(df, by, ["produit", "vendeur"], {"marge": F.sum(cents(m))},
+                  keep_null=False, money=["marge"])
     ca = F.bround(F.col("ca"), 2)
     mg = F.bround(F.col("marge"), 2)
     obj = F.lit(objectif).cast(MONEY)
@@ -99,8 +101,8 @@ def kpis_sql(df: DataFrame, by: By = "date") -> DataFrame:
     """Warehouse day KPIs as the SQL report computes them: half-up
     rounding, margin rate from the raw sums, null keys kept for the tops
     (ranked after non-null keys), ties -> smallest key."""
-    t = _one_pass(df, by, ["produit", "vendeur"], {"marge": F.sum(F.col("marge").cast(MONEY))},
-                  keep_null=True)
+    t = _one_pass(df, by, ["produit", "vendeur"], {"marge": F.sum(cents("marge"))},
+                  keep_null=True, money=["marge"])
     return t.select(
         *by_list(by),
         F.round(F.col("ca"), 2).cast("double").alias("ca_total"),
