@@ -79,10 +79,10 @@ def replace_day(spark: SparkSession, df: DataFrame, table: str, ds: str,
     job (checked inside the write, no extra pass).
     """
     cols = [c for c in spark.table(table).columns if c != key]
-    checked = _by_name(spark, df.withColumn(
-        key, F.when(F.col(key) == F.lit(ds), F.col(key))
-               .otherwise(F.raise_error(F.concat(F.lit("row outside the loaded day: "),
-                                                 F.coalesce(F.col(key), F.lit("null")))))), table)
+    on_day = F.when(F.col(key) == F.lit(ds), F.lit(True)).otherwise(
+        F.raise_error(F.concat(F.lit("row outside the loaded day: "),
+                               F.coalesce(F.col(key), F.lit("null")))).cast("boolean"))
+    checked = _by_name(spark, df.where(on_day), table)
     view = f"_replace_day_{uuid.uuid4().hex[:10]}"
     checked.createOrReplaceTempView(view)
     try:

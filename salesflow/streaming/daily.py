@@ -47,8 +47,10 @@ def _utc(spark: SparkSession):
 
 def daily_kpi_stream(spark: SparkSession, stream: DataFrame, table: str, checkpoint: str,
                      ts: str = "ts", value: str = "value", delay: str = "1 day") -> DataFrame:
-    """L2: per UTC day, number of events and Σvalue (2-digit decimals),
-    late rows accepted up to ``delay`` after the day."""
+    """L2: per UTC day, number of events and Σvalue (2-digit decimals).
+    Rows arriving up to ``delay`` behind the latest event time seen are
+    guaranteed to count; later rows may be dropped (Spark's watermark
+    contract), which is what bounds the state."""
     old = _utc(spark)
     try:
         ensure_table(spark, table, "date string, nb_evenements bigint, valeur_totale double",
