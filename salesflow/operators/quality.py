@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesflow.operators._common import By, by_list, group
+from salesflow.operators._common import By, by_list, group, with_one_row
 
 # Fixed values from the reference: error messages of the two rule sets
 # and the named health checks.
@@ -102,7 +102,11 @@ def validate_testable(df: DataFrame, allowed: DataFrame | None, by: By = "date",
         F.count_if(F.col(amount) <= 0).alias("nb_neg"))
     if allowed is not None:
         unk = unknown_values(df, allowed, col, keys)
-        stats = stats.join(unk, keys, "left") if keys else stats.crossJoin(unk)
+        # without keys both sides are single-row aggregates (a global
+        # aggregate yields one row even on empty input)
+        stats = stats.join(unk, keys, "left") if keys else with_one_row(
+            stats, unk.agg(F.max("nb_inconnus").alias("nb_inconnus"),
+                           F.max("inconnus").alias("inconnus")))
     else:
         stats = stats.withColumn("nb_inconnus", F.lit(None).cast("bigint")) \
                      .withColumn("inconnus", F.lit(None).cast("array<string>"))

@@ -3,12 +3,12 @@ of total, ratio-of-sums attainment, history, region attainment."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesflow.functions.labels import status2, status_region
 from salesflow.functions.numeric import MONEY, attainment, ratio
-from salesflow.operators._common import By, by_list, group
+from salesflow.operators._common import By, by_list, group, with_one_row
 
 
 def report_by_seller(df: DataFrame, by: By = None) -> DataFrame:
@@ -28,17 +28,27 @@ def report_by_seller(df: DataFrame, by: By = None) -> DataFrame:
 
 def report_by_category(df: DataFrame, by: By = None) -> DataFrame:
     """Per category ROUND(SUM) and its share (%, 1 digit) of the
-    grand total over all rows.  The grand total is a window over the
-    grouped rows (one row per category), not a second scan."""
+    grand total over all rows (computed from the grouped rows, not by a
+    second scan of the sales)."""
     keys = by_list(by)
-    t = df.groupBy(*keys, "categorie").agg(F.sum(F.col("montant").cast(MONEY)).alias("_ca"))
-    total = F.sum("_ca").over(Window.partitionBy(*keys)) if keys else \
-        F.sum("_ca").over(Window.partitionBy())
+    t = _with_total(df.groupBy(*keys, "categorie").agg(
+        F.sum(F.col("montant").cast(MONEY)).alias("_ca")), keys)
     return t.select(*keys, "categorie", F.round("_ca", 0).cast("double").alias("ca_total"),
-                    ratio(F.col("_ca"), total, scale=1, factor=100, half_even=False)
+                    ratio(F.col("_ca"), F.col("_tot"), scale=1, factor=100, half_even=False)
                     .alias("part_pct")).orderBy(F.desc("ca_total"), "categorie")
 
 
+def _with_total(grouped: DataFrame, keys: list[str]) -> DataFrame:
+    """Attach ``_tot`` = Σ``_ca`` over the grouped rows (per ``keys``).
+
+    The total is an aggregate of the grouped rows (Spark reuses their
+    shuffle), joined back: a one-row broadcast for the grand total, an
+    equi-join on ``keys`` otherwise.  No window moves the grouped rows
+    into one partition, so any number of groups works."""
+    tot = grouped.groupBy(*keys).agg(F.sum("_ca").alias("_tot"))
+    return grouped.join(tot, keys) if keys else with_one_row(grouped, tot)
+
+
 def seller_performance(perf: DataFrame) -> DataFrame:
     """N2 core: per row ``atteinte_obj = round(ca/objectif*100, 1)`` and
     the two-way status on the rounded value (C5 + C7)."""
@@ -106,9 +116,8 @@ def region_daily_attainment(sales: DataFrame, objectifs: DataFrame) -> DataFrame
 
 def share_of_total(df: DataFrame, key: str, amount: str = "montant", scale: int = 1) -> DataFrame:
     """per ``key`` the summed amount and its share (%) of the grand
-    total; the total is a window over the grouped rows."""
-    t = df.groupBy(key).agg(F.sum(F.col(amount).cast(MONEY)).alias("_ca"))
-    total = F.sum("_ca").over(Window.partitionBy())
+    total."""
+    t = _with_total(df.groupBy(key).agg(F.sum(F.col(amount).cast(MONEY)).alias("_ca")), [])
     return t.select(key, F.col("_ca").cast("double").alias("ca"),
-                    ratio(F.col("_ca"), total, scale=scale, factor=100, half_even=False)
+                    ratio(F.col("_ca"), F.col("_tot"), scale=scale, factor=100, half_even=False)
                     .alias("part_pct"))

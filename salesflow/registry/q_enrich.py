@@ -185,11 +185,11 @@ def c13_head(spark, sf_dir):
 SELECT date, l_orderkey, l_linenumber, CAST(montant AS DOUBLE) AS montant
 FROM ventes WHERE date = (SELECT max(date) FROM ventes)""")
 def d1_for_day(spark, sf_dir):
-    """Rows of the latest day.  The day is a scalar subquery over the
-    whole table; the filter itself is the operator."""
+    """Rows of the latest day (``for_day`` with the day computed by Spark:
+    an equi-join on ``date`` with the one-row max, not a driver value)."""
     v = ventes(spark, sf_dir)
-    last = v.agg(F.max("date").alias("_last"))
-    return for_day(v.crossJoin(last), F.col("_last")).select(
+    last = v.agg(F.max("date").alias("date"))
+    return v.join(F.broadcast(last), "date").select(
         *KEYS, F.col("montant").cast("double").alias("montant"))
 
 

@@ -159,7 +159,9 @@ def add_surrogate_key(df: DataFrame, order: Sequence[str], start: int | DataFram
     offsets = counts.select(
         "_pid", (F.sum("_cnt").over(Window.orderBy("_pid")) - F.col("_cnt")).alias("_off"))
     if isinstance(start, DataFrame):
-        offsets = offsets.crossJoin(start.select(F.col(start.columns[0]).alias("_start")))
+        offsets = offsets.withColumn("_one", F.lit(1)).join(
+            F.broadcast(start.select(F.col(start.columns[0]).alias("_start"))
+                        .withColumn("_one", F.lit(1))), "_one").drop("_one")
     else:
         offsets = offsets.withColumn("_start", F.lit(start))
     local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)

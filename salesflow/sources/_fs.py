@@ -1,34 +1,26 @@
-"""File-system checks through the Hadoop FileSystem of the session, so
-they work for any scheme the cluster is configured for (hdfs, s3a,
-file...).  Only paths cross the driver, never data."""
+"""Path checks with the public reader API (works for any file system the
+session is configured for, and under Spark Connect).  Listing happens
+when the reader resolves the paths; no file content is read."""
 
 from __future__ import annotations
 
-import fnmatch
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
-
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+from pyspark.sql import functions as F
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return bool(fs.exists(p))
-
-
-def list_files(spark: SparkSession, folder: str, glob: str, recursive: bool = True) -> list[str]:
-    fs, p = _fs(spark, folder)
-    if not fs.exists(p):
-        return []
-    it = fs.listFiles(p, recursive)
-    out = []
-    while it.hasNext():
-        st = it.next()
-        name = st.getPath().getName()
-        if fnmatch.fnmatch(name, glob):
-            out.append(st.getPath().toString())
-    return out
+    try:
+        spark.read.format("binaryFile").load(path)
+        return True
+    except AnalysisException:
+        return False
+
+
+def any_file(spark: SparkSession, folder: str, glob: str, recursive: bool = True) -> bool:
+    """Whether ``folder`` holds a file whose name matches ``glob``."""
+    if not exists(spark, folder):
+        return False
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+             .option("recursiveFileLookup", str(recursive).lower()).load(folder))
+    return files.select(F.col("path")).limit(1).count() > 0

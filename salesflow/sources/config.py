@@ -16,6 +16,13 @@ REGIONS_CONFIG = (
 )
 
 
+def ddl_schema(schema: T.StructType | str) -> T.StructType:
+    """A DDL string (``"k INT, name STRING"``) as a StructType."""
+    if isinstance(schema, T.StructType):
+        return schema
+    return SparkSession.active().createDataFrame([], schema).schema
+
+
 def config_df(spark: SparkSession, rows: Sequence[Sequence], schema: T.StructType | str
               ) -> DataFrame:
     """A small configuration table from literal rows.  Its size is
@@ -28,7 +35,7 @@ def parse_config(col: Column | str, schema: T.StructType | str, default: dict |
     """JSON text -> struct; fields missing or unparsable take the
     ``default`` values (``Variable.get(..., default_var=...)``)."""
     c = F.col(col) if isinstance(col, str) else col
-    st = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    st = ddl_schema(schema)
     parsed = F.from_json(c, st)
     if not default:
         return parsed

@@ -55,9 +55,9 @@ def read_many(spark: SparkSession, folder: str, schema: T.StructType | str,
     ends with ``suffix``, concatenated (with ``_file``); ``None`` when no
     file matches.  The listing is one distributed file index; the name
     rule is a glob filter, so nothing is read twice."""
-    from salesflow.sources._fs import list_files
+    from salesflow.sources._fs import any_file
     glob = f"{prefix}*{suffix}"
-    if not list_files(spark, folder, glob, recursive):
+    if not any_file(spark, folder, glob, recursive):
         return None
     df = read_csv(spark, folder, schema, na_values, with_path=True,
                   pathGlobFilter=glob, recursiveFileLookup=str(recursive).lower())

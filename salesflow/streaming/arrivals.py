@@ -41,7 +41,8 @@ def ingest_arrivals(spark: SparkSession, inbox: str, schema: T.StructType | str,
 
 
 def _with_file(schema: T.StructType | str) -> T.StructType:
-    st = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    from salesflow.sources.config import ddl_schema
+    st = ddl_schema(schema)
     return T.StructType(list(st.fields) + [T.StructField("_file", T.StringType())])
 
 
