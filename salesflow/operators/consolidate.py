@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesflow.functions.numeric import MONEY
@@ -57,10 +57,14 @@ def consolidated_total(consolide: DataFrame, dimension: str = "vendeur") -> Data
 def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key, the last by ``order`` wins (latest load).
 
-    A window partitioned by the dedup keys: each key is its own group, so
-    a hot date does not put everything in one task."""
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order])
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    An aggregation, not a window: ``max_by(row, order)`` is folded
+    map-side, so a key holding a large share of the rows is reduced to
+    one candidate per task before the shuffle.  ``order`` must be a total
+    order within a key (nulls rank lowest)."""
+    others = [c for c in df.columns if c not in keys]
+    best = df.groupBy(*keys).agg(
+        F.max_by(F.struct(*others), F.struct(*[F.col(c) for c in order])).alias("_row"))
+    return best.select(*[F.col(c) if c in keys else F.col(f"_row.{c}") for c in df.columns])
 
 
 def set_difference(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> DataFrame:

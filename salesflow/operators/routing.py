@@ -41,9 +41,10 @@ def classify_day(df: DataFrame, limits=ROUTE_LIMITS, key: str = "date",
 def split_by(df: DataFrame, routes: DataFrame, path: str, key: str = "date",
              label: str = "traitement", fmt: str = "parquet") -> None:
     """D5, output side: write each day's rows under its route label
-    (one write, partitioned by label and date)."""
+    (one write, partitioned by label and date; ``rebalance`` lets AQE
+    split a hot day over several writers)."""
     (df.join(routes.select(key, label), key)
-       .repartition(label, key)
+       .hint("rebalance", label, key)
        .write.mode("overwrite").partitionBy(label, key).format(fmt).save(path))
 
 
