@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesflow.operators._common import By, by_list, group, with_one_row
+from salesflow.operators._common import By, by_list, group
 
 # Fixed values from the reference: error messages of the two rule sets
 # and the named health checks.
@@ -94,27 +94,32 @@ def _errors(*pairs: tuple[Column, Column]) -> Column:
 def validate_testable(df: DataFrame, allowed: DataFrame | None, by: By = "date",
                       col: str = "vendeur", amount: str = "montant") -> DataFrame:
     """E6, step-9 rule set: nulls, empty, non-positive amounts, unknown
-    sellers.  Output per date: valid, erreurs (array), nb_lignes."""
+    sellers.  Output per date: valid, erreurs (array), nb_lignes.
+
+    One pass: the rows are joined to the (distinct) domain, then a single
+    aggregation counts rows, missing cells and non-positive amounts and
+    collects the distinct unknown values (a set per date, folded
+    map-side)."""
     keys = by_list(by)
-    stats = group(df, keys).agg(
-        F.count(F.lit(1)).alias("nb_lignes"),
-        F.sum(null_cells_expr(df)).cast("bigint").alias("nb_nulls"),
-        F.count_if(F.col(amount) <= 0).alias("nb_neg"))
+    nulls = null_cells_expr(df)
     if allowed is not None:
-        unk = unknown_values(df, allowed, col, keys)
-        # without keys both sides are single-row aggregates (a global
-        # aggregate yields one row even on empty input)
-        stats = stats.join(unk, keys, "left") if keys else with_one_row(
-            stats, unk.agg(F.max("nb_inconnus").alias("nb_inconnus"),
-                           F.max("inconnus").alias("inconnus")))
+        dom = allowed.select(F.col(allowed.columns[0]).alias("_dom")).distinct() \
+                     .withColumn("_known", F.lit(True))
+        rows = df.join(dom, df[col] == dom["_dom"], "left")
+        unknown = F.collect_set(F.when(F.col("_known").isNull(),
+                                       F.coalesce(F.col(col), F.lit("None"))))
     else:
-        stats = stats.withColumn("nb_inconnus", F.lit(None).cast("bigint")) \
-                     .withColumn("inconnus", F.lit(None).cast("array<string>"))
+        rows, unknown = df, F.array().cast("array<string>")
+    stats = group(rows, keys).agg(
+        F.count(F.lit(1)).alias("nb_lignes"),
+        F.sum(nulls).cast("bigint").alias("nb_nulls"),
+        F.count_if(F.col(amount) <= 0).alias("nb_neg"),
+        F.array_sort(unknown).alias("inconnus"))
     errs = _errors(
         (F.col("nb_nulls") > 0, F.format_string(MSG_NULLS, F.col("nb_nulls"))),
         (F.col("nb_lignes") == 0, F.lit(MSG_EMPTY)),
         (F.col("nb_neg") > 0, F.format_string(MSG_NEGATIVE_COUNT, F.col("nb_neg"))),
-        (F.coalesce(F.col("nb_inconnus"), F.lit(0)) > 0,
+        (F.size("inconnus") > 0,
          F.format_string(MSG_UNKNOWN, _python_set_text(F.col("inconnus")))))
     return stats.select(*keys, (F.size(errs) == 0).alias("valid"), errs.alias("erreurs"),
                         "nb_lignes")
