@@ -29,8 +29,46 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
           "benchmark", "labels", "conversations")
 
 
+# The schemas of the driver tables, as Spark reads them.
+# Giving them avoids a schema-inference job per table read.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+              "value double, props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if name in SCHEMAS:
+        return spark.read.schema(SCHEMAS[name]).parquet(path)
+    return spark.read.parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer input partitions than the
+    session's default parallelism (a file with few row groups), so the
+    joins and partial aggregations after it use every core.  A large
+    input has at least that many splits and is returned as it is: no
+    extra shuffle where the data is big."""
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < target:
+            return df.repartition(target)
+    except Exception:  # no RDD API (e.g. Spark Connect): keep the scan as is
+        pass
+    return df
 
 
 def geo(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,7 +95,7 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem + orders: the fact rows with their sale date."""
-    li = table(spark, sf_dir, "lineitem")
+    li = spread(table(spark, sf_dir, "lineitem"))
     od = table(spark, sf_dir, "orders").select(
         "o_orderkey", day_key("o_orderdate").alias("date"), "o_custkey")
     return li.join(od, li.l_orderkey == od.o_orderkey)
