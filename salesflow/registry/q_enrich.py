@@ -173,12 +173,12 @@ def c11_cast(spark, sf_dir):
 
 @register("c13_head", W + """
 SELECT date, l_orderkey, l_linenumber, produit, vendeur FROM ventes
-ORDER BY date, l_orderkey, l_linenumber LIMIT 5""")
+ORDER BY date, l_orderkey, l_linenumber, montant LIMIT 5""")
 def c13_head(spark, sf_dir):
-    """First rows preview: a top-5 (the limit is the feature), ordered for
-    a deterministic choice."""
-    return ventes(spark, sf_dir).select(*KEYS, "produit", "vendeur") \
-        .orderBy(*KEYS).limit(5)
+    """First rows preview: a top-5 (the limit is the feature), in a total
+    order (the line key alone is not unique in the driver data)."""
+    return ventes(spark, sf_dir).orderBy(*KEYS, "montant").limit(5) \
+        .select(*KEYS, "produit", "vendeur")
 
 
 @register("d1_for_day", W + """

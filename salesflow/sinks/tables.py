@@ -97,7 +97,12 @@ def replace_days(spark: SparkSession, df: DataFrame, table: str,
     """B4, many days in one job: dynamic partition overwrite replaces the
     days present in ``df`` and leaves the others.  Days listed in
     ``days`` but absent from ``df`` are cleared too (dynamic overwrite
-    alone would keep them), by dropping their partitions."""
+    alone would keep them), by dropping their partitions.
+
+    The overwrite mode is switched on the session for the write and
+    restored after it (``insertInto`` on a parquet catalog table ignores a
+    per-write option and V1 tables have no ``overwritePartitions``), so
+    two such writes should not run at once in one session."""
     conf_key = "spark.sql.sources.partitionOverwriteMode"
     old = spark.conf.get(conf_key, "static")
     spark.conf.set(conf_key, "dynamic")
