@@ -84,9 +84,9 @@ long AS (SELECT date, 'extract' AS etape, duree_extract_s AS duree_s FROM metric
          SELECT date, 'transform', duree_transform_s FROM metrics UNION ALL
          SELECT date, 'load', duree_load_s FROM metrics UNION ALL
          SELECT date, 'run', duree_totale_s FROM metrics),
-lim AS (SELECT *, CASE etape WHEN 'run' THEN {float(SLA_LIMITS['run'])}
-                             WHEN 'extract' THEN {float(min(SLA_LIMITS['extract'], SLA_LIMITS['task']))}
-                             ELSE {float(SLA_LIMITS['task'])} END AS limite_s FROM long)
+lim AS (SELECT *, CAST(CASE etape WHEN 'run' THEN {SLA_LIMITS['run']}
+                             WHEN 'extract' THEN {min(SLA_LIMITS['extract'], SLA_LIMITS['task'])}
+                             ELSE {SLA_LIMITS['task']} END AS DOUBLE) AS limite_s FROM long)
 SELECT * FROM lim WHERE duree_s > limite_s""")
 def h4_sla_breaches(spark, sf_dir):
     return M.sla_breaches(run_metrics_from_events(spark, sf_dir), SLA_LIMITS)
