@@ -26,13 +26,5 @@ def top_order(total: Column, key: Column) -> Column:
                     key.isNull().alias("key_null"), key.alias("key"))
 
 
-def with_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a one-row frame (a scalar aggregate or a
-    configuration row) to every row: an equi-join on a constant key with
-    the one-row side broadcast.  Its size is one row by construction."""
-    return df.withColumn("_one", F.lit(1)).join(
-        F.broadcast(one_row.withColumn("_one", F.lit(1))), "_one").drop("_one")
-
-
 def has_column(df: DataFrame, name: str) -> bool:
     return name in df.columns

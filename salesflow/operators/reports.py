@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from salesflow.functions.labels import status2, status_region
 from salesflow.functions.numeric import MONEY, attainment, ratio
-from salesflow.operators._common import By, by_list, group, with_one_row
+from salesflow.operators._common import By, by_list, group
 
 
 def report_by_seller(df: DataFrame, by: By = None) -> DataFrame:
@@ -41,12 +41,14 @@ def report_by_category(df: DataFrame, by: By = None) -> DataFrame:
 def _with_total(grouped: DataFrame, keys: list[str]) -> DataFrame:
     """Attach ``_tot`` = Σ``_ca`` over the grouped rows (per ``keys``).
 
-    The total is an aggregate of the grouped rows (Spark reuses their
-    shuffle), joined back: a one-row broadcast for the grand total, an
-    equi-join on ``keys`` otherwise.  No window moves the grouped rows
-    into one partition, so any number of groups works."""
+    The total is an aggregate of the grouped rows: a scalar subquery
+    (computed once, used as a value) for the grand total, an equi-join on
+    ``keys`` otherwise.  No window moves the grouped rows into one
+    partition, so any number of groups works."""
+    if not keys:
+        return grouped.withColumn("_tot", grouped.agg(F.sum("_ca")).scalar())
     tot = grouped.groupBy(*keys).agg(F.sum("_ca").alias("_tot"))
-    return grouped.join(tot, keys) if keys else with_one_row(grouped, tot)
+    return grouped.join(tot, keys)
 
 
 def seller_performance(perf: DataFrame) -> DataFrame:

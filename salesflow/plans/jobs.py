@@ -23,7 +23,6 @@ from salesflow.operators import monitoring as M
 from salesflow.operators import quality as Q
 from salesflow.operators import reports as Rp
 from salesflow.operators import routing as Ro
-from salesflow.operators._common import with_one_row
 from salesflow.session import scratch_path, unique_table
 from salesflow.sinks import (append_by_name, ensure_table, export_report, replace_days,
                              upsert_kpis, write_csv)
@@ -164,11 +163,11 @@ def config_run(spark: SparkSession, sales: DataFrame, config_json: str, table: s
                      {"seuil_ca": 5000.0, "nb_lignes_min": 10}).alias("c"))
     daily = sales.groupBy("date").agg(F.sum(F.col("montant").cast(MONEY)).alias("_ca"),
                                       F.count(F.lit(1)).alias("nb_lignes"))
-    j = with_one_row(daily, cfg)
-    alerts = j.select("date", F.col("_ca").cast("double").alias("ca_total"), "nb_lignes",
-                      F.when(F.col("_ca") < F.col("c.seuil_ca"), F.lit(Ro.ALERT))
-                       .otherwise(F.lit(Ro.NO_ALERT)).alias("alerte"),
-                      (F.col("nb_lignes") >= F.col("c.nb_lignes_min")).alias("volume_ok"))
+    c = cfg.scalar()  # the one configuration row, as a scalar subquery
+    alerts = daily.select("date", F.col("_ca").cast("double").alias("ca_total"), "nb_lignes",
+                          F.when(F.col("_ca") < c.getField("seuil_ca"), F.lit(Ro.ALERT))
+                           .otherwise(F.lit(Ro.NO_ALERT)).alias("alerte"),
+                          (F.col("nb_lignes") >= c.getField("nb_lignes_min")).alias("volume_ok"))
     table = table or unique_table("alertes")
     ensure_table(spark, table, "date string, ca_total double, nb_lignes bigint, alerte string, "
                                "volume_ok boolean", partition=None)

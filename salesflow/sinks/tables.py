@@ -163,12 +163,9 @@ def add_surrogate_key(df: DataFrame, order: Sequence[str], start: int | DataFram
     counts = base.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     offsets = counts.select(
         "_pid", (F.sum("_cnt").over(Window.orderBy("_pid")) - F.col("_cnt")).alias("_off"))
-    if isinstance(start, DataFrame):
-        offsets = offsets.withColumn("_one", F.lit(1)).join(
-            F.broadcast(start.select(F.col(start.columns[0]).alias("_start"))
-                        .withColumn("_one", F.lit(1))), "_one").drop("_one")
-    else:
-        offsets = offsets.withColumn("_start", F.lit(start))
+    first_id = start.select(start.columns[0]).scalar() if isinstance(start, DataFrame) \
+        else F.lit(start)
+    offsets = offsets.withColumn("_start", first_id)
     local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
     return base.join(F.broadcast(offsets), "_pid").withColumn(
         col, (F.col("_start") + F.col("_off") + local).cast("long")) \
