@@ -217,9 +217,14 @@ def load_summary(df: DataFrame, by: By = "date", amount: str = "montant") -> Dat
         .withColumn("is_valid", F.col("nb_lignes") > 0)
 
 
-def is_empty(df: DataFrame, calendar: DataFrame, key: str = "date") -> DataFrame:
-    """E5: per calendar date, whether the frame has no row for it."""
+def is_empty(df: DataFrame, calendar: DataFrame | None = None, key: str = "date") -> DataFrame:
+    """E5: per calendar date, whether the frame has no row for it.  The
+    calendar defaults to every day between the first and the last date,
+    derived from the per-date counts (one pass over the rows)."""
     present = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    if calendar is None:
+        from salesflow.operators.kpis import calendar_between
+        calendar = calendar_between(present, key)
     return calendar.select(key).distinct().join(present, key, "left").select(
         key, F.coalesce(F.col("_n"), F.lit(0)).alias("nb_lignes"),
         F.col("_n").isNull().alias("vide"))

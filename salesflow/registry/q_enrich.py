@@ -1,5 +1,6 @@
 """Projections, derived columns, routing."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from salesflow.functions import labels as L
@@ -20,13 +21,16 @@ KEYS = ("date", "l_orderkey", "l_linenumber")
 
 def seller_years(spark, sf_dir):
     """Seller performance rows (vendeur, annee, ca, objectif): the target
-    of a year is the seller's CA of the year before (self-join on
-    year + 1, both sides aggregates keyed by seller)."""
+    of a year is the seller's CA of the year before.  One pass: the
+    yearly aggregate, then a range frame of exactly ``annee - 1`` per
+    seller (a handful of rows per seller after aggregation); years
+    without a previous year have no target and are left out."""
     y = ventes(spark, sf_dir).groupBy("vendeur", F.substring("date", 1, 4).alias("annee")) \
         .agg(F.sum("montant").alias("ca"))
-    prev = y.select("vendeur", (F.col("annee").cast("int") + 1).cast("string").alias("annee"),
-                    F.col("ca").alias("objectif"))
-    return y.join(prev, ["vendeur", "annee"])
+    prev_year = Window.partitionBy("vendeur").orderBy(F.col("annee").cast("int")) \
+        .rangeBetween(-1, -1)
+    return y.withColumn("objectif", F.sum("ca").over(prev_year)) \
+        .where(F.col("objectif").isNotNull())
 
 
 SELLER_YEARS_SQL = W + """,

@@ -91,8 +91,8 @@ SELECT cal.date, coalesce(ca_total, 0.0) AS ca_total, coalesce(marge_totale, 0.0
        coalesce(atteinte_obj, 0.0) AS atteinte_obj, coalesce(statut, 'vide') AS statut
 FROM cal LEFT JOIN k USING (date)""")
 def g9_empty_defaults(spark, sf_dir):
-    v = ventes(spark, sf_dir)
-    return K.with_empty_defaults(kpis_final_today(spark, sf_dir), K.calendar_between(v))
+    k = kpis_final_today(spark, sf_dir)
+    return K.with_empty_defaults(k, K.calendar_between(k))
 
 
 _REGION_SELLER_SQL = """

@@ -57,8 +57,7 @@ cal AS (SELECT strftime(CAST(d AS DATE), '%Y-%m-%d') AS date FROM (
 n AS (SELECT date, count(*) AS c FROM ventes GROUP BY date)
 SELECT cal.date, coalesce(c, 0) AS nb_lignes, c IS NULL AS vide FROM cal LEFT JOIN n USING (date)""")
 def e5_is_empty(spark, sf_dir):
-    v = ventes(spark, sf_dir)
-    return Q.is_empty(v, K.calendar_between(v))
+    return Q.is_empty(ventes(spark, sf_dir))
 
 
 _E6_SQL = WBV + "," + _UNKNOWN_SQL.format(src="ventes_brutes") + f""",
