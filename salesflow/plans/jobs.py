@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesflow.functions.labels import DEFAULT_EDGES, LABELS_EN
+from salesflow.functions.labels import DEFAULT_EDGES
 from salesflow.functions.numeric import MONEY
 from salesflow.operators import consolidate as C
 from salesflow.operators import enrich as En
@@ -23,9 +23,8 @@ from salesflow.operators import monitoring as M
 from salesflow.operators import quality as Q
 from salesflow.operators import reports as Rp
 from salesflow.operators import routing as Ro
-from salesflow.session import scratch_path, unique_table
-from salesflow.sinks import (append_by_name, ensure_table, export_report, replace_days,
-                             upsert_kpis, write_csv)
+from salesflow.session import unique_table
+from salesflow.sinks import ensure_table, export_report, replace_days, upsert_kpis, write_csv
 from salesflow.sources import read_available, read_csv, read_json_records, read_many
 from salesflow.sources.config import parse_config
 

@@ -6,13 +6,11 @@ from pyspark.sql import functions as F
 from salesflow.functions import labels as L
 from salesflow.functions.numeric import MONEY, attainment
 from salesflow.operators import enrich as En
-from salesflow.operators import kpis as K
 from salesflow.operators import routing as R
 from salesflow.operators.reports import overall_attainment, seller_performance
 from salesflow.registry import register
 from salesflow.registry._sql import EDGES, OBJECTIF, SEUIL, W, WB, bucket_sql, snap
-from salesflow.sources.tables import for_day
-from salesflow.views import lines, products, table, ventes, ventes_brutes
+from salesflow.views import products, table, ventes, ventes_brutes
 
 ROUTE_LIMITS = (1200000, 800000)
 FIXED_LIMITS = (1200000, 800000)

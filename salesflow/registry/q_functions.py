@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from salesflow.functions import dates as D
 from salesflow.functions import text as T
-from salesflow.operators.quality import is_missing
 from salesflow.registry import register
 from salesflow.registry._sql import WB, W, title_sql
 from salesflow.sources.config import parse_config

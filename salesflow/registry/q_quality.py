@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from salesflow.operators import kpis as K
 from salesflow.operators import quality as Q
 from salesflow.registry import register
-from salesflow.registry._sql import MIN_LIGNES, W, WB, WBV, WV
+from salesflow.registry._sql import MIN_LIGNES, W, WB, WBV
 from salesflow.views import ventes, ventes_brutes, vendeurs_valides
 
 _NULLS = ("(date IS NULL)::INT + (produit IS NULL)::INT + (categorie IS NULL)::INT + "

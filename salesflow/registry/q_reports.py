@@ -1,7 +1,5 @@
 """Reports."""
 
-from pyspark.sql import functions as F
-
 from salesflow.operators import reports as Rp
 from salesflow.registry import register
 from salesflow.registry._sql import W, snap

@@ -9,7 +9,6 @@ from salesflow.registry import register
 from salesflow.registry._sql import W, WB
 from salesflow.registry.q_consolidate import region_files
 from salesflow.session import scratch_path, unique_table
-from salesflow.sinks.files import write_csv
 from salesflow.sinks.tables import ensure_table, replace_days
 from salesflow.sources import config_df, read_available, read_csv, read_json_records, read_many
 from salesflow.sources import scan

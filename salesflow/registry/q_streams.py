@@ -1,7 +1,5 @@
 """Streaming queries, checked against batch SQL."""
 
-from pyspark.sql import functions as F
-
 from salesflow.operators import kpis as K
 from salesflow.registry import register
 from salesflow.registry._sql import W

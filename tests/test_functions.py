@@ -2,8 +2,6 @@
 
 from decimal import Decimal
 
-from pyspark.sql import functions as F
-
 from salesflow.functions import labels as L
 from salesflow.functions import numeric as N
 from salesflow.functions import text as T

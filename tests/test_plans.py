@@ -6,8 +6,6 @@ import os
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
-
 from salesflow.operators import kpis as K
 from salesflow.registry.q_kpis import kpis_final_today
 from salesflow.views import ventes

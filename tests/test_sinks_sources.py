@@ -1,7 +1,6 @@
 """Load semantics (idempotence, empty day, by-name appends, upserts,
 surrogate keys) and file sources."""
 
-import os
 from decimal import Decimal
 
 import pytest
