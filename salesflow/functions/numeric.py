@@ -61,7 +61,7 @@ def ratio(num: Column | str, den: Column | str, scale: int | None = 2,
     n = to_col(num)
     if factor is not None:
         n = n * F.lit(Decimal(str(factor)))
-    q = (n / to_col(den)).cast(SNAP)
+    q = F.try_divide(n, to_col(den)).cast(SNAP)  # null (not an ANSI error) on a zero divisor
     if scale is not None:
         q = _rounder(half_even)(q, scale)
     out = q.cast("double")

@@ -38,13 +38,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     When the session has none (unit tests, a laptop), a folder is created
     under the local temp dir and registered as the checkpoint dir.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
+    try:
+        sc = spark.sparkContext
+    except Exception:  # no SparkContext on this client (e.g. Spark Connect)
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
         conf_dir = tempfile.mkdtemp(prefix="salesflow-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", conf_dir)
+    if sc is None:
+        return conf_dir
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 

@@ -115,3 +115,18 @@ def test_dedupe_latest_wins(spark):
     df = spark.createDataFrame([("k", 1, "old"), ("k", 2, "new"), ("j", 1, "only")],
                                "k string, v int, t string")
     assert sorted((r.k, r.t) for r in C.dedupe(df, ["k"], ["v"]).collect()) == [("j", "only"), ("k", "new")]
+
+
+def test_all_null_amounts_day_under_ansi(spark):
+    """A day whose amounts are all null: no division error, null basket."""
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "true")
+    try:
+        df = rows(spark, [("d", "A", "x", None), ("d", "B", "y", None)])
+        r = K.kpis_basic(df).first()
+        assert r.nb_ventes == 2 and r.panier_moyen is None
+        from salesflow.functions.numeric import ratio
+        z = spark.createDataFrame([(Decimal("1.00"), 0)], "a decimal(18,2), n bigint")
+        assert z.select(ratio("a", "n", 2).alias("r")).first().r is None
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
