@@ -91,11 +91,13 @@ def latest_days(table: DataFrame, n: int, key: str = "date") -> DataFrame:
 
 def region_attainment(sales: DataFrame, targets: DataFrame, by: By = "date") -> DataFrame:
     """Per (date, region) CA against the region's target; regions
-    outside the target config drop out.  ``targets`` (region, objectif)
-    is a configuration frame of bounded size, so it is broadcast."""
+    outside the target config drop out.  No broadcast hint on ``targets``
+    (region, objectif): a literal configuration frame has exact size
+    statistics and is broadcast by the planner; a large targets table is
+    shuffle-joined on the region of the (already aggregated) sales."""
     keys = by_list(by)
     agg = sales.groupBy(*keys, "region").agg(F.sum(F.col("montant").cast(MONEY)).alias("_ca"))
-    j = agg.join(F.broadcast(targets.select("region", "objectif")), "region")
+    j = agg.join(targets.select("region", "objectif"), "region")
     pct = attainment(F.col("_ca"), F.col("objectif").cast(MONEY), scale=None)
     return j.select(*keys, "region", F.col("_ca").cast("double").alias("ca"),
                     pct.alias("atteinte"), status_region(pct).alias("statut"))
