@@ -228,3 +228,23 @@ def is_empty(df: DataFrame, calendar: DataFrame | None = None, key: str = "date"
     return calendar.select(key).distinct().join(present, key, "left").select(
         key, F.coalesce(F.col("_n"), F.lit(0)).alias("nb_lignes"),
         F.col("_n").isNull().alias("vide"))
+
+
+def any_all(df: DataFrame, by: By = "date", any_: dict | None = None,
+            all_: dict | None = None) -> DataFrame:
+    """Per date, ``bool_or`` of each ``any_`` condition and
+    ``bool_and`` of each ``all_`` condition (a null condition counts as
+    false, as pandas ``.any()`` / ``.all()`` on a comparison do)."""
+    aggs = [F.bool_or(F.coalesce(c, F.lit(False))).alias(n) for n, c in (any_ or {}).items()]
+    aggs += [F.bool_and(F.coalesce(c, F.lit(False))).alias(n) for n, c in (all_ or {}).items()]
+    return group(df, by).agg(*aggs)
+
+
+def distinct_values(df: DataFrame, col: str, by: By = "date") -> DataFrame:
+    """Per date, the number and the sorted set of distinct values.
+    Distinct (date, value) pairs are formed first (a shuffle on both),
+    so a date's set is bounded by its distinct values."""
+    keys = by_list(by)
+    d = df.select(*keys, col).where(F.col(col).isNotNull()).distinct()
+    return group(d, keys).agg(F.count(F.lit(1)).alias(f"nb_{col}"),
+                              F.array_sort(F.collect_list(col)).alias(f"{col}s"))

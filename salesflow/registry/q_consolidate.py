@@ -110,3 +110,14 @@ def j5_dedupe(spark, sf_dir):
     v = ventes(spark, sf_dir).select(*LINE, "date", F.col("montant").cast(MONEY))
     return C.dedupe(v, ["l_orderkey"], ["l_linenumber", "montant"]).withColumn(
         "montant", F.col("montant").cast("double"))
+
+
+@register("g4_seller_totals", API_SQL + """
+SELECT date, vendeur, CAST(sum(montant) AS DOUBLE) AS ca, min(source) AS source
+FROM api GROUP BY date, vendeur""")
+def g4_seller_totals(spark, sf_dir):
+    """Seller totals with the SQL's bare ``source`` column made
+    deterministic (``min``): the seller half of the consolidated view."""
+    s = C.consolidate(api_rows(spark, sf_dir), None)
+    return s.select("date", F.col("valeur").alias("vendeur"), F.col("ca").cast("double").alias("ca"),
+                    "source")

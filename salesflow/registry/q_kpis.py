@@ -108,3 +108,15 @@ def g13_consolidated_kpis(spark, sf_dir):
     rv = ventes(spark, sf_dir).groupBy("date", "region", "vendeur").agg(
         F.sum("montant").alias("ca"))
     return K.consolidated_kpis(rv, limits=CONSOLIDATED_LIMITS)
+
+
+@register("i4_top1_sql", W + f"""
+SELECT tp.date, tp.top_produit, tv.top_vendeur
+FROM {top_sql('ventes', 'produit', keep_null=True)} tp
+JOIN {top_sql('ventes', 'vendeur', keep_null=True)} tv USING (date)""")
+def i4_top1_sql(spark, sf_dir):
+    """Top-1 by grouped sum as the SQL subquery computes it: null keys
+    kept (ranked after the others), ties -> smallest key."""
+    v = ventes(spark, sf_dir)
+    return K.top_by_sum(v, "produit", keep_null=True).join(
+        K.top_by_sum(v, "vendeur", keep_null=True), "date")

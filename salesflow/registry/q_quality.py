@@ -160,3 +160,24 @@ def d3_predicates(spark, sf_dir):
         F.count_if(F.col("montant") > 0).alias("nb_positifs"),
         F.count_if(F.col("remise").isNull()).alias("nb_remise_nulle"),
         F.count_if(F.col("_known").isNotNull()).alias("nb_vendeurs_connus"))
+
+
+@register("g14_any_all", WB + """
+SELECT date, bool_or(coalesce(montant <= 0, false)) AS a_un_non_positif,
+       bool_and(coalesce(montant > 0, false)) AS tous_positifs,
+       bool_or(coalesce(remise IS NULL, false)) AS a_une_remise_nulle
+FROM ventes_brutes GROUP BY date""")
+def g14_any_all(spark, sf_dir):
+    b = ventes_brutes(spark, sf_dir)
+    return Q.any_all(b, any_={"a_un_non_positif": F.col("montant") <= 0,
+                              "a_une_remise_nulle": F.col("remise").isNull()},
+                     all_={"tous_positifs": F.col("montant") > 0})
+
+
+@register("g15_distinct_values", W + """
+SELECT date, count(DISTINCT categorie) AS nb_categorie,
+       array_to_string(list_sort(list(DISTINCT categorie)), '|') AS categories
+FROM ventes GROUP BY date""")
+def g15_distinct_values(spark, sf_dir):
+    d = Q.distinct_values(ventes(spark, sf_dir), "categorie")
+    return d.select("date", "nb_categorie", F.array_join("categories", "|").alias("categories"))
