@@ -197,14 +197,15 @@ def multi_source(spark: SparkSession, api: DataFrame, files_folder: str, files_s
         unique_table("consolide")
     ensure_table(spark, api_t, "date string, vendeur string, produit string, "
                                "montant decimal(18,2), source string")
+    # one row per (date, region): bounded by the calendar, kept unpartitioned
     ensure_table(spark, files_t, "date string, region string, ca_region decimal(18,2), "
-                                 "nb_ventes bigint, source string")
+                                 "nb_ventes bigint, source string", partition=None)
     ensure_table(spark, cons_t, "date string, dimension string, valeur string, "
                                 "ca decimal(18,2), source string", partition=None)
     replace_days(spark, api.select("date", "vendeur", "produit", "montant", "source"), api_t)
     files = read_many(spark, files_folder, files_schema, prefix="part-", suffix=".csv")
     if files is not None:
-        replace_days(spark, files.drop("_file"), files_t)
+        upsert_kpis(spark, files.drop("_file"), files_t, key=["date", "region"])
     cons = C.consolidate(spark.table(api_t), spark.table(files_t))
     upsert_kpis(spark, cons, cons_t, key=["date", "dimension", "valeur"])
     return C.consolidated_total(spark.table(cons_t))

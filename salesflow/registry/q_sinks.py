@@ -50,9 +50,10 @@ SELECT date, l_orderkey, l_linenumber, CAST(montant AS DOUBLE) AS montant, vende
 FROM ventes""")
 def b3_append_by_name(spark, sf_dir):
     """Two appends with columns in another order; the second lacks
-    ``region`` (null), as a by-name append allows."""
+    ``region`` (null), as a by-name append allows.  An append-only table
+    needs no partitioning: each append adds files, nothing is replaced."""
     name = unique_table("ventes")
-    ensure_table(spark, name, VENTES_DDL)
+    ensure_table(spark, name, VENTES_DDL, partition=None)
     v = ventes(spark, sf_dir)
     first = v.where(F.col("l_linestatus") == "F").select(*reversed(VENTES_COLS))
     second = v.where(F.col("l_linestatus") != "F").select(
