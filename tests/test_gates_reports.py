@@ -3,7 +3,6 @@
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 from salesflow.operators import quality as Q
 from salesflow.session import scratch_path
