@@ -6,7 +6,9 @@ into one row per set and pre-aggregates map-side, so a hot date is
 folded before the shuffle and the joined input is computed once.  A
 second, small aggregation per date derives the totals (sum of the
 per-product partial sums) and the tops (``min_by`` over the groups: no
-sort, no window, partial aggregation works).
+global sort, no window; partial aggregation works.  ``min_by`` keeps a
+string in its buffer, so Spark runs this step as a sort-based
+aggregate, a local sort of the grouped rows within each task).
 """
 
 from __future__ import annotations
