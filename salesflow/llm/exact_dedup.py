@@ -30,8 +30,11 @@ class DigestIndex:
 
     def __init__(self, spark: SparkSession, table: str, buckets: int | None = None):
         self.spark, self.table = spark, table
-        self.buckets = buckets or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-        if not spark.catalog.tableExists(table):
+        if spark.catalog.tableExists(table):  # it keeps the buckets that it was made with
+            made = spark.sql(f"DESCRIBE EXTENDED {table}").where("col_name = 'Num Buckets'").first()
+            self.buckets = int(made["data_type"])
+        else:
+            self.buckets = buckets or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
             self._save(spark.createDataFrame([], "digest binary, keep_id bigint"))
 
     def _save(self, rows: DataFrame) -> None:

@@ -135,8 +135,9 @@ def _leading_bits(n: int) -> int:
 
 
 def link_fingerprints(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """``(a, b)``: pairs of distinct fingerprints (column ``fp``) at
-    ``max_bits`` or fewer differing bits whose closure links all such pairs.
+    """``(a, b)``: a spanning forest of the links between distinct fingerprints
+    (column ``fp``) at ``max_bits`` or fewer differing bits, key by key: its
+    closure is theirs.
 
     ``max_bits`` must be even: the half radius is whole, and whatever shares
     a variant is within the radius.  Each pair is verified nevertheless.
