@@ -11,6 +11,7 @@ along the border, latest first, no merge across the border comes earlier.
 from __future__ import annotations
 
 import json
+import re
 import struct
 from collections.abc import Iterable, Iterator
 from hashlib import sha256
@@ -21,17 +22,18 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Fixed value: the public pattern that cuts a text before the merges.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Entries of the memos of a Python worker: pre-tokens, and as many pairs of
-#: tokens; chunks of text.  About 200 bytes an entry; a full memo is emptied.
-WORDS, CHUNKS = 1_000_000, 400_000
-_CUT = regex.compile(PATTERN)
-#: A single space between non-spaces starts a pre-token; other runs need the pattern.
-_RUN = regex.compile(r"\s (?:\s|$)")
-#: Scripts where the installed pattern library and the tokenizer's differ in
-#: Unicode version are cut by the tokenizer itself.
-_OTHER = regex.compile("[՘-῿⁰-⿿ꀀ-꯿\U00010000-\U0010ffff]")
+_SPACE = r"\t-\r \x85\xa0 -     "
+#: The public pre-token pattern ('s|'t|'re|'ve|'m|'ll|'d, then optional space
+#: and letters, numbers or other marks, then white space), for the characters
+#: outside _OTHER.
+_CUT = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[^\W\d_]+| ?\d+| ?(?:[^\w{_SPACE}]|[_\x1c-\x1f])+"
+                  rf"|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+#: A text with one of these characters is cut by the tokenizer itself: numbers
+#: that are no digits, and scripts whose classes depend on the Unicode version.
+_OTHER = regex.compile("[²³¹¼-¾՘-῿⁰-\U0010ffff]")
+#: Entries of the memo of a Python worker: pre-tokens, and as many pairs of
+#: tokens.  About 200 bytes an entry; a full memo is emptied.
+WORDS = 1_500_000
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -172,7 +174,6 @@ class Codec:
     def _prepare(self, v: Vocabulary) -> None:
         self.vocabulary = v
         self.words: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
         longest_first = sorted(v.special, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")") if v.special else None
         self.cutter = None
@@ -211,40 +212,29 @@ class Codec:
             end -= size[last[end]]
         return ids[::-1]
 
+    def encode_words(self, words: list[str]) -> list[list[int]]:
+        return [self.encode_word(w.encode()) for w in words]
+
     def cut(self, text: str) -> list[str]:
         """The pre-tokens of a text."""
-        if _OTHER.search(text):
+        if not text.isascii() and _OTHER.search(text):
             if self.cutter is None:
                 from tokenizers import Tokenizer
                 self.cutter = Tokenizer.from_str(self.vocabulary.text).pre_tokenizer
             return [text[a:b] for _, (a, b) in self.cutter.pre_tokenize_str(text)]
         return _CUT.findall(text)
 
-    def _words(self, words: list[str]) -> bytes:
-        known = self.words
+    def _plain(self, text: str) -> bytes:
+        words, known = self.cut(text), self.words
         got = list(map(known.get, words))
         if None in got:
             if len(known) >= WORDS:
                 known.clear()
-            for n, ids in enumerate(got):
-                if ids is None:
-                    got[n] = known[words[n]] = _little(self.encode_word(words[n].encode()))
+            new = list({w for w, ids in zip(words, got) if ids is None})
+            known.update(zip(new, map(_little, self.encode_words(new))))
+            got = list(map(known.__getitem__, words))
         return b"".join(got)
 
-    def _plain(self, text: str) -> bytes:
-        if _RUN.search(text) or _OTHER.search(text):
-            return self._words(self.cut(text))
-        first, *rest = text.split(" ")
-        chunks = self.chunks
-        got = list(map(chunks.get, rest))
-        if None in got:
-            if len(chunks) >= CHUNKS:
-                chunks.clear()
-            for n, ids in enumerate(got):
-                if ids is None:
-                    got[n] = chunks[rest[n]] = self._words(_CUT.findall(" " + rest[n]))
-        return self._words(_CUT.findall(first)) + b"".join(got)
-
     def encode(self, text: str | None) -> np.ndarray:
         """The ids of a whole text; null counts as empty."""
         if not text:

@@ -15,6 +15,7 @@ complete packing of its rows.
 
 from __future__ import annotations
 
+import os
 from bisect import bisect_right
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -119,14 +120,15 @@ class LibraryCodec(Codec):
     """Memoised encoder whose ids come from the ``tokenizers`` library."""
 
     def __init__(self, text: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task's core alone
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_str(text)
         self.library.no_truncation()
         self.library.no_padding()
         self._prepare(Vocabulary(text))
 
-    def encode_word(self, word: bytes) -> list[int]:
-        return self.library.encode(word.decode(), add_special_tokens=False).ids
+    def encode_words(self, words: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
 
 
 _CODECS: dict[str, LibraryCodec] = {}
@@ -176,7 +178,7 @@ def pack_documents(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id"
         place = TaskContext.get().partitionId() << 40
         for b in batches:
             for i, text in zip(b["_id"], b["_text"]):
-                encoded.append(np.append(c.encode(text), np.uint32(END)).astype("<u4"))
+                encoded.append(np.append(c.encode(text), np.array([END], "<u4")))
                 ids.append(i)
                 tokens += len(encoded[-1])
                 if tokens >= BLOCK_TOKENS or len(ids) >= BLOCK_ROWS:
