@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 import regex
 import xxhash
 from pyspark.sql import DataFrame
@@ -58,24 +58,30 @@ def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """``_id``, ``_text_hash``, ``dropped`` (line numbers from 0): the lines to
     drop, one row per document that loses any."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for at in range(0, len(b), 1024):
-                rows = []
-                for i, h, text in b.iloc[at:at + 1024].itertuples(index=False):
+            for at in range(0, b.num_rows, 256):  # the keys of a few documents at a time
+                part = b.slice(at, 256)
+                keys, row, lines = [], [], []
+                for r, text in enumerate(part.column(2).to_pylist()):
                     held: dict[bytes, list[int]] = {}
                     for n, line in enumerate(text.split("\n")):
                         for k in template_keys(line, depth, parts, min_tokens):
                             held.setdefault(k, []).append(n)
-                    rows += [(k, i, h, lines) for k, lines in held.items()]
-                yield pd.DataFrame(rows, columns=["key", "_id", "_text_hash", "lines"])
+                    keys += held.keys()
+                    lines += held.values()
+                    row += [r] * len(held)
+                row = pa.array(row, pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys, pa.binary()), part.column(0).take(row), part.column(1).take(row),
+                     pa.array(lines, pa.list_(pa.int32()))], ["key", "_id", "_text_hash", "lines"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     held = (docs.select(F.col(id_col).alias("_id"), F.xxhash64(F.col(text_col)).alias("_text_hash"),
                         F.col(text_col).cast("string").alias("_text"))
             .where("_id is not null and _text is not null")
             .select("_id", "_text_hash", "_text")
-            .mapInPandas(run, f"key binary, _id {kind}, _text_hash bigint, lines array<int>"))
+            .mapInArrow(run, f"key binary, _id {kind}, _text_hash bigint, lines array<int>"))
     # min, max and count are combined on the map side: a line of every document is a few rows
     found = shared_table(
         held.groupBy("key").agg(F.min("_id").alias("first"), F.max("_id").alias("last"), F.count(F.lit(1)).alias("n"))
@@ -95,20 +101,22 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """
     lines = shared_table(recurring_lines(docs, id_col, text_col, **settings), "dropped-lines")
 
-    @F.pandas_udf("string")
-    def rest(texts: pd.Series, dropped: pd.Series) -> pd.Series:
-        out = []
-        for t, d in zip(texts, dropped):
-            if d is None or t is None or not len(d):
-                out.append(t)
-            else:
-                gone = set(d.tolist())
-                out.append("\n".join(x for n, x in enumerate(t.split("\n")) if n not in gone))
-        return pd.Series(out, dtype=object)
-
     names = [c for c in docs.columns if c != "dropped_lines"]
+    at = names.index(text_col)
+
+    def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for t, d in zip(b.column(at), b.column(len(names))):
+                d = d.as_py()
+                if t.is_valid and d:
+                    gone = set(d)
+                    out.append("\n".join(x for n, x in enumerate(t.as_py().split("\n")) if n not in gone))
+                else:
+                    out.append(t.as_py())
+            yield b.set_column(at, b.schema.field(at).name, pa.array(out, b.schema.field(at).type))
+
     joined = (docs.select(*names).withColumn("_h", F.xxhash64(F.col(text_col)))
-              .join(lines, (F.col(id_col) == F.col("_id")) & (F.col("_h") == F.col("_text_hash")), "left"))
-    return (joined.withColumn(text_col, rest(F.col(text_col).cast("string"), F.col("dropped")))
-            .withColumn("dropped_lines", F.array_sort(F.coalesce("dropped", F.array().cast("array<int>"))))
-            .select(*names, "dropped_lines"))
+              .join(lines, (F.col(id_col) == F.col("_id")) & (F.col("_h") == F.col("_text_hash")), "left")
+              .select(*names, F.array_sort(F.coalesce("dropped", F.array().cast("array<int>"))).alias("dropped_lines")))
+    return joined.mapInArrow(rest, joined.schema)
