@@ -27,9 +27,9 @@ THRESHOLD = 0.93
 CELL_ROWS = 4096
 #: Cells in all, at most: what is broadcast is MAX_CELLS centroids.  Beyond,
 #: cells hold more rows, and more blocks of BLOCK_ROWS.
-MAX_CELLS = 2048
+MAX_CELLS = 1024
 #: Vectors of the bounded sample that k-means is fitted on, for each cell.
-SAMPLE_A_CELL = 32
+SAMPLE_A_CELL = 16
 BLOCK_ROWS = 2048
 ROUNDS = 8
 
@@ -74,12 +74,12 @@ def fit_cells(classes: DataFrame) -> dict:
         [T.StructField("label", classes.schema["label"].dataType), T.StructField("share", T.LongType())]))
     sample = (classes.join(F.broadcast(shares), "label")
               .where(F.pmod(F.xxhash64("rep"), F.lit(parts)) < F.col("share"))
-              .select("label", "rep", "vec").limit(2 * SAMPLE_A_CELL * sum(wanted.values())).collect())
+              .select("label", "rep", "vec").limit(2 * SAMPLE_A_CELL * sum(wanted.values())).toPandas())
     out = {}
     for label, k in wanted.items():
-        rows = sorted((r["rep"], r["vec"]) for r in sample if r["label"] == label)
+        rows = sample[sample["label"] == label].sort_values("rep")
         if len(rows) > k:
-            out[label] = spherical_kmeans(unit(np.array([v for _, v in rows])), k)
+            out[label] = spherical_kmeans(unit(np.stack(rows["vec"].to_numpy())), k)
     return out
 
 
