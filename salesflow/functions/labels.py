@@ -73,11 +73,14 @@ def status_fixed(ca: Column | str, empty: Column | None = None,
     return rule
 
 
-def status_region(pct: Column | str) -> Column:
-    """Unrounded % >= 100 atteint, >= 80 proche, else en dessous."""
-    p = to_col(pct)
-    return (F.when(p >= 100, F.lit(STATUS_REGION[0]))
-             .when(p >= 80, F.lit(STATUS_REGION[1]))
+def status_region(ca: Column | str, target: Column | str = 100) -> Column:
+    """At least the target (100 % of it): atteint, at least 80 %: proche,
+    else en dessous.  The amounts are compared, not a rounded %; given a %
+    alone, the target is 100."""
+    c, t = to_col(ca), target if isinstance(target, int) else to_col(target)
+    t = F.lit(t) if isinstance(t, int) else t
+    return (F.when(c >= t, F.lit(STATUS_REGION[0]))
+             .when(c * 100 >= t * 80, F.lit(STATUS_REGION[1]))
              .otherwise(F.lit(STATUS_REGION[2])))
 
 

@@ -3,9 +3,7 @@
 Money stays in DECIMAL so sums do not depend on the order rows arrive in
 after a shuffle.  Two rounding conventions exist in the reference: SQL
 ``ROUND`` (half away from zero, ``round``) and pandas/Python rounding
-(half to even, ``bround``).  Ratios are divided, snapped to six decimals
-and only then rounded, so exact decimal ties round the same in every
-engine.
+(half to even, ``bround``).  Ratios are rounded once, by the exact remainder.
 """
 
 from __future__ import annotations
@@ -18,7 +16,7 @@ from pyspark.sql import functions as F
 from salesflow.functions._util import to_col
 
 MONEY = "decimal(18,2)"
-SNAP = "decimal(28,6)"
+EXACT = "decimal(30,6)"
 
 
 def as_money(c: Column | str) -> Column:
@@ -46,25 +44,31 @@ def round_half_up(c: Column | str, scale: int = 0) -> Column:
     return F.round(to_col(c), scale)
 
 
-def _rounder(half_even: bool):
-    return round_even if half_even else round_half_up
-
-
 def ratio(num: Column | str, den: Column | str, scale: int | None = 2,
           factor: int | float | None = None, half_even: bool = True,
           zero_when: Column | None = None) -> Column:
-    """``round(num [* factor] / den, scale)`` as DOUBLE.
+    """``round(num [* factor] / den, scale)`` as DOUBLE, rounded once.
 
-    The quotient is snapped to DECIMAL(28,6) before rounding.  A zero or
-    null denominator gives null, or 0 when ``zero_when`` holds.
+    Both sides are decimals; the whole part of the scaled quotient and its
+    remainder are exact, and twice the remainder against the divisor says
+    which way to round and what is a tie, whatever the size of the divisor.
+    ``scale=None`` gives the plain quotient of doubles.  A zero or null
+    denominator gives null, or 0 when ``zero_when`` holds.
     """
-    n = to_col(num)
+    n, d = to_col(num).cast(EXACT), to_col(den).cast(EXACT)
     if factor is not None:
         n = n * F.lit(Decimal(str(factor)))
-    q = F.try_divide(n, to_col(den)).cast(SNAP)  # null (not an ANSI error) on a zero divisor
-    if scale is not None:
-        q = _rounder(half_even)(q, scale)
-    out = q.cast("double")
+    if scale is None:
+        out = F.try_divide(n.cast("double"), d.cast("double"))
+    else:
+        a, b = F.abs(n * F.lit(Decimal(10 ** scale))), F.nullif(F.abs(d), F.lit(0).cast(EXACT))
+        rest = a % b
+        whole = ((a - rest) / b).cast("decimal(28,0)")
+        tie = (whole % 2 == 1) if half_even else F.lit(True)
+        up = (rest * 2 > b) | ((rest * 2 == b) & tie)
+        q = whole + F.when(up, F.lit(1)).otherwise(F.lit(0))
+        q = F.when((n < 0) != (d < 0), -q).otherwise(q)
+        out = (q.cast("decimal(28,0)") * F.lit(Decimal(1).scaleb(-scale))).cast("double")
     if zero_when is not None:
         out = F.when(zero_when, F.lit(0.0)).otherwise(out)
     return out

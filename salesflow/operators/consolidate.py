@@ -46,8 +46,8 @@ def consolidate(api: DataFrame | None, files: DataFrame | None) -> DataFrame | N
 def consolidated_total(consolide: DataFrame, dimension: str = "vendeur") -> DataFrame:
     """Per date Σca for one dimension, and its display text (``N/A``
     when there is no total; ``.0f`` rounds half to even as Python does)."""
-    t = consolide.where(F.col("dimension") == dimension).groupBy("date").agg(
-        F.sum(F.col("ca").cast(MONEY)).alias("_ca"))
+    t = consolide.groupBy("date").agg(
+        F.sum(F.when(F.col("dimension") == dimension, F.col("ca").cast(MONEY))).alias("_ca"))
     return t.select("date", F.col("_ca").cast("double").alias("ca_total"),
                     F.when(F.col("_ca").isNull() | (F.col("_ca") == 0), F.lit("N/A"))
                      .otherwise(F.format_string("%.0f", F.bround("_ca", 0).cast("double")))

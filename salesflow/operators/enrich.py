@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesflow.functions.labels import DEFAULT_EDGES, LABELS_EN, LABELS_FR, bucket, status2
+from salesflow.functions.labels import DEFAULT_EDGES, LABELS_EN, LABELS_FR, bucket
 from salesflow.functions.numeric import MONEY, attainment, margin
 from salesflow.functions.text import title_case
 
@@ -77,11 +77,6 @@ def with_attainment(df: DataFrame, num: str = "ca", den: str = "objectif",
     return df.withColumn(out, attainment(num, den, scale))
 
 
-def with_status2(df: DataFrame, pct: str = "atteinte_obj", out: str = "statut") -> DataFrame:
-    """Two-way status on the rounded attainment."""
-    return df.withColumn(out, status2(pct))
-
-
 def lookup(df: DataFrame, dim: DataFrame, key: str, how: str = "left") -> DataFrame:
     """Dimension lookup by equi-join.  ``how='left'`` keeps rows
     whose key is missing (null attributes, caught by the quality checks);

@@ -60,7 +60,7 @@ def _one_pass(df: DataFrame, by: By, tops: Sequence[str], extra: dict[str, Colum
     lead = f"_g_{tops[0]}"
     in_lead = F.col(lead) == 0
     aggs = [from_cents(F.sum(F.when(in_lead, F.col("_s")))).alias("ca"),
-            F.sum(F.when(in_lead, F.col("_n"))).alias("nb")]
+            F.coalesce(F.sum(F.when(in_lead, F.col("_n"))), F.lit(0)).alias("nb")]
     aggs += [(from_cents(F.sum(F.when(in_lead, F.col(f"_x_{n}")))) if n in money
               else F.sum(F.when(in_lead, F.col(f"_x_{n}")))).alias(n) for n in extra]
     for k in tops:
@@ -72,20 +72,26 @@ def _one_pass(df: DataFrame, by: By, tops: Sequence[str], extra: dict[str, Colum
     return group(first, keys).agg(*aggs)
 
 
+def _or_zero(c: str, empty: Column) -> Column:
+    return F.when(empty, F.lit(0).cast(MONEY)).otherwise(F.col(c))
+
+
 def kpis_final(df: DataFrame, objectif: float = 50000, by: By = "date") -> DataFrame:
     """Final-pipeline day KPIs.
 
     ca and marge are the half-even rounded sums; taux_marge comes from the
     rounded sums (0 when ca <= 0); panier_moyen = ca / rows; attainment
-    against ``objectif``; status excellent / bon / faible.  Null product
+    against ``objectif``; status excellent / bon / faible; without rows
+    (``by=None`` on an empty frame) zeros and ``vide``.  Null product
     or seller keys are ignored for the tops.  ``marge`` is taken from the
     frame when present, else computed at 0.42.
     """
     m = F.col("marge") if "marge" in df.columns else margin("montant")
     t = _one_pass(df, by, ["produit", "vendeur"], {"marge": F.sum(cents(m))},
                   keep_null=False, money=["marge"])
-    ca = F.bround(F.col("ca"), 2)
-    mg = F.bround(F.col("marge"), 2)
+    empty = F.col("nb") == 0
+    ca = F.bround(_or_zero("ca", empty), 2)
+    mg = F.bround(_or_zero("marge", empty), 2)
     obj = F.lit(objectif).cast(MONEY)
     return t.select(
         *by_list(by),
@@ -93,10 +99,10 @@ def kpis_final(df: DataFrame, objectif: float = 50000, by: By = "date") -> DataF
         mg.cast("double").alias("marge_totale"),
         ratio(mg, ca, scale=1, factor=100, zero_when=ca <= 0).alias("taux_marge"),
         F.col("nb").alias("nb_ventes"),
-        ratio(ca, F.col("nb"), scale=2).alias("panier_moyen"),
+        ratio(ca, F.col("nb"), scale=2, zero_when=empty).alias("panier_moyen"),
         F.col("top_produit"), F.col("top_vendeur"),
         ratio(ca, obj, scale=1, factor=100).alias("atteinte_obj"),
-        status_vs_target(ca, obj).alias("statut"))
+        status_vs_target(ca, obj, empty).alias("statut"))
 
 
 def kpis_sql(df: DataFrame, by: By = "date") -> DataFrame:
@@ -117,14 +123,15 @@ def kpis_sql(df: DataFrame, by: By = "date") -> DataFrame:
 
 def kpis_basic(df: DataFrame, by: By = "date") -> DataFrame:
     """Step-9 day KPIs: panier_moyen is the mean of the non-null
-    amounts (not CA / rows)."""
+    amounts (not CA / rows); zeros without rows."""
     t = _one_pass(df, by, ["produit", "vendeur"],
                   {"n_montant": F.count(F.col("montant"))}, keep_null=False)
+    empty = F.col("nb") == 0
     return t.select(
         *by_list(by),
-        F.bround(F.col("ca"), 2).cast("double").alias("ca_total"),
+        F.bround(_or_zero("ca", empty), 2).cast("double").alias("ca_total"),
         F.col("nb").alias("nb_ventes"),
-        ratio(F.col("ca"), F.col("n_montant"), scale=2).alias("panier_moyen"),
+        ratio(F.col("ca"), F.col("n_montant"), scale=2, zero_when=empty).alias("panier_moyen"),
         F.col("top_produit"), F.col("top_vendeur"))
 
 
@@ -165,9 +172,10 @@ def calendar_between(df: DataFrame, key: str = "date") -> DataFrame:
 def consolidated_kpis(df: DataFrame, by: By = "date", amount: str = "ca",
                       limits: tuple = FIXED_STATUS_LIMITS) -> DataFrame:
     """ca_total (integer part of the sum), nb_vendeurs = rows, status
-    on strict fixed limits."""
+    on strict fixed limits; no row at all (``by=None``): zeros and ``vide``."""
     t = group(df, by).agg(F.sum(F.col(amount).cast(MONEY)).alias("ca"),
                           F.count(F.lit(1)).alias("nb_vendeurs"))
-    ca_int = F.col("ca").cast("bigint")
+    empty = F.col("nb_vendeurs") == 0
+    ca_int = _or_zero("ca", empty).cast("bigint")
     return t.select(*by_list(by), ca_int.alias("ca_total"), "nb_vendeurs",
-                    status_fixed(ca_int, limits=limits).alias("statut"))
+                    status_fixed(ca_int, empty, limits=limits).alias("statut"))

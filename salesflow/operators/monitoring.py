@@ -14,7 +14,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesflow.functions.numeric import MONEY, SNAP
+from salesflow.functions.numeric import MONEY, ratio
 from salesflow.operators._common import By, by_list
 
 # Fixed values from the reference: stage names, status, time limits (s).
@@ -41,20 +41,30 @@ def run_metrics(stages: DataFrame, sales: DataFrame | None = None, key: str = "d
         vol = sales.groupBy(key).agg(
             F.count(F.lit(1)).alias("nb_lignes"),
             F.round(F.sum(F.col("montant").cast(MONEY)), 2).cast("double").alias("ca_total"))
-        out = out.join(vol, key, "left").withColumn(
+        # a day with sales and no stage rows has durations 0, and the reverse
+        out = out.join(vol, key, "full").withColumns(
+            {c: F.coalesce(F.col(c), F.lit(0.0)) for c in out.columns if c != key}).withColumn(
             "nb_lignes", F.coalesce(F.col("nb_lignes"), F.lit(0)))
     if errors is not None and sales is not None:
         out = out.join(errors, key, "left").withColumn(
             "taux_erreur",
             F.when(F.col("nb_lignes") > 0,
-                   F.round((F.coalesce(F.col("nb_erreurs"), F.lit(0)) / F.col("nb_lignes"))
-                           .cast(SNAP), 4).cast("double")).otherwise(F.lit(0.0))
+                   ratio(F.coalesce(F.col("nb_erreurs"), F.lit(0)), F.col("nb_lignes"), 4,
+                         half_even=False)).otherwise(F.lit(0.0))
         ).drop("nb_erreurs")
     else:
         out = out.withColumn("taux_erreur", F.lit(0.0))
     return out.withColumn("statut", F.lit(STATUS_OK))
 
 
+def history_mean(metrics: DataFrame, duration: str = "duree_totale_s",
+                 volume: str = "nb_lignes") -> DataFrame:
+    """Mean duration and mean volume over the metrics history."""
+    return metrics.agg(
+        ratio(F.sum(F.col(duration).cast("decimal(18,2)")), F.count(F.lit(1)), 2).alias("duree_moyenne_s"),
+        ratio(F.sum(volume), F.count(F.lit(1)), 2).alias("volume_moyen"))
+
+
 def _history_window(series: By, key: str, n: int):
     keys = by_list(series)
     w = Window.partitionBy(*keys) if keys else Window.partitionBy()
@@ -82,12 +92,12 @@ def volume_anomaly(metrics: DataFrame, n: int = 7, k: float = 0.7, min_days: int
 def _rolling_flag(metrics, n, k, min_days, value, key, series, above, name):
     w = _history_window(series, key, n)
     v = F.col(value).cast("decimal(18,2)")
-    mean = F.avg(v).over(w).cast(SNAP)
-    cnt = F.count(F.lit(1)).over(w)
-    limit = mean * F.lit(Decimal(str(k)))
-    hit = (v > limit) if above else (v < limit)
+    total, cnt = F.sum(v).over(w), F.count(F.lit(1)).over(w)
+    known = F.count(v).over(w)
+    ours, limit = v * known, total * F.lit(Decimal(str(k)))  # v against k * mean, undivided
+    hit = (ours > limit) if above else (ours < limit)
     return metrics.select(*by_list(series), key, F.col(value),
-                          F.round(mean, 4).cast("double").alias(f"moyenne_{value}"),
+                          ratio(total, known, 4, half_even=False).alias(f"moyenne_{value}"),
                           cnt.alias("nb_jours_historique"),
                           ((cnt >= min_days) & hit).alias(name))
 
@@ -98,12 +108,12 @@ def latest_window_check(metrics: DataFrame, n: int, k: float, min_days: int,
     """H1 literal form: compare ``current`` with the mean of the ``n``
     latest rows of the table (any date, as the reference reads them)."""
     latest = metrics.orderBy(F.desc(key)).limit(n)
-    s = latest.agg(F.avg(F.col(value).cast("decimal(18,2)")).cast(SNAP).alias("m"),
+    s = latest.agg(F.sum(F.col(value).cast("decimal(18,2)")).alias("t"), F.count(value).alias("n"),
                    F.count(F.lit(1)).alias("c"))
-    cur = F.lit(Decimal(str(current)))
-    lim = F.col("m") * F.lit(Decimal(str(k)))
+    cur = F.lit(Decimal(str(current))) * F.col("n")
+    lim = F.col("t") * F.lit(Decimal(str(k)))
     hit = (cur > lim) if above else (cur < lim)
-    return s.select(F.round("m", 4).cast("double").alias("moyenne"), F.col("c").alias("nb_jours"),
+    return s.select(ratio("t", "n", 4, half_even=False).alias("moyenne"), F.col("c").alias("nb_jours"),
                     ((F.col("c") >= min_days) & hit).alias("anomalie"))
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesflow.operators._common import By, by_list, group
+from salesflow.session import scratch_path
 
 # Fixed values from the reference: error messages of the two rule sets
 # and the named health checks.
@@ -24,6 +25,9 @@ MSG_NEGATIVE_COUNT = "Montants négatifs : %s"
 MSG_NEGATIVE = "Montants négatifs ou nuls"
 MSG_UNKNOWN = "Vendeurs inconnus : %s"
 MSG_VOLUME = "Volume insuffisant : %s < %s"
+MSG_GATE = "Validation échouée"
+MSG_EMPTY_LOAD = "Aucune ligne chargée"
+MSG_INCOMPLETE = "Couches incomplètes"
 CHECK_NAMES = ("pas_de_nulls", "montants_positifs", "volume_ok", "vendeurs_valides")
 
 
@@ -63,6 +67,14 @@ def min_rows(df: DataFrame, n: int = 5, by: By = "date") -> DataFrame:
         .withColumn("volume_ok", F.col("nb_lignes") >= n)
 
 
+def unknown_rows(df: DataFrame, allowed: DataFrame, col: str = "vendeur",
+                 by: By = "date") -> DataFrame:
+    """E4, long form: one row per date and unknown value (null included);
+    nothing is gathered into one row, so the number of values is free."""
+    dom = allowed.select(F.col(allowed.columns[0]).alias(col)).distinct()
+    return df.select(*by_list(by), col).distinct().join(dom, col, "left_anti")
+
+
 def unknown_values(df: DataFrame, allowed: DataFrame, col: str = "vendeur",
                    by: By = "date") -> DataFrame:
     """Per date, the distinct values of ``col`` outside the
@@ -72,8 +84,7 @@ def unknown_values(df: DataFrame, allowed: DataFrame, col: str = "vendeur",
     per date is bounded by the number of distinct unknown values.
     """
     keys = by_list(by)
-    dom = allowed.select(F.col(allowed.columns[0]).alias(col)).distinct()
-    bad = df.select(*keys, col).distinct().join(dom, col, "left_anti")
+    bad = unknown_rows(df, allowed, col, by)
     return group(bad, keys).agg(
         F.count(F.lit(1)).alias("nb_inconnus"),
         F.array_sort(F.collect_list(F.coalesce(F.col(col), F.lit("None")))).alias("inconnus"))
@@ -91,15 +102,26 @@ def _errors(*pairs: tuple[Column, Column]) -> Column:
     return F.filter(arr, lambda x: x.isNotNull())
 
 
+def _with_expected(stats: DataFrame, expected: DataFrame | None, keys: list[str],
+                   zeros: dict[str, int]) -> DataFrame:
+    """Add the expected groups without rows, their counts 0."""
+    if expected is None:
+        return stats
+    out = expected.select(*keys).distinct().join(stats, keys, "full")
+    return out.withColumns({c: F.coalesce(F.col(c), F.lit(v).cast("bigint")) for c, v in zeros.items()})
+
+
 def validate_testable(df: DataFrame, allowed: DataFrame | None, by: By = "date",
-                      col: str = "vendeur", amount: str = "montant") -> DataFrame:
+                      col: str = "vendeur", amount: str = "montant",
+                      expected: DataFrame | None = None) -> DataFrame:
     """E6, step-9 rule set: nulls, empty, non-positive amounts, unknown
     sellers.  Output per date: valid, erreurs (array), nb_lignes.
 
     One pass: the rows are joined to the (distinct) domain, then a single
     aggregation counts rows, missing cells and non-positive amounts and
     collects the distinct unknown values (a set per date, folded
-    map-side)."""
+    map-side).  ``expected`` (the dates that should have rows) adds the
+    dates without any, which fail as empty."""
     keys = by_list(by)
     nulls = null_cells_expr(df)
     if allowed is not None:
@@ -115,6 +137,8 @@ def validate_testable(df: DataFrame, allowed: DataFrame | None, by: By = "date",
         F.sum(nulls).cast("bigint").alias("nb_nulls"),
         F.count_if(F.col(amount) <= 0).alias("nb_neg"),
         F.array_sort(unknown).alias("inconnus"))
+    stats = _with_expected(stats, expected, keys, {"nb_lignes": 0, "nb_nulls": 0, "nb_neg": 0})
+    stats = stats.withColumn("inconnus", F.coalesce("inconnus", F.array().cast("array<string>")))
     errs = _errors(
         (F.col("nb_nulls") > 0, F.format_string(MSG_NULLS, F.col("nb_nulls"))),
         (F.col("nb_lignes") == 0, F.lit(MSG_EMPTY)),
@@ -126,14 +150,16 @@ def validate_testable(df: DataFrame, allowed: DataFrame | None, by: By = "date",
 
 
 def validate_final(df: DataFrame, min_lignes: int = 5, by: By = "date",
-                   amount: str = "montant") -> DataFrame:
+                   amount: str = "montant", expected: DataFrame | None = None) -> DataFrame:
     """E6, final rule set: volume, nulls, non-positive amounts.
-    Output per date: valid, erreurs (array), nb."""
+    Output per date: valid, erreurs (array), nb.  ``expected``: as in
+    :func:`validate_testable`; a date without rows fails on its volume."""
     keys = by_list(by)
     stats = group(df, keys).agg(
         F.count(F.lit(1)).alias("nb"),
         F.sum(null_cells_expr(df)).cast("bigint").alias("nb_nulls"),
         F.count_if(F.col(amount) <= 0).alias("nb_neg"))
+    stats = _with_expected(stats, expected, keys, {"nb": 0, "nb_nulls": 0, "nb_neg": 0})
     errs = _errors(
         (F.col("nb") < min_lignes, F.format_string(MSG_VOLUME, F.col("nb"), F.lit(min_lignes))),
         (F.col("nb_nulls") > 0, F.format_string(MSG_NULLS, F.col("nb_nulls"))),
@@ -166,14 +192,36 @@ def health_checks(df: DataFrame, allowed: DataFrame, min_lignes: int = 10, by: B
     return out.withColumn("checks_echoues", failing)
 
 
-def require_valid(report: DataFrame, valid: str = "valid", errors: str = "erreurs") -> None:
-    """Raise when any reported group is invalid, messages joined with
-    `` | ``.  Only the failing report rows (one per invalid date) reach
-    the driver."""
-    bad = report.where(~F.col(valid)).select(
-        F.array_join(F.col(errors), " | ").alias("msg")).limit(20).collect()
-    if bad:
-        raise ValueError("Validation échouée : " + " || ".join(r["msg"] for r in bad))
+class InvalidDays(ValueError):
+    """A gate that stopped: how many groups failed and where the full
+    report of them lies."""
+
+    def __init__(self, message: str, count: int, path: str):
+        super().__init__(message)
+        self.count, self.path = count, path
+
+
+def _stop(failing: DataFrame, what: str, path: str | None) -> None:
+    """Write every failing row to ``path`` and raise if there is any."""
+    if failing.isEmpty():
+        return
+    spark = failing.sparkSession
+    path = path or scratch_path(spark, "rejets")
+    failing.write.mode("overwrite").parquet(path)
+    count = spark.read.parquet(path).count()
+    raise InvalidDays(f"{what} : {count}, rapport complet : {path}", count, path)
+
+
+def require_valid(report: DataFrame, valid: str = "valid", errors: str = "erreurs",
+                  path: str | None = None) -> None:
+    """Raise when any reported group is invalid.
+
+    All invalid rows, messages joined with `` | `` as ``message``, are
+    written to ``path`` (a fresh shared folder unless given); the error
+    holds their exact number and that place.  Nothing of the report reaches
+    the driver, so any number of days can fail."""
+    bad = report.where(~F.coalesce(F.col(valid), F.lit(False)))
+    _stop(bad.withColumn("message", F.array_join(F.col(errors), " | ")), MSG_GATE, path)
 
 
 def quarantine(df: DataFrame, report: DataFrame, by: By = "date",
@@ -185,15 +233,26 @@ def quarantine(df: DataFrame, report: DataFrame, by: By = "date",
     return df.join(ok, keys, "left_semi"), df.join(ok, keys, "left_anti")
 
 
-def verify_loaded(loaded: DataFrame, by: By = "date") -> DataFrame:
-    """Rows per date after a load, with the zero-row failure flag."""
-    return group(loaded, by).agg(F.count(F.lit(1)).alias("nb_lignes")) \
-        .withColumn("ok", F.col("nb_lignes") > 0)
+def verify_loaded(loaded: DataFrame, by: By = "date", expected: DataFrame | None = None,
+                  stop: bool = False, path: str | None = None) -> DataFrame:
+    """Rows per date after a load, with the zero-row failure flag.
+
+    ``expected`` names the dates that were to be loaded (``by=None``: one
+    load); one without rows is ``ok = false``, and ``stop`` raises on it."""
+    keys = by_list(by)
+    counts = group(loaded, keys).agg(F.count(F.lit(1)).alias("nb_lignes"))
+    if keys:
+        counts = _with_expected(counts, expected, keys, {"nb_lignes": 0})
+    out = counts.withColumn("ok", F.col("nb_lignes") > 0)
+    if stop:
+        _stop(out.where("not ok"), MSG_EMPTY_LOAD, path)
+    return out
 
 
-def reconcile(layers: dict[str, DataFrame], key: str = "date") -> DataFrame:
+def reconcile(layers: dict[str, DataFrame], key: str = "date", stop: bool = False,
+              path: str | None = None) -> DataFrame:
     """Per date, row counts in each layer (0 when absent) and whether
-    every layer has rows.  Counts are aggregated per layer before the
+    every layer has rows; ``stop`` raises when one has none.  Counts are aggregated per layer before the
     union, then pivoted on the known layer names."""
     names = list(layers)
     counts = None
@@ -206,7 +265,10 @@ def reconcile(layers: dict[str, DataFrame], key: str = "date") -> DataFrame:
     complete = F.lit(True)
     for n in names:
         complete = complete & (F.col(f"nb_{n}") > 0)
-    return filled.withColumn("complet", complete)
+    out = filled.withColumn("complet", complete)
+    if stop:
+        _stop(out.where("not complet"), MSG_INCOMPLETE, path)
+    return out
 
 
 def load_summary(df: DataFrame, by: By = "date", amount: str = "montant") -> DataFrame:

@@ -98,9 +98,10 @@ def region_attainment(sales: DataFrame, targets: DataFrame, by: By = "date") ->
     keys = by_list(by)
     agg = sales.groupBy(*keys, "region").agg(F.sum(F.col("montant").cast(MONEY)).alias("_ca"))
     j = agg.join(targets.select("region", "objectif"), "region")
-    pct = attainment(F.col("_ca"), F.col("objectif").cast(MONEY), scale=None)
+    target = F.col("objectif").cast(MONEY)
+    pct = attainment(F.col("_ca"), target, scale=None)
     return j.select(*keys, "region", F.col("_ca").cast("double").alias("ca"),
-                    pct.alias("atteinte"), status_region(pct).alias("statut"))
+                    pct.alias("atteinte"), status_region("_ca", target).alias("statut"))
 
 
 def region_daily_attainment(sales: DataFrame, objectifs: DataFrame) -> DataFrame:

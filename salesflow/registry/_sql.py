@@ -18,9 +18,14 @@ WBV = "WITH " + VENTES_BRUTES_SQL + "," + VENDEURS_VALIDES_SQL
 
 
 def snap(expr: str, scale: int, even: bool = True) -> str:
-    """round(expr snapped to 6 decimals) as DOUBLE (the ratio recipe)."""
-    fn = "round_even" if even else "round"
-    return f"CAST({fn}(CAST({expr} AS DECIMAL(28,6)), {scale}) AS DOUBLE)"
+    """``num / den`` rounded once to ``scale`` digits as DOUBLE, in whole
+    numbers: quotient, remainder and tie of 128-bit integers."""
+    num, den = (f"CAST(replace(CAST(CAST({x} AS DECIMAL(38,4)) AS VARCHAR), '.', '') AS HUGEINT)"
+                for x in expr.split(" / ", 1))
+    n, d = f"(abs({num}) * {10 ** scale})", f"abs({den})"
+    tie = f"({n} // {d}) % 2 = 1" if even else "true"
+    up = f"CASE WHEN 2 * ({n} % {d}) > {d} OR (2 * ({n} % {d}) = {d} AND {tie}) THEN 1 ELSE 0 END"
+    return f"(CASE WHEN {num} < 0 THEN -1 ELSE 1 END * CAST({n} // {d} + {up} AS DOUBLE) / {10 ** scale}.0)"
 
 
 def bucket_sql(col: str, labels=("Petite", "Moyenne", "Grosse"), edges=SQL_EDGES,

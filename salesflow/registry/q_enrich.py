@@ -80,7 +80,7 @@ def c4_with_margin(spark, sf_dir):
 @register("c5_with_attainment", SELLER_YEARS_SQL + f"""
 SELECT vendeur, annee, CAST(ca AS DOUBLE) AS ca, CAST(objectif AS DOUBLE) AS objectif,
        {snap('ca * 100 / objectif', 1)} AS atteinte_obj,
-       CAST(CAST(ca * 100 / objectif AS DECIMAL(28,6)) AS DOUBLE) AS atteinte_brute
+       CAST(ca * 100 AS DOUBLE) / CAST(objectif AS DOUBLE) AS atteinte_brute
 FROM perf""")
 def c5_with_attainment(spark, sf_dir):
     p = En.with_attainment(seller_years(spark, sf_dir))
@@ -220,3 +220,26 @@ SELECT date, CAST(sum(montant) AS DOUBLE) AS ca_brut,
 FROM ventes GROUP BY date""")
 def d6_choose_strategy(spark, sf_dir):
     return R.choose_strategy(ventes(spark, sf_dir), OBJECTIF)
+
+
+@register("c5_ratio_large_groups", W + f""",
+g AS (SELECT l_linestatus, sum(montant) AS ca, CAST(count(*) AS DECIMAL(18,2)) AS n FROM ventes GROUP BY 1),
+t AS (SELECT *, CAST(n * 10 + n * 0.5 AS DECIMAL(30,2)) AS tie,
+             CAST(n * 10 + n * 0.5 - 0.01 AS DECIMAL(30,2)) AS under,
+             CAST(n * 10 + n * 0.5 + 0.01 AS DECIMAL(30,2)) AS over FROM g)
+SELECT l_linestatus, {snap('ca / n', 2)} AS moyenne, {snap('tie / n', 0)} AS pair,
+       {snap('tie / n', 0, even=False)} AS haut, {snap('under / n', 0, even=False)} AS sous,
+       {snap('over / n', 0)} AS sur FROM t""")
+def c5_ratio_large_groups(spark, sf_dir):
+    """Ratios over groups of many rows, at a tie and one cent beside it:
+    rounded once, from the exact quotient."""
+    from decimal import Decimal
+    from salesflow.functions.numeric import ratio
+    n = F.count(F.lit(1)).cast("decimal(18,2)")
+    g = ventes(spark, sf_dir).groupBy("l_linestatus").agg(F.sum("montant").alias("ca"), n.alias("n"))
+    tie = F.col("n") * F.lit(Decimal("10.5"))
+    cent = F.lit(Decimal("0.01"))
+    return g.select("l_linestatus", ratio("ca", "n", 2).alias("moyenne"), ratio(tie, "n", 0).alias("pair"),
+                    ratio(tie, "n", 0, half_even=False).alias("haut"),
+                    ratio(tie - cent, "n", 0, half_even=False).alias("sous"),
+                    ratio(tie + cent, "n", 0).alias("sur"))

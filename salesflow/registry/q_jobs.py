@@ -133,16 +133,16 @@ def n11_multi_source(spark, sf_dir):
     return J.multi_source(spark, api_rows(spark, sf_dir), folder, REGION_SCHEMA)
 
 
-@register("n12_monitored_etl", METRICS_SQL + """,
+@register("n12_monitored_etl", METRICS_SQL + f""",
 r AS (SELECT date, duree_totale_s, nb_lignes,
-        CAST(avg(CAST(duree_totale_s AS DECIMAL(18,2))) OVER w AS DECIMAL(28,6)) AS md,
-        CAST(avg(CAST(nb_lignes AS DECIMAL(18,2))) OVER w AS DECIMAL(28,6)) AS mv,
+        sum(CAST(duree_totale_s AS DECIMAL(18,2))) OVER w AS md,
+        sum(CAST(nb_lignes AS DECIMAL(18,2))) OVER w AS mv,
         count(*) OVER w AS c
       FROM metrics WINDOW w AS (ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW))
-SELECT date, duree_totale_s, CAST(round(md, 4) AS DOUBLE) AS moyenne_duree_totale_s,
-       c AS nb_jours_historique, c >= 3 AND CAST(duree_totale_s AS DECIMAL(18,2)) > md * 1.5 AS anomalie_perf,
-       CAST(round(mv, 4) AS DOUBLE) AS moyenne_nb_lignes,
-       c >= 2 AND nb_lignes < mv * 0.7 AS baisse_volume
+SELECT date, duree_totale_s, {snap('md / c', 4, even=False)} AS moyenne_duree_totale_s,
+       c AS nb_jours_historique, c >= 3 AND CAST(duree_totale_s AS DECIMAL(18,2)) * c > md * 1.5 AS anomalie_perf,
+       {snap('mv / c', 4, even=False)} AS moyenne_nb_lignes,
+       c >= 2 AND nb_lignes * c < mv * 0.7 AS baisse_volume
 FROM r""")
 def n12_monitored_etl(spark, sf_dir):
     e = table(spark, sf_dir, "events")

@@ -6,6 +6,7 @@ from salesflow.functions.dates import day_key
 from salesflow.functions.numeric import ratio
 from salesflow.operators import monitoring as M
 from salesflow.registry import register
+from salesflow.registry._sql import snap
 from salesflow.views import table
 
 # Stand-in for the pipeline's stage timings: per day, the mean value of
@@ -27,11 +28,11 @@ def run_metrics_from_events(spark, sf_dir):
     return M.run_metrics(stages, sales, errors=errors)
 
 
-METRICS_SQL = """WITH
+METRICS_SQL = f"""WITH
 ev AS (SELECT strftime(ts, '%Y-%m-%d') AS date, event_type, CAST(value AS DECIMAL(18,2)) AS v FROM events),
 st AS (SELECT date, CASE event_type WHEN 'view' THEN 'extract' WHEN 'click' THEN 'transform'
                                     WHEN 'purchase' THEN 'load' END AS stage,
-              CAST(round_even(CAST(sum(v) / count(*) AS DECIMAL(28,6)), 2) AS DECIMAL(18,2)) AS s
+              CAST({snap('sum(v) / count(*)', 2)} AS DECIMAL(18,2)) AS s
        FROM ev WHERE event_type IN ('view', 'click', 'purchase') GROUP BY 1, 2),
 w AS (SELECT date, coalesce(max(s) FILTER (WHERE stage = 'extract'), 0) AS e,
              coalesce(max(s) FILTER (WHERE stage = 'transform'), 0) AS t,
@@ -42,7 +43,7 @@ metrics AS (
   SELECT w.date, CAST(e AS DOUBLE) AS duree_extract_s, CAST(t AS DOUBLE) AS duree_transform_s,
          CAST(l AS DOUBLE) AS duree_load_s, CAST(round(e + t + l, 2) AS DOUBLE) AS duree_totale_s,
          coalesce(nb_lignes, 0) AS nb_lignes, ca_total,
-         CASE WHEN nb_lignes > 0 THEN CAST(round(CAST(nerr / nb_lignes AS DECIMAL(28,6)), 4) AS DOUBLE)
+         CASE WHEN nb_lignes > 0 THEN {snap('nerr / nb_lignes', 4, even=False)}
               ELSE 0.0 END AS taux_erreur,
          'SUCCES' AS statut
   FROM w LEFT JOIN vol USING (date))"""
@@ -56,11 +57,11 @@ def g16_run_metrics(spark, sf_dir):
 def _rolling_sql(n, k, min_days, value, name, op):
     return METRICS_SQL + f""",
 r AS (SELECT date, {value},
-             CAST(avg(CAST({value} AS DECIMAL(18,2))) OVER w AS DECIMAL(28,6)) AS m,
+             sum(CAST({value} AS DECIMAL(18,2))) OVER w AS m,
              count(*) OVER w AS c
       FROM metrics WINDOW w AS (ORDER BY date ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW))
-SELECT date, {value}, CAST(round(m, 4) AS DOUBLE) AS moyenne_{value}, c AS nb_jours_historique,
-       c >= {min_days} AND CAST({value} AS DECIMAL(18,2)) {op} m * {k} AS {name}
+SELECT date, {value}, {snap('m / c', 4, even=False)} AS moyenne_{value}, c AS nb_jours_historique,
+       c >= {min_days} AND CAST({value} AS DECIMAL(18,2)) * c {op} m * {k} AS {name}
 FROM r"""
 
 
@@ -92,13 +93,9 @@ def h4_sla_breaches(spark, sf_dir):
     return M.sla_breaches(run_metrics_from_events(spark, sf_dir), SLA_LIMITS)
 
 
-@register("g17_history_mean", METRICS_SQL + """
-SELECT CAST(round_even(CAST(avg(CAST(duree_totale_s AS DECIMAL(18,2))) AS DECIMAL(28,6)), 2) AS DOUBLE)
-         AS duree_moyenne_s,
-       CAST(round_even(CAST(avg(nb_lignes) AS DECIMAL(28,6)), 2) AS DOUBLE) AS volume_moyen
+@register("g17_history_mean", METRICS_SQL + f"""
+SELECT {snap('sum(CAST(duree_totale_s AS DECIMAL(18,2))) / count(*)', 2)} AS duree_moyenne_s,
+       {snap('sum(nb_lignes) / count(*)', 2)} AS volume_moyen
 FROM metrics""")
 def g17_history_mean(spark, sf_dir):
-    m = run_metrics_from_events(spark, sf_dir)
-    return m.agg(ratio(F.sum(F.col("duree_totale_s").cast("decimal(18,2)")), F.count(F.lit(1)), 2)
-                 .alias("duree_moyenne_s"),
-                 ratio(F.sum("nb_lignes"), F.count(F.lit(1)), 2).alias("volume_moyen"))
+    return M.history_mean(run_metrics_from_events(spark, sf_dir))

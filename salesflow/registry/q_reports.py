@@ -68,9 +68,9 @@ def i3_latest_days(spark, sf_dir):
 
 _REGION_SQL = """
 SELECT {keys} v.region, CAST(sum(montant) AS DOUBLE) AS ca,
-       CAST(CAST(sum(montant) * 100 / any_value(t.objectif) AS DECIMAL(28,6)) AS DOUBLE) AS atteinte,
-       CASE WHEN sum(montant) * 100 / any_value(t.objectif) >= 100 THEN '✓ Atteint'
-            WHEN sum(montant) * 100 / any_value(t.objectif) >= 80 THEN '⚠ Proche'
+       CAST(sum(montant) * 100 AS DOUBLE) / CAST(any_value(t.objectif) AS DOUBLE) AS atteinte,
+       CASE WHEN sum(montant) >= any_value(t.objectif) THEN '✓ Atteint'
+            WHEN sum(montant) * 100 >= CAST(any_value(t.objectif) AS DECIMAL(30,2)) * 80 THEN '⚠ Proche'
             ELSE '✗ En dessous' END AS statut
 FROM ventes v JOIN {targets} ON v.region = t.region
 GROUP BY {keys} v.region"""

@@ -105,14 +105,16 @@ STAGE_CONFIG = (("view", "extract"), ("click", "transform"), ("purchase", "load"
 
 
 @register("a8_config", """
-SELECT e.event_id, c.stage, coalesce(CAST(json_extract(e.props, '$.k') AS INTEGER), 0) AS k
-FROM events e JOIN (VALUES ('view', 'extract'), ('click', 'transform'), ('purchase', 'load'))
+SELECT e.event_id, coalesce(c.stage, 'autre') AS stage,
+       coalesce(CAST(json_extract(e.props, '$.k') AS INTEGER), 0) AS k
+FROM events e LEFT JOIN (VALUES ('view', 'extract'), ('click', 'transform'), ('purchase', 'load'))
      c(event_type, stage) ON e.event_type = c.event_type""")
 def a8_config(spark, sf_dir):
     """A configuration frame (bounded: its literal rows) broadcast-joined
-    to the events, and JSON settings parsed with defaults."""
+    to the events, a default stage where it has none, and JSON settings
+    parsed with defaults."""
     from salesflow.sources.config import parse_config
     cfg = config_df(spark, STAGE_CONFIG, "event_type string, stage string")
     e = table(spark, sf_dir, "events")
-    return e.join(F.broadcast(cfg), "event_type").select(
-        "event_id", "stage", parse_config("props", "k INT", {"k": 0})["k"].alias("k"))
+    return e.join(F.broadcast(cfg), "event_type", "left").select(
+        "event_id", F.coalesce("stage", F.lit("autre")).alias("stage"), parse_config("props", "k INT", {"k": 0})["k"].alias("k"))

@@ -25,6 +25,7 @@ def get_spark(master: str | None = None, app: str = "salesflow",
                .config("spark.sql.adaptive.enabled", "true")
                .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
                .config("spark.sql.adaptive.skewJoin.enabled", "true")
+               .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
                .config("spark.sql.shuffle.partitions",
                        str(shuffle_partitions or max(8, 2 * cpus))))
     if master:
@@ -47,8 +48,10 @@ def size_shuffles(spark: SparkSession, shuffled_bytes: int,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    When the session has none (unit tests, a laptop), a folder is created
-    under the local temp dir and registered as the checkpoint dir.
+    When a local session has none (unit tests, a laptop), a folder is
+    created under the local temp dir and registered as the checkpoint dir.
+    Off a local master that raises: executors on other machines would not
+    see such a folder.
     """
     try:
         sc = spark.sparkContext
@@ -58,6 +61,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return sc.getCheckpointDir()
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        master = spark.conf.get("spark.master", None) or (sc.master if sc is not None else "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="salesflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     if sc is None:

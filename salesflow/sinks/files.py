@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """B1: headered CSV, no index column, overwrite."""
-    df.write.mode(mode).option("header", True).csv(path)
+    """B1: headered CSV, no index column, overwrite; quotes inside a cell
+    are doubled."""
+    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
     return path
 
 

@@ -1,32 +1,57 @@
-"""Date-partitioned tables and their load semantics.
-
-Tables are ``USING parquet PARTITIONED BY (date)`` with an explicit
-location (under the shared checkpoint folder unless given), so a day is
-a directory: replacing a day rewrites that directory only, and readers
-filtering on the date list and read that directory only.
+"""Partitioned tables and their load semantics.
+
+Tables are ``USING parquet PARTITIONED BY (date)`` in the warehouse (or at
+a given location), so a day is a directory: replacing a day rewrites that
+directory only, and readers filtering on the date list and read that
+directory only.  KPI tables, with a row or a few per day, are partitioned
+by month (``MONTH``): an upsert rewrites the months that it touches.
+Replacements are staged by Spark and moved in when the write is done, so a
+crash leaves the old partitions.
 """
 
 from __future__ import annotations
 
-import uuid
+import datetime
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from salesflow.session import scratch_path
+#: Partition column of KPI tables: the ``yyyy-MM`` of their ``date``.
+MONTH = "mois"
+_DYNAMIC = "spark.sql.sources.partitionOverwriteMode"
+
+
+def _name(table: str) -> str:
+    """``table`` if it is a plain (qualified) identifier, else an error."""
+    if not re.fullmatch(r"\w+(\.\w+){0,2}", table):
+        raise ValueError(f"not a table name: {table!r}")
+    return table
+
+
+def _day(ds: str) -> str:
+    """``ds`` if it is a ``yyyy-MM-dd`` date, else an error."""
+    return datetime.date.fromisoformat(ds).isoformat()
 
 
 def ensure_table(spark: SparkSession, name: str, ddl: str, partition: str | None = "date",
                  location: str | None = None) -> str:
-    """B2: ``CREATE TABLE IF NOT EXISTS`` with a fixed DDL column list."""
-    loc = location or scratch_path(spark, f"table-{name}")
+    """B2: ``CREATE TABLE IF NOT EXISTS`` with a fixed DDL column list.
+    ``partition=MONTH`` adds that column.  Without a ``location`` the table
+    lies in the warehouse."""
+    cols = f"{ddl}, {MONTH} string" if partition == MONTH else ddl
     part = f" PARTITIONED BY ({partition})" if partition else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet{part} "
-              f"LOCATION '{loc}'")
+    where = " LOCATION '{}'".format(location.replace("'", "\\'")) if location else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {_name(name)} ({cols}) USING parquet{part}{where}")
     return name
 
 
+def rows_of(spark: SparkSession, table: str) -> DataFrame:
+    """The rows of a table without its month column."""
+    return spark.table(table).drop(MONTH)
+
+
 def _by_name(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
     """Columns of ``df`` in the table's order, matched by name; a column
     the table lacks is an error, a column ``df`` lacks is null."""
@@ -52,6 +77,12 @@ def _partition_key(spark: SparkSession, table: str) -> str | None:
 
 
 def _insert(spark: SparkSession, df: DataFrame, table: str, overwrite: bool) -> None:
+    """Append, or replace the partitions that ``df`` has rows of.  The
+    overwrite mode must be dynamic for that: ``get_spark`` sets it once; a
+    session without it is set here and stays so (switching back and forth
+    would race with another load of the session)."""
+    if overwrite and spark.conf.get(_DYNAMIC, "static").lower() != "dynamic":
+        spark.conf.set(_DYNAMIC, "dynamic")
     data = _by_name(spark, df, table)
     key = _partition_key(spark, table)
     if key:
@@ -78,42 +109,35 @@ def replace_day(spark: SparkSession, df: DataFrame, table: str, ds: str,
     other days are untouched.  A row whose date is not ``ds`` fails the
     job (checked inside the write, no extra pass).
     """
+    ds = _day(ds)
     cols = [c for c in spark.table(table).columns if c != key]
     on_day = F.when(F.col(key) == F.lit(ds), F.lit(True)).otherwise(
         F.raise_error(F.concat(F.lit("row outside the loaded day: "),
                                F.coalesce(F.col(key), F.lit("null")))).cast("boolean"))
-    checked = _by_name(spark, df.where(on_day), table)
-    view = f"_replace_day_{uuid.uuid4().hex[:10]}"
-    checked.createOrReplaceTempView(view)
-    try:
-        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({key} = '{ds}') "
-                  f"SELECT {', '.join(f'`{c}`' for c in cols)} FROM {view}")
-    finally:
-        spark.catalog.dropTempView(view)
+    checked = _by_name(spark, df.where(on_day), table).select(*cols)
+    spark.sql(f"INSERT OVERWRITE TABLE {_name(table)} PARTITION ({key} = '{ds}') "
+              "SELECT * FROM {rows}", rows=checked)
 
 
 def replace_days(spark: SparkSession, df: DataFrame, table: str,
                  days: Sequence[str] | None = None, key: str = "date") -> None:
     """B4, many days in one job: dynamic partition overwrite replaces the
     days present in ``df`` and leaves the others.  Days listed in
-    ``days`` but absent from ``df`` are cleared too (dynamic overwrite
-    alone would keep them), by dropping their partitions.
-
-    The overwrite mode is switched on the session for the write and
-    restored after it (``insertInto`` on a parquet catalog table ignores a
-    per-write option and V1 tables have no ``overwritePartitions``), so
-    two such writes should not run at once in one session."""
-    conf_key = "spark.sql.sources.partitionOverwriteMode"
-    old = spark.conf.get(conf_key, "static")
-    spark.conf.set(conf_key, "dynamic")
-    try:
+    ``days`` but absent from ``df`` are cleared too: each gets a static
+    overwrite with no rows, which deletes its files.
+
+    Which listed days had rows is observed during the write (a set bounded
+    by ``days``), so the input is evaluated once."""
+    if not days:
         _insert(spark, df, table, overwrite=True)
-    finally:
-        spark.conf.set(conf_key, old)
-    if days:
-        present = {r[0] for r in df.select(key).distinct().collect()}
-        for d in sorted(set(days) - present):
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({key} = '{d}')")
+        return
+    listed = sorted({_day(d) for d in days})
+    seen = Observation()
+    wanted = F.when(F.col(key).isin(listed), F.col(key))
+    _insert(spark, df.observe(seen, F.collect_set(wanted).alias("days")), table, overwrite=True)
+    nothing = _by_name(spark, df.limit(0), table)
+    for d in sorted(set(listed) - set(seen.get["days"])):
+        replace_day(spark, nothing, table, d, key)
 
 
 def upsert_kpis(spark: SparkSession, kpis: DataFrame, table: str,
@@ -121,20 +145,22 @@ def upsert_kpis(spark: SparkSession, kpis: DataFrame, table: str,
     """Keyed upsert: rows whose key is in ``kpis`` are replaced, the
     others kept.
 
-    A KPI table holds one row per key (date, or date and region): its
-    size is bounded by the calendar, so it is kept unpartitioned (no
-    file per day).  The merged state (old rows not in ``kpis`` + ``kpis``)
-    is checkpointed to the shared folder, which cuts the read of the
-    table out of the lineage, then written over the table.  Tables
-    partitioned on the key use a dynamic partition overwrite instead.
+    The table is partitioned by month (``ensure_table(partition=MONTH)``,
+    one of the keys is ``date``) or by its one key.  Only the partitions
+    that ``kpis`` touches are read, merged and replaced, in one dynamic
+    overwrite: a replayed call gives the same table.
     """
     keys = [key] if isinstance(key, str) else list(key)
     part = _partition_key(spark, table)
-    if part is not None and keys == [part]:
+    if keys == [part]:
         replace_days(spark, kpis, table, key=part)
         return
-    merged = upsert_frame(spark.table(table), _by_name(spark, kpis, table), keys)
-    merged.checkpoint(eager=True).write.insertInto(table, overwrite=True)
+    if part != MONTH or "date" not in keys:
+        raise ValueError(f"{table} must be partitioned by {keys[0]} or by month")
+    new = kpis.withColumn(MONTH, F.substring("date", 1, 7))
+    touched = new.select(MONTH).distinct()
+    old = spark.table(table).join(touched, MONTH, "left_semi")
+    _insert(spark, upsert_frame(old, _by_name(spark, new, table), keys), table, overwrite=True)
 
 
 def upsert_frame(old: DataFrame, new: DataFrame, key: str | Sequence[str] = "date") -> DataFrame:
@@ -148,8 +174,8 @@ def upsert_frame(old: DataFrame, new: DataFrame, key: str | Sequence[str] = "dat
 def add_surrogate_key(df: DataFrame, order: Sequence[str], start: int | DataFrame = 1,
                       col: str = "id") -> DataFrame:
     """Consecutive integer ids in ``order`` (a total order), from
-    ``start`` (an int, or a one-row frame holding the next free id, e.g.
-    ``max(id) + 1`` of the target table, so ids are never reused).
+    ``start`` (an int, or a one-row frame holding the next free id).  Give
+    only the columns that are needed: the frame is sorted as a whole.
 
     No global window: the rows are range-partitioned and sorted, the
     frame is checkpointed to the shared checkpoint folder (so the
@@ -170,3 +196,21 @@ def add_surrogate_key(df: DataFrame, order: Sequence[str], start: int | DataFram
     return base.join(F.broadcast(offsets), "_pid").withColumn(
         col, (F.col("_start") + F.col("_off") + local).cast("long")) \
         .drop("_pid", "_mid", "_off", "_start")
+
+
+def append_with_ids(spark: SparkSession, df: DataFrame, table: str, order: Sequence[str],
+                    marks: str, col: str = "id") -> None:
+    """B7 in a load: append ``df`` to ``table`` with ids above every id that
+    was ever given out for it.
+
+    ``marks`` (made if absent) is an append-only table of high-water marks:
+    the new mark is written before the rows, so ids are not reused after a
+    delete or a crash."""
+    ensure_table(spark, marks, "nom string, dernier_id bigint", partition=None)
+    last = spark.table(marks).where(F.col("nom") == table).agg(
+        F.coalesce(F.max("dernier_id"), F.lit(0)).alias("last"))
+    start = int(last.first()["last"])
+    rows = add_surrogate_key(df, order, start + 1, col).checkpoint()
+    top = rows.agg(F.max(col).alias("dernier_id")).where("dernier_id is not null")
+    append_by_name(spark, top.select(F.lit(table).alias("nom"), "dernier_id"), marks)
+    append_by_name(spark, rows, table)

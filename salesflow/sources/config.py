@@ -8,14 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Fixed values from the reference: the per-region configuration.
-REGIONS_CONFIG = (
-    ("Île-de-France", "idf", 50000),
-    ("PACA", "paca", 35000),
-    ("Grand Est", "ge", 25000),
-)
-
-
 def ddl_schema(schema: T.StructType | str) -> T.StructType:
     """A DDL string (``"k INT, name STRING"``) as a StructType."""
     if isinstance(schema, T.StructType):

@@ -8,44 +8,56 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from salesflow.sources.config import ddl_schema
+
 # The text tokens pandas ``read_csv`` reads as missing.
 NA_VALUES = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
              "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None",
              "n/a", "nan", "null")
 
 
-def _na_to_null(df: DataFrame, na_values: Sequence[str]) -> DataFrame:
-    """Text cells equal to an NA token become null (string columns only;
-    typed columns already read such tokens as null)."""
-    toks = [v for v in na_values if v != ""]
-    if not toks:
-        return df
-    cols = []
-    for f in df.schema.fields:
-        if isinstance(f.dataType, T.StringType):
-            cols.append(F.when(F.col(f.name).isin(toks), F.lit(None))
-                        .otherwise(F.col(f.name)).alias(f.name))
-        else:
-            cols.append(F.col(f.name))
-    return df.select(*cols)
+# Fixed value: what is raised when no source was delivered.
+MSG_NOTHING = "Aucune donnée à consolider"
+BAD_CELLS = "_cellules_invalides"
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str,
              na_values: Sequence[str] = NA_VALUES, with_path: bool = False,
-             **options) -> DataFrame:
-    """A1: headered CSV with an explicit schema; NA tokens -> null.
-
-    Numeric columns are read as typed (a bad or NA token becomes null in
-    PERMISSIVE mode), which also covers pandas' widening of ints with
-    missing values.  ``with_path`` adds the source file as ``_file``.
-    """
-    reader = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-    for k, v in options.items():
-        reader = reader.option(k, v)
-    df = reader.csv(path if isinstance(path, str) else list(path))
+             bad_cells: bool = False, **options) -> DataFrame:
+    """A1: headered CSV read by column name; NA tokens -> null.
+
+    The header names the columns, in any order; columns outside ``schema``
+    are left out, a column that the header lacks is an error, and so is a
+    file whose header differs from the others' (``enforceSchema`` off).
+    Quotes inside a cell are doubled.  Cells are read as text and cast: an
+    NA token is null, and so is a cell that is not of its type;
+    ``bad_cells`` adds their number per row as ``_cellules_invalides`` for
+    the quality checks.  ``with_path`` adds the source file as ``_file``.
+    Files without a header (no rows written) give no rows."""
+    want = ddl_schema(schema)
+    paths = path if isinstance(path, str) else list(path)
+    base = {"header": "true", "escape": '"', **options}
+    found = spark.read.options(**base).csv(paths).columns
+    if not found:
+        empty = spark.createDataFrame([], want)
+        return empty.withColumn("_file", F.lit(None).cast("string")) if with_path else empty
+    missing = [f.name for f in want.fields if f.name not in found]
+    if missing:
+        raise ValueError(f"columns absent from the header {found}: {missing}")
+    text = T.StructType([T.StructField(c, T.StringType()) for c in found])
+    df = spark.read.schema(text).options(**base, enforceSchema="false").csv(paths)
+    toks = [v for v in na_values if v != ""]
+    raw = {f.name: F.when(~F.col(f"`{f.name}`").isin(toks), F.col(f"`{f.name}`")) if toks else F.col(f"`{f.name}`")
+           for f in want.fields}
+    cast = {f.name: raw[f.name] if isinstance(f.dataType, T.StringType) else raw[f.name].try_cast(f.dataType)
+            for f in want.fields}
+    cols = [cast[f.name].alias(f.name) for f in want.fields]
+    if bad_cells:
+        lost = [F.when(raw[n].isNotNull() & cast[n].isNull(), 1).otherwise(0) for n in raw]
+        cols.append(sum(lost[1:], lost[0]).alias(BAD_CELLS))
     if with_path:
-        df = df.withColumn("_file", F.col("_metadata.file_path"))
-    return _na_to_null(df, na_values)
+        cols.append(F.col("_metadata.file_path").alias("_file"))
+    return df.select(*cols)
 
 
 def read_many(spark: SparkSession, folder: str, schema: T.StructType | str,
@@ -77,7 +89,7 @@ def read_available(spark: SparkSession, paths: Sequence[str], schema: T.StructTy
     present = [p for p in paths if exists(spark, p)]
     if not present:
         if on_empty == "error":
-            raise ValueError("Aucune donnée à consolider")
+            raise ValueError(MSG_NOTHING)
         return None
     return read_csv(spark, present, schema, na_values, with_path=True)
 

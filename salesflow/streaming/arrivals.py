@@ -7,9 +7,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Files older than this against the newest are not looked for: beyond any
+#: backfill (Spark's own default, a week, loses late exports).
+MAX_FILE_AGE = "36500d"
+
+
 def ingest_arrivals(spark: SparkSession, inbox: str, schema: T.StructType | str, target: str,
                     checkpoint: str, file_glob: str | None = None,
-                    max_files_per_trigger: int | None = None, fmt: str = "csv") -> DataFrame:
+                    max_files_per_trigger: int | None = None, fmt: str = "csv",
+                    max_file_age: str = MAX_FILE_AGE) -> DataFrame:
     """Ingest every file that arrived in ``inbox`` since the last run.
 
     The file source records processed files in ``checkpoint``, so a file
@@ -17,12 +23,13 @@ def ingest_arrivals(spark: SparkSession, inbox: str, schema: T.StructType | str,
     with overwrite: when a batch is replayed after a failure (same epoch
     id), it replaces its own output, so the target holds each file's rows
     exactly once.  A day split over several batches is whole in the
-    union.  ``availableNow`` processes what is there and stops (the
+    union.  A file's age (modification time behind the newest file's) does
+    not matter up to ``max_file_age``.  ``availableNow`` processes what is there and stops (the
     sensor's wait becomes a scheduled trigger).  Returns the target.
     """
-    reader = spark.readStream.schema(schema)
-    if fmt == "csv":
-        reader = reader.option("header", True)
+    reader = spark.readStream.schema(schema).option("maxFileAge", max_file_age)
+    if fmt == "csv":  # a header that is not the schema's is an error, not a shift of columns
+        reader = reader.option("header", True).option("escape", '"').option("enforceSchema", False)
     if file_glob:
         reader = reader.option("pathGlobFilter", file_glob)
     if max_files_per_trigger:
@@ -49,3 +56,51 @@ def _with_file(schema: T.StructType | str) -> T.StructType:
 def _has_output(spark: SparkSession, target: str) -> bool:
     from salesflow.sources._fs import exists
     return exists(spark, target)
+
+
+def sync_inbox(spark: SparkSession, inbox: str, schema: T.StructType | str, raw: str, manifest: str,
+               daily: str, rebuild, file_glob: str = "*.csv", key: str = "date") -> DataFrame:
+    """L1 at file grain: bring ``raw`` in line with the inbox, then rebuild
+    the days that changed.
+
+    ``manifest`` (made if absent) holds path, size and time of every file
+    taken; a file that is new or differs from it is read and replaces its
+    own partition (``fichier``) of ``raw``, so a corrected export under the
+    same name is picked up.  Days touched before or after the change are
+    recomputed by ``rebuild(rows)`` from the rows of all files and replaced in
+    ``daily`` (B4), cleared if no row is left.  The manifest is written last:
+    a crash leads to the same files being taken again, with the same result.
+    Returns the touched days."""
+    from salesflow.session import scratch_path
+    from salesflow.sinks.tables import append_by_name, ensure_table, replace_days
+    from salesflow.sources.config import ddl_schema
+    from salesflow.sources.files import read_csv
+    cols = ddl_schema(schema)
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cols.fields)
+    ensure_table(spark, raw, f"{ddl}, fichier string", partition="fichier")
+    ensure_table(spark, manifest, "fichier string, taille bigint, modifie timestamp", partition=None)
+    there = (spark.read.format("binaryFile").option("pathGlobFilter", file_glob)
+             .option("recursiveFileLookup", "true").load(inbox)
+             .select(F.col("path").alias("fichier"), F.col("length").alias("taille"),
+                     F.col("modificationTime").alias("modifie")))
+    known = spark.table(manifest).groupBy("fichier").agg(
+        F.max_by(F.struct("taille", "modifie"), F.col("modifie")).alias("k")).select("fichier", "k.*")
+    path = scratch_path(spark, "arrivals-fresh")
+    there.join(known, ["fichier", "taille", "modifie"], "left_anti").write.parquet(path)
+    fresh = spark.read.parquet(path)
+    names = [r["fichier"] for r in fresh.select("fichier").toLocalIterator()]  # to open them: paths only
+    if not names:
+        return spark.createDataFrame([], f"{key} string")
+    new = read_csv(spark, names, cols, with_path=True)
+    name = F.regexp_replace(F.col("_file"), "^file:/+", "file:/")
+    new = new.select("*", name.alias("fichier")).drop("_file")
+    before = spark.table(raw).join(fresh.select("fichier"), "fichier", "left_semi").select(key)
+    touched_path = scratch_path(spark, "arrivals-days")
+    before.union(new.select(key)).distinct().write.parquet(touched_path)
+    touched = spark.read.parquet(touched_path)
+    replace_days(spark, new, raw, key="fichier")
+    rows = spark.table(raw).join(touched, key, "left_semi")
+    days = [r[0] for r in touched.where(F.col(key).isNotNull()).toLocalIterator()]  # bounded by the calendar
+    replace_days(spark, rebuild(rows), daily, days=days, key=key)
+    append_by_name(spark, fresh, manifest)
+    return touched

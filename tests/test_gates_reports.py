@@ -21,12 +21,35 @@ def sales(spark, rows):
 def test_gate_raises_with_joined_messages(spark, allowed):
     df = sales(spark, [("d1", "A", "Alice", 10), ("d2", "A", "Bob", -1)])
     report = Q.validate_testable(df, allowed)
-    with pytest.raises(ValueError) as e:
+    with pytest.raises(Q.InvalidDays) as e:
         Q.require_valid(report)
-    assert "Montants négatifs : 1 | Vendeurs inconnus : {'Bob'}" in str(e.value)
+    assert e.value.count == 1 and e.value.path in str(e.value)
+    assert [r.message for r in spark.read.parquet(e.value.path).collect()] == [
+        "Montants négatifs : 1 | Vendeurs inconnus : {'Bob'}"]
     Q.require_valid(report.where("date = 'd1'"))  # a valid report passes
 
 
+def test_gate_reports_every_bad_day(spark, allowed):
+    df = sales(spark, [(f"d{n:02}", "A", "Alice", -1) for n in range(25)])
+    with pytest.raises(Q.InvalidDays) as e:
+        Q.require_valid(Q.validate_testable(df, allowed))
+    assert e.value.count == 25
+    assert {r.date for r in spark.read.parquet(e.value.path).collect()} == {f"d{n:02}" for n in range(25)}
+
+
+def test_expected_days_without_rows_fail(spark, allowed):
+    df = sales(spark, [("d1", "A", "Alice", 10)])
+    days = spark.createDataFrame([("d1",), ("d2",)], "date string")
+    got = {r.date: (r.valid, r.erreurs) for r in Q.validate_testable(df, allowed, expected=days).collect()}
+    assert got == {"d1": (True, []), "d2": (False, ["DataFrame vide"])}
+    assert {r.date: r.valid for r in Q.validate_final(df, 1, expected=days).collect()} == {"d1": True, "d2": False}
+    assert {r.date: r.ok for r in Q.verify_loaded(df, expected=days).collect()} == {"d1": True, "d2": False}
+    with pytest.raises(Q.InvalidDays):
+        Q.verify_loaded(df, expected=days, stop=True)
+    with pytest.raises(Q.InvalidDays):
+        Q.reconcile({"raw": days, "clean": df.select("date")}, stop=True)
+
+
 def test_quarantine_splits_by_day(spark, allowed):
     df = sales(spark, [("d1", "A", "Alice", 10), ("d2", "A", "Alice", -1), ("d2", "B", "Karim", 5)])
     ok, bad = Q.quarantine(df, Q.validate_testable(df, allowed))

@@ -130,3 +130,50 @@ def test_all_null_amounts_day_under_ansi(spark):
         assert z.select(ratio("a", "n", 2).alias("r")).first().r is None
     finally:
         spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+def test_kpis_of_an_empty_frame(df_vide):
+    k = K.kpis_final(df_vide, by=None).first()
+    assert (k.ca_total, k.marge_totale, k.taux_marge, k.nb_ventes, k.panier_moyen, k.atteinte_obj, k.statut) == (
+        0.0, 0.0, 0.0, 0, 0.0, 0.0, "vide")
+    b = K.kpis_basic(df_vide, by=None).first()
+    assert (b.ca_total, b.nb_ventes, b.panier_moyen, b.top_produit) == (0.0, 0, 0.0, None)
+    from salesflow.operators.enrich import with_margin
+    q = K.kpis_sql(with_margin(df_vide), by=None).first()
+    assert (q.ca_total, q.nb_ventes) == (None, 0)
+
+
+def test_consolidated_empty_and_day_without_sellers(spark):
+    from salesflow.operators import consolidate as C
+    c = K.consolidated_kpis(spark.createDataFrame([], "date string, ca decimal(18,2)"), by=None).first()
+    assert tuple(c) == (0, 0, "vide")
+    rows = spark.createDataFrame([("d1", "region", "R", 5.0, "x"), ("d2", "vendeur", "A", 7.5, "x")],
+                                 "date string, dimension string, valeur string, ca double, source string")
+    assert {r.date: r.ca_texte for r in C.consolidated_total(rows).collect()} == {"d1": "N/A", "d2": "8"}
+
+
+def test_metrics_of_days_without_stages(spark):
+    from salesflow.operators import monitoring as M
+    stages = spark.createDataFrame([("d1", "extract", 2.0)], "date string, stage string, seconds double")
+    sales = spark.createDataFrame([("d1", 1.0), ("d2", 3.0)], "date string, montant double")
+    got = {r.date: (r.duree_totale_s, r.nb_lignes) for r in M.run_metrics(stages, sales).collect()}
+    assert got == {"d1": (2.0, 1), "d2": (0.0, 1)}
+
+
+def test_ratio_rounds_once(spark):
+    from fractions import Fraction
+    from decimal import Decimal
+    from salesflow.functions.numeric import ratio
+    rows = [("15000.01", "1000001"), ("1", "8"), ("3", "8"), ("-1", "8"), ("2.50", "1"), ("0.05", "2"), ("1", "0"),
+            ("99999999999999.99", "3"), ("12345.67", "1000003")]
+    df = spark.createDataFrame([(Decimal(a), Decimal(b)) for a, b in rows], "a decimal(18,2), b decimal(18,2)")
+    for scale in (0, 1, 2):
+        got = df.select(ratio("a", "b", scale).alias("e"), ratio("a", "b", scale, half_even=False).alias("u")).collect()
+        for (a, b), r in zip(rows, got):
+            if b == "0":
+                assert r.e is None and r.u is None
+                continue
+            x = Fraction(a) / Fraction(b) * 10 ** scale
+            assert r.e == float(Fraction(round(x), 10 ** scale))
+            up = int(abs(x) + Fraction(1, 2)) * (1 if x >= 0 else -1)
+            assert r.u == float(Fraction(up, 10 ** scale))

@@ -1,17 +1,6 @@
-"""Session sizing and the scan spread: active only where the input is under-split."""
+"""Session sizing."""
 
 from salesflow.session import size_shuffles
-from salesflow.views import spread
-
-
-def test_spread_only_under_split_inputs(spark):
-    target = spark.sparkContext.defaultParallelism
-    small = spark.range(0, 1000, numPartitions=1)
-    spread_small = spread(small, "id")
-    assert spread_small.rdd.getNumPartitions() == target
-    assert sorted(r.id for r in spread_small.collect()) == list(range(1000))
-    large = spark.range(0, 1000, numPartitions=target * 2)
-    assert spread(large, "id") is large  # enough splits: no extra shuffle
 
 
 def test_size_shuffles(spark):

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from salesflow.session import scratch_path, unique_table
-from salesflow.sinks import (add_surrogate_key, append_by_name, ensure_table, log_events,
+from salesflow.sinks import (MONTH, add_surrogate_key, append_by_name, ensure_table, log_events,
                              replace_day, replace_days, upsert_kpis)
 from salesflow.sources import read_available, read_csv, read_json_records, read_many, with_fallback
 
@@ -46,9 +46,9 @@ def test_replace_day_rejects_rows_of_other_days(spark):
 def test_replace_days_many_days(spark):
     t = unique_table("v")
     ensure_table(spark, t, DDL)
-    replace_days(spark, sales(spark, [("d1", "A", 1), ("d2", "B", 2), ("d3", "C", 3)]), t)
-    replace_days(spark, sales(spark, [("d2", "Z", 9)]), t, days=["d2", "d3"])
-    assert state(spark, t) == [("d1", "A", 1.0), ("d2", "Z", 9.0)]
+    replace_days(spark, sales(spark, [("2024-01-01", "A", 1), ("2024-01-02", "B", 2), ("2024-01-03", "C", 3)]), t)
+    replace_days(spark, sales(spark, [("2024-01-02", "Z", 9)]), t, days=["2024-01-02", "2024-01-03"])
+    assert state(spark, t) == [("2024-01-01", "A", 1.0), ("2024-01-02", "Z", 9.0)]
 
 
 def test_append_by_name(spark):
@@ -64,11 +64,11 @@ def test_append_by_name(spark):
 
 def test_upsert_kpis_unpartitioned(spark):
     t = unique_table("k")
-    ensure_table(spark, t, "date string, ca double", partition=None)
-    upsert_kpis(spark, spark.createDataFrame([("d1", 1.0), ("d2", 2.0)], "date string, ca double"), t)
-    upsert_kpis(spark, spark.createDataFrame([("d2", 20.0), ("d3", 3.0)], "date string, ca double"), t)
-    upsert_kpis(spark, spark.createDataFrame([("d2", 20.0), ("d3", 3.0)], "date string, ca double"), t)
-    assert sorted(tuple(r) for r in spark.table(t).collect()) == [("d1", 1.0), ("d2", 20.0), ("d3", 3.0)]
+    ensure_table(spark, t, "date string, ca double", partition=MONTH)
+    upsert_kpis(spark, spark.createDataFrame([("2024-01-01", 1.0), ("2024-01-02", 2.0)], "date string, ca double"), t)
+    upsert_kpis(spark, spark.createDataFrame([("2024-01-02", 20.0), ("2024-01-03", 3.0)], "date string, ca double"), t)
+    upsert_kpis(spark, spark.createDataFrame([("2024-01-02", 20.0), ("2024-01-03", 3.0)], "date string, ca double"), t)
+    assert sorted(tuple(r) for r in spark.table(t).collect()) == [("2024-01-01", 1.0), ("2024-01-02", 20.0), ("2024-01-03", 3.0)]
 
 
 def test_event_log_appends(spark):
@@ -125,10 +125,10 @@ def test_json_records_keep_columns(spark, tmp_path):
 
 
 def test_fallback_fills_missing_days(spark):
-    prim = spark.createDataFrame([("d1", 5.0, "API_REST")], "date string, montant double, source string")
-    back = spark.createDataFrame([("d1", 1.0), ("d2", 1200.0)], "date string, montant double")
+    prim = spark.createDataFrame([("2024-01-01", 5.0, "API_REST")], "date string, montant double, source string")
+    back = spark.createDataFrame([("2024-01-01", 1.0), ("2024-01-02", 1200.0)], "date string, montant double")
     got = sorted(tuple(r) for r in with_fallback(prim, back).collect())
-    assert got == [("d1", 5.0, "API_REST"), ("d2", 1200.0, "FALLBACK")]
+    assert got == [("2024-01-01", 5.0, "API_REST"), ("2024-01-02", 1200.0, "FALLBACK")]
 
 
 def test_scratch_paths_are_under_checkpoint_dir(spark):
