@@ -2,9 +2,16 @@
 
 Each job takes DataFrames (or folders) and parameters, runs for every
 date present at once, writes what the reference writes (CSV exports,
-date-partitioned tables, KPI tables) and returns its last report as a
-DataFrame.  Orchestration (scheduling, retries, sensors, branches) is
+date-partitioned tables, KPI tables) and returns its reports as
+DataFrames.  Orchestration (scheduling, retries, sensors, branches) is
 not rebuilt: a branch becomes a label, a sensor a stream trigger.
+
+Jobs that load tables take a ``prefix`` for the tables' names, so that
+tomorrow's run finds today's history (none: fresh tables), and ``days``,
+the run dates: a run date without (valid) rows is cleared, so a replay
+gives the state of a first run.  ``gate`` says what an invalid day does:
+``"quarantine"`` keeps it out of the clean layer, ``"stop"`` raises with
+the full report written out.
 """
 
 from __future__ import annotations
@@ -24,21 +31,56 @@ from salesflow.operators import quality as Q
 from salesflow.operators import reports as Rp
 from salesflow.operators import routing as Ro
 from salesflow.session import unique_table
-from salesflow.sinks import ensure_table, export_report, replace_days, upsert_kpis, write_csv
+from salesflow.sinks import (MONTH, ensure_table, export_report, replace_days, rows_of, upsert_kpis,
+                             write_csv)
 from salesflow.sources import read_available, read_csv, read_json_records, read_many
 from salesflow.sources.config import parse_config
+from salesflow.streaming import ingest_arrivals
 
+Days = Sequence[str] | None
 VENTES_DDL = ("date string, produit string, categorie string, vendeur string, region string, "
               "quantite int, montant decimal(18,2), charge_le timestamp")
 CLEAN_DDL = ("date string, produit string, categorie string, vendeur string, region string, "
              "quantite int, montant decimal(18,2), marge decimal(18,2), taille_vente string, "
              "charge_le timestamp")
+FINAL_DDL = ("date string, produit string, categorie string, vendeur string, region string, "
+             "quantite int, montant decimal(18,2), marge decimal(18,2), taux_marge double, "
+             "taille_vente string, source string, charge_le timestamp")
+METRICS_DDL = ("date string, duree_extract_s double, duree_transform_s double, duree_load_s double, "
+               "duree_totale_s double, nb_lignes bigint, ca_total double, taux_erreur double, "
+               "statut string")
 
 
 def _ddl_cols(ddl: str) -> list[str]:
     return [c.split()[0] for c in ddl.split(", ")]
 
 
+def _tables(prefix: str | None, *names: str) -> list[str]:
+    prefix = prefix or unique_table("job")
+    return [f"{prefix}_{n}" for n in names]
+
+
+def _load(spark: SparkSession, df: DataFrame, table: str, ddl: str, days: Days) -> DataFrame:
+    """B2 + B4: the columns of ``ddl`` into their table; those days of it."""
+    ensure_table(spark, table, ddl)
+    replace_days(spark, df.select(*_ddl_cols(ddl)), table, days=days)
+    return _run_days(spark.table(table), days)
+
+
+def _run_days(df: DataFrame, days: Days) -> DataFrame:
+    return df.where(F.col("date").isin(list(days))) if days else df
+
+
+def _gate(rows: DataFrame, report: DataFrame, gate: str) -> DataFrame:
+    """The rows that pass; ``"stop"`` raises if a day does not."""
+    if gate == "stop":
+        Q.require_valid(report)
+        return rows
+    if gate != "quarantine":
+        raise ValueError("gate is 'stop' or 'quarantine'")
+    return Q.quarantine(rows, report)[0]
+
+
 def simple_etl(spark: SparkSession, raw: DataFrame, out: str,
                edges: Sequence[float] = DEFAULT_EDGES) -> DataFrame:
     """Margin 0.40 (integer), size class, title-cased seller, CSV."""
@@ -48,39 +90,47 @@ def simple_etl(spark: SparkSession, raw: DataFrame, out: str,
     return read_csv(spark, out, t.schema)
 
 
-def seller_performance_report(spark: SparkSession, perf: DataFrame, out: str) -> DataFrame:
-    """Attainment and two-way status per row, CSV report; the overall
-    ratio of sums is :func:`reports.overall_attainment`."""
+def seller_performance_report(spark: SparkSession, inbox: str, schema: str, target: str,
+                              checkpoint: str, out: str) -> tuple[DataFrame, DataFrame]:
+    """The performance files that arrived in ``inbox`` (taken once),
+    attainment and two-way status per row as CSV, and the overall ratio of
+    sums.  Returns (report, overall)."""
+    perf = ingest_arrivals(spark, inbox, schema, target, checkpoint, file_glob="*.csv").drop("_file", "batch")
     rep = Rp.seller_performance(perf)
     write_csv(rep, out)
-    return read_csv(spark, out, rep.schema)
+    back = read_csv(spark, out, rep.schema)
+    return back, Rp.overall_attainment(back)
 
 
 def regional_consolidation(spark: SparkSession, paths: Sequence[str], schema: str, out: str
-                           ) -> DataFrame:
-    """Tolerant read of the regional files, concatenation, day totals
-    (CA of the files, number of rows), CSV."""
-    df = C.concat([read_available(spark, paths, schema)])
-    tot = df.groupBy("date").agg(F.sum(F.col("ca_region").cast(MONEY)).cast("double").alias("ca_total"),
-                                 F.count(F.lit(1)).alias("nb_lignes"))
-    write_csv(tot, out)
-    return read_csv(spark, out, tot.schema)
+                           ) -> tuple[DataFrame, DataFrame]:
+    """Tolerant read of the regional files, concatenation written as
+    CSV, then the day totals (CA of the files, number of rows).  Returns
+    (concatenated rows, totals)."""
+    df = C.concat([read_available(spark, paths, schema)]).drop("_file")
+    write_csv(df, out)
+    rows = read_csv(spark, out, df.schema)
+    tot = rows.groupBy("date").agg(F.sum(F.col("ca_region").cast(MONEY)).cast("double").alias("ca_total"),
+                                   F.count(F.lit(1)).alias("nb_lignes"))
+    return rows, tot
 
 
-def warehouse_reports(spark: SparkSession, sales: DataFrame, table: str | None, out: str
+def warehouse_reports(spark: SparkSession, sales: DataFrame, out: str, prefix: str | None = None,
+                      days: Days = None, expected: DataFrame | None = None, stop: bool = False
                       ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Create the table, load every day idempotently with lineage,
-    verify, then the seller and category reports from the table, as CSV.
-    Returns (verification, seller report, category report)."""
-    table = table or unique_table("ventes")
-    ensure_table(spark, table, VENTES_DDL)
-    replace_days(spark, En.with_lineage(sales).select(*_ddl_cols(VENTES_DDL)), table)
+    verify the ``expected`` days (default: the input's; ``stop`` raises on an
+    empty one), then the seller and category reports over the whole table,
+    as CSV.  Returns (verification, seller report, category report)."""
+    (table,) = _tables(prefix, "ventes")
+    mine = _load(spark, En.with_lineage(sales), table, VENTES_DDL, days)
+    want = sales.select("date") if expected is None else expected
+    check = Q.verify_loaded(mine, expected=want, stop=stop)
     loaded = spark.table(table)
-    seller = Rp.report_by_seller(loaded)
-    cat = Rp.report_by_category(loaded)
+    seller, cat = Rp.report_by_seller(loaded), Rp.report_by_category(loaded)
     write_csv(seller, f"{out}/rapport_vendeur")
     write_csv(cat, f"{out}/rapport_categorie")
-    return (Q.verify_loaded(loaded), read_csv(spark, f"{out}/rapport_vendeur", seller.schema),
+    return (check, read_csv(spark, f"{out}/rapport_vendeur", seller.schema),
             read_csv(spark, f"{out}/rapport_categorie", cat.schema))
 
 
@@ -93,178 +143,200 @@ def json_ingest(spark: SparkSession, folder: str, schema: str, cols: Sequence[st
     return read_csv(spark, out, df.schema).orderBy(cols[0]).limit(n)
 
 
-def load_guard(spark: SparkSession, sales: DataFrame, table: str | None = None,
+def load_guard(spark: SparkSession, sales: DataFrame, prefix: str | None = None, days: Days = None,
+               expected: DataFrame | None = None, stop: bool = False,
                edges: Sequence[float] = DEFAULT_EDGES) -> DataFrame:
     """Margin 0.42 (integer), size class, idempotent load, then the
-    per-day row count with the zero-row failure flag."""
-    table = table or unique_table("ventes_tf")
-    ensure_table(spark, table, "date string, produit string, vendeur string, quantite int, "
-                                "montant decimal(18,2), marge int, taille_vente string")
+    row count of each ``expected`` day (default: the input's) with the
+    zero-row failure flag; ``stop`` raises on it."""
+    (table,) = _tables(prefix, "ventes_tf")
     t = En.with_size_class(En.with_margin(sales, 0.42, 0, as_int=True), edges)
-    replace_days(spark, t.select("date", "produit", "vendeur", "quantite", "montant", "marge",
-                                 "taille_vente"), table)
-    return Q.verify_loaded(spark.table(table))
-
-
-def regional_kpis(spark: SparkSession, paths: Sequence[str], schema: str, table: str | None = None,
-                  limits=(80000, 50000)) -> DataFrame:
-    """Tolerant read of the regional extracts, consolidated KPIs per
-    date (CA, number of sellers, strict status), keyed upsert."""
-    df = read_available(spark, paths, schema)
-    k = K.consolidated_kpis(df, limits=limits)
-    table = table or unique_table("kpis_regions")
+    mine = _load(spark, t, table, "date string, produit string, vendeur string, quantite int, "
+                                  "montant decimal(18,2), marge int, taille_vente string", days)
+    want = sales.select("date") if expected is None else expected
+    return Q.verify_loaded(mine, expected=want, stop=stop)
+
+
+def regional_kpis(spark: SparkSession, paths: Sequence[str], schema: str, calendar: DataFrame,
+                  prefix: str | None = None, limits=(80000, 50000)) -> DataFrame:
+    """Tolerant read of the regional extracts, consolidated KPIs (CA,
+    number of sellers, strict status) for each date of ``calendar``, keyed
+    upsert.  A date without rows, or no file at all, is ``vide``."""
+    df = read_available(spark, paths, schema, on_empty="none")
+    df = spark.createDataFrame([], schema) if df is None else df
+    k = K.with_empty_defaults(K.consolidated_kpis(df, limits=limits), calendar,
+                              defaults={"ca_total": 0, "nb_vendeurs": 0, "statut": "vide"})
+    (table,) = _tables(prefix, "kpis_regions")
     ensure_table(spark, table, "date string, ca_total bigint, nb_vendeurs bigint, statut string",
-                 partition=None)
+                 partition=MONTH)
     upsert_kpis(spark, k, table)
-    return spark.table(table)
+    return rows_of(spark, table)
 
 
 def daily_flow(spark: SparkSession, raw: DataFrame, allowed: DataFrame, out: str,
-               min_lignes: int = 5, edges: Sequence[float] = DEFAULT_EDGES
-               ) -> tuple[DataFrame, DataFrame]:
+               min_lignes: int = 5, edges: Sequence[float] = DEFAULT_EDGES,
+               prefix: str | None = None, days: Days = None, gate: str = "quarantine",
+               stop_on_gap: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Raw load -> validation gate -> enrichment -> clean load -> SQL
-    KPIs -> KPI upsert -> layer reconciliation -> history export.
-
-    The gate is per day: a day failing a rule (nulls, non-positive
-    amounts, fewer than ``min_lignes`` rows, unknown sellers) is kept out
-    of the clean layer; the raw layer keeps everything.  Returns
-    (reconciliation, exported history)."""
-    raw_t, clean_t, kpi_t = unique_table("ventes_raw"), unique_table("ventes_clean"), \
-        unique_table("kpis_journaliers")
-    ensure_table(spark, raw_t, VENTES_DDL)
-    ensure_table(spark, clean_t, CLEAN_DDL)
+    KPIs -> KPI upsert -> layer reconciliation -> history export and totals.
+
+    The gate is per day (nulls, non-positive amounts, fewer than
+    ``min_lignes`` rows, unknown sellers); the raw layer keeps everything.
+    ``stop_on_gap`` raises when a layer lacks a day.  The history table holds
+    the days of all runs.  Returns (reconciliation of this run's days,
+    exported history, history totals)."""
+    raw_t, clean_t, kpi_t = _tables(prefix, "ventes_raw", "ventes_clean", "kpis_journaliers")
     ensure_table(spark, kpi_t, "date string, ca_total double, marge_totale double, "
                                "taux_marge double, nb_ventes bigint, top_produit string, "
-                               "top_vendeur string", partition=None)
-    replace_days(spark, En.with_lineage(raw).select(*_ddl_cols(VENTES_DDL)), raw_t)
-    loaded = spark.table(raw_t)
+                               "top_vendeur string", partition=MONTH)
+    loaded = _load(spark, En.with_lineage(raw), raw_t, VENTES_DDL, days)
     report = Q.validate_testable(loaded.drop("charge_le"), allowed)
-    report = report.join(Q.min_rows(loaded, min_lignes), "date") \
-        .withColumn("valid", F.col("valid") & F.col("volume_ok"))
-    accepted, _ = Q.quarantine(loaded, report)
-    clean = En.with_size_class(En.with_margin(accepted), edges)
-    replace_days(spark, En.with_lineage(clean).select(*_ddl_cols(CLEAN_DDL)), clean_t)
-    upsert_kpis(spark, K.kpis_sql(spark.table(clean_t)), kpi_t)
-    recon = Q.reconcile({"raw": spark.table(raw_t), "clean": spark.table(clean_t),
-                         "kpis": spark.table(kpi_t)})
-    kpis = spark.table(kpi_t)
+    report = report.withColumn("valid", F.col("valid") & (F.col("nb_lignes") >= min_lignes))
+    accepted = _gate(loaded, report, gate)
+    clean = _load(spark, En.with_lineage(En.with_size_class(En.with_margin(accepted), edges)),
+                  clean_t, CLEAN_DDL, days)
+    upsert_kpis(spark, K.kpis_sql(clean), kpi_t, days=days)
+    kpis = rows_of(spark, kpi_t)
+    recon = Q.reconcile({"raw": loaded, "clean": clean, "kpis": _run_days(kpis, days)}, stop=stop_on_gap)
     ds = kpis.agg(F.max("date")).first()[0]
     path = export_report(kpis, out, ds or "0000-00")
-    return recon, read_csv(spark, path, kpis.schema)
+    return recon, read_csv(spark, path, kpis.schema), Rp.history_summary(kpis)
 
 
-def config_run(spark: SparkSession, sales: DataFrame, config_json: str, table: str | None = None
-               ) -> DataFrame:
-    """JSON configuration with defaults -> daily alert against the
-    configured threshold -> keyed load of the alerts."""
+def config_run(spark: SparkSession, sales: DataFrame, config_json: str, prefix: str | None = None,
+               days: Days = None) -> DataFrame:
+    """JSON configuration with defaults, the sales loaded day by day,
+    and per loaded day the alert against the configured threshold."""
     cfg = spark.createDataFrame([(config_json,)], "raw string").select(
         parse_config("raw", "seuil_ca double, nb_lignes_min int",
                      {"seuil_ca": 5000.0, "nb_lignes_min": 10}).alias("c"))
-    daily = sales.groupBy("date").agg(F.sum(F.col("montant").cast(MONEY)).alias("_ca"),
-                                      F.count(F.lit(1)).alias("nb_lignes"))
+    (table,) = _tables(prefix, "ventes_config")
+    mine = _load(spark, En.with_lineage(sales), table, VENTES_DDL, days)
+    daily = mine.groupBy("date").agg(F.sum(F.col("montant").cast(MONEY)).alias("_ca"),
+                                     F.count(F.lit(1)).alias("nb_lignes"))
     c = cfg.scalar()  # the one configuration row, as a scalar subquery
-    alerts = daily.select("date", F.col("_ca").cast("double").alias("ca_total"), "nb_lignes",
-                          F.when(F.col("_ca") < c.getField("seuil_ca"), F.lit(Ro.ALERT))
-                           .otherwise(F.lit(Ro.NO_ALERT)).alias("alerte"),
-                          (F.col("nb_lignes") >= c.getField("nb_lignes_min")).alias("volume_ok"))
-    table = table or unique_table("alertes")
-    ensure_table(spark, table, "date string, ca_total double, nb_lignes bigint, alerte string, "
-                               "volume_ok boolean", partition=None)
-    upsert_kpis(spark, alerts, table)
-    return spark.table(table)
+    return daily.select("date", F.col("_ca").cast("double").alias("ca_total"), "nb_lignes",
+                        F.when(F.col("_ca") < c.getField("seuil_ca"), F.lit(Ro.ALERT))
+                         .otherwise(F.lit(Ro.NO_ALERT)).alias("alerte"),
+                        (F.col("nb_lignes") >= c.getField("nb_lignes_min")).alias("volume_ok"))
 
 
 def region_fanout(spark: SparkSession, sales: DataFrame, targets: DataFrame,
-                  table: str | None = None) -> DataFrame:
+                  prefix: str | None = None) -> DataFrame:
     """Every configured region in one job (the reference generates
     one pipeline per region): CA, attainment, status, keyed upsert on
     (date, region)."""
     rep = Rp.region_attainment(sales, targets)
-    table = table or unique_table("kpis_region")
+    (table,) = _tables(prefix, "kpis_region")
     ensure_table(spark, table, "date string, region string, ca double, atteinte double, "
-                               "statut string", partition=None)
+                               "statut string", partition=MONTH)
     upsert_kpis(spark, rep, table, key=["date", "region"])
-    return spark.table(table)
+    return rows_of(spark, table)
 
 
-def multi_source(spark: SparkSession, api: DataFrame, files_folder: str, files_schema: str
-                 ) -> DataFrame:
+def multi_source(spark: SparkSession, api: DataFrame, files_folder: str, files_schema: str,
+                 file_prefix: str = "region_", file_suffix: str = ".csv", prefix: str | None = None,
+                 days: Days = None) -> tuple[DataFrame, DataFrame]:
     """API rows (with fallback already applied) and the region files
-    found in a folder are loaded day by day into their tables, the long
-    consolidated view is built from the tables and loaded, and the daily
-    seller total is reported."""
-    api_t, files_t, cons_t = unique_table("source_api"), unique_table("source_fichiers"), \
-        unique_table("consolide")
-    ensure_table(spark, api_t, "date string, vendeur string, produit string, "
-                               "montant decimal(18,2), source string")
-    # one row per (date, region): bounded by the calendar, kept unpartitioned
-    ensure_table(spark, files_t, "date string, region string, ca_region decimal(18,2), "
-                                 "nb_ventes bigint, source string", partition=None)
-    ensure_table(spark, cons_t, "date string, dimension string, valeur string, "
-                                "ca decimal(18,2), source string", partition=None)
-    replace_days(spark, api.select("date", "vendeur", "produit", "montant", "source"), api_t)
-    files = read_many(spark, files_folder, files_schema, prefix="part-", suffix=".csv")
-    if files is not None:
-        upsert_kpis(spark, files.drop("_file"), files_t, key=["date", "region"])
-    cons = C.consolidate(spark.table(api_t), spark.table(files_t))
-    upsert_kpis(spark, cons, cons_t, key=["date", "dimension", "valeur"])
-    return C.consolidated_total(spark.table(cons_t))
+    ``<file_prefix>*<file_suffix>`` of a folder replace their days in their
+    tables, the long consolidated view is rebuilt from the tables for these
+    days and replaces them, and the daily seller total is reported.  No
+    matching file: the API rows alone.  Returns (consolidated view, totals)."""
+    api_t, files_t, cons_t = _tables(prefix, "source_api", "source_fichiers", "consolide")
+    mine = _load(spark, api, api_t, "date string, vendeur string, produit string, "
+                                    "montant decimal(18,2), source string", days)
+    files = read_many(spark, files_folder, files_schema, prefix=file_prefix, suffix=file_suffix)
+    files = spark.createDataFrame([], files_schema) if files is None else files.drop("_file")
+    regions = _load(spark, files, files_t, "date string, region string, ca_region decimal(18,2), "
+                                           "nb_ventes bigint, source string", days)
+    _load(spark, C.consolidate(mine, regions), cons_t,
+          "date string, dimension string, valeur string, ca decimal(18,2), source string", days)
+    view = spark.table(cons_t)
+    return view, C.consolidated_total(view)
 
 
 def monitored_etl(spark: SparkSession, sales: DataFrame, allowed: DataFrame, stages: DataFrame,
                   errors: DataFrame | None = None, min_lignes: int = 10,
-                  edges: Sequence[float] = DEFAULT_EDGES, limits: dict | None = None
-                  ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Health checks, margin, English segment, run metrics per day,
-    metrics upsert, then the anomaly report (slow run, volume drop) and
-    the time-limit breaches.  Returns (checks, anomalies, breaches)."""
+                  edges: Sequence[float] = DEFAULT_EDGES, limits: dict | None = None,
+                  prefix: str | None = None, days: Days = None, gate: str = "quarantine"
+                  ) -> dict[str, DataFrame]:
+    """Health checks as a gate, margin, English segment, idempotent
+    load, run metrics per day (of all its sales) upserted, then over the
+    metrics history the anomaly report (slow run, volume drop) and the
+    time-limit breaches.  Returns ``checks``, ``loaded``, ``metrics``,
+    ``anomalies``, ``breaches``."""
+    sales_t, met_t = _tables(prefix, "ventes_monitoring", "metriques_pipeline")
     checks = Q.health_checks(sales, allowed, min_lignes)
-    metrics = M.run_metrics(stages, sales, errors=errors)
-    met_t = unique_table("metriques_pipeline")
-    ensure_table(spark, met_t, "date string, duree_extract_s double, duree_transform_s double, "
-                               "duree_load_s double, duree_totale_s double, nb_lignes bigint, "
-                               "ca_total double, taux_erreur double, statut string", partition=None)
-    upsert_kpis(spark, metrics, met_t)
-    hist = spark.table(met_t)
+    report = checks.withColumn("valid", F.size("checks_echoues") == 0)
+    if gate == "stop":
+        Q.require_valid(report, errors="checks_echoues")
+    accepted = _gate(sales, report, "quarantine")
+    rows = En.with_lineage(En.with_segment(En.with_margin(accepted), edges))
+    loaded = _load(spark, rows, sales_t, "date string, vendeur string, montant decimal(18,2), "
+                                         "marge decimal(18,2), segment string, charge_le timestamp", days)
+    ensure_table(spark, met_t, METRICS_DDL, partition=MONTH)
+    upsert_kpis(spark, M.run_metrics(stages, sales, errors=errors), met_t, days=days)
+    hist = rows_of(spark, met_t)
     anomalies = M.perf_anomaly(hist).join(
         M.volume_anomaly(hist).drop("nb_lignes", "nb_jours_historique"), "date")
-    return checks, anomalies, M.sla_breaches(hist, limits)
+    return {"checks": checks, "loaded": loaded, "metrics": hist, "anomalies": anomalies,
+            "breaches": M.sla_breaches(hist, limits)}
 
 
 def testable_etl(spark: SparkSession, sales: DataFrame, allowed: DataFrame,
-                 edges: Sequence[float] = DEFAULT_EDGES) -> tuple[DataFrame, DataFrame]:
-    """Validation report, transform (margin, rate, size class, title
-    case), step-9 KPIs.  Returns (validation, KPIs)."""
+                 edges: Sequence[float] = DEFAULT_EDGES, prefix: str | None = None, days: Days = None,
+                 gate: str = "quarantine") -> tuple[DataFrame, DataFrame]:
+    """Validation gate, transform (margin, rate, size class, title
+    case), idempotent load, step-9 KPIs of the loaded table.  Returns
+    (validation, KPIs)."""
+    (table,) = _tables(prefix, "ventes_testable")
     report = Q.validate_testable(sales, allowed)
-    t = En.transform_testable(sales, edges=edges)
-    return report, K.kpis_basic(t)
-
-
-def final_etl(spark: SparkSession, raw: DataFrame, objectif: float = 50000, min_lignes: int = 10,
-              edges: Sequence[float] = DEFAULT_EDGES, n_latest: int = 10
-              ) -> tuple[DataFrame, DataFrame]:
-    """Validation gate (per day), strategy label, enrichment,
-    idempotent clean load, final KPIs, keyed KPI upsert, then the
-    ``n_latest`` latest days.  Returns (KPI table, latest days)."""
-    report = Q.validate_final(raw, min_lignes)
-    accepted, _ = Q.quarantine(raw, report)
-    strategy = Ro.choose_strategy(accepted, objectif).select("date", "strategie")
-    clean = En.enrich_final(accepted, edges=edges).join(strategy, "date")
-    clean_t, kpi_t = unique_table("ventes_clean"), unique_table("kpis_journaliers")
-    ensure_table(spark, clean_t, "date string, produit string, vendeur string, "
-                                 "montant decimal(18,2), marge decimal(18,2), taux_marge double, "
-                                 "taille_vente string, strategie string, charge_le timestamp")
-    replace_days(spark, clean.select("date", "produit", "vendeur", "montant", "marge",
-                                     "taux_marge", "taille_vente", "strategie", "charge_le"),
-                 clean_t)
-    k = K.kpis_final(spark.table(clean_t), objectif)
+    t = En.transform_testable(_gate(sales, report, gate), edges=edges)
+    _load(spark, t, table, "date string, produit string, vendeur string, quantite int, "
+                           "montant decimal(18,2), marge decimal(18,2), taux_marge double, "
+                           "taille_vente string", days)
+    return report, K.kpis_basic(spark.table(table))
+
+
+def final_etl(spark: SparkSession, raw: DataFrame | str, objectif: float = 50000, min_lignes: int = 10,
+              edges: Sequence[float] = DEFAULT_EDGES, n_latest: int = 10,
+              stages: DataFrame | None = None, targets: DataFrame | None = None,
+              source: str = "SOURCE_PRINCIPALE", prefix: str | None = None, days: Days = None,
+              gate: str = "quarantine") -> dict[str, DataFrame]:
+    """Read (a frame, or a CSV folder), raw load, validation gate,
+    strategy label, enrichment, idempotent clean load, final KPIs with the
+    run's total duration (``stages``: date, stage, seconds), keyed upsert,
+    the ``n_latest`` latest days, the slow-run check over the history, and
+    the regions against their daily ``targets``.
+
+    Returns ``validation``, ``strategy``, ``kpis``, ``latest``, ``slow`` and,
+    with targets, ``regions``."""
+    raw_t, clean_t, kpi_t = _tables(prefix, "ventes_raw", "ventes_clean", "kpis_journaliers")
+    cols = [c for c in _ddl_cols(VENTES_DDL) if c != "charge_le"]
+    if isinstance(raw, str):
+        raw = read_csv(spark, raw, VENTES_DDL.rsplit(", ", 1)[0])
+    loaded = _load(spark, En.with_lineage(raw), raw_t, VENTES_DDL, days)  # read once, judged from the table
+    report = Q.validate_final(loaded.select(*cols), min_lignes)
+    accepted = _gate(loaded, report, gate)
+    strategy = Ro.choose_strategy(accepted, objectif)
+    clean = _load(spark, En.with_const(En.enrich_final(accepted, edges=edges), source=source),
+                  clean_t, FINAL_DDL, days)
+    k = K.kpis_final(clean, objectif)
+    empty = spark.createDataFrame([], "date string, stage string, seconds double")
+    lasted = M.run_metrics(empty if stages is None else stages).select("date", "duree_totale_s")
+    k = k.join(lasted, "date", "left").withColumn(
+        "duree_totale_s", F.coalesce("duree_totale_s", F.lit(0.0)))
     ensure_table(spark, kpi_t, "date string, ca_total double, marge_totale double, "
                                "taux_marge double, nb_ventes bigint, panier_moyen double, "
                                "top_produit string, top_vendeur string, atteinte_obj double, "
-                               "statut string", partition=None)
-    upsert_kpis(spark, k, kpi_t)
-    kpis = spark.table(kpi_t)
-    return kpis, Rp.latest_days(kpis, n_latest)
+                               "statut string, duree_totale_s double", partition=MONTH)
+    upsert_kpis(spark, k, kpi_t, days=days)
+    kpis = rows_of(spark, kpi_t)
+    out = {"validation": report, "strategy": strategy, "kpis": kpis,
+           "latest": Rp.latest_days(kpis, n_latest), "slow": M.perf_anomaly(kpis, n=10)}
+    if targets is not None:
+        out["regions"] = Rp.region_daily_attainment(spark.table(clean_t), targets)
+    return out
 
 
 def day_routing(spark: SparkSession, sales: DataFrame, out: str, limits=Ro.ROUTE_LIMITS

@@ -6,32 +6,44 @@ from salesflow.functions.numeric import MONEY
 from salesflow.operators import consolidate as C
 from salesflow.registry import register
 from salesflow.registry._sql import W, WV
+from salesflow.session import scratch_path
 from salesflow.sources.fallback import with_fallback
 from salesflow.views import ventes, vendeurs_valides
 
 LINE = ("l_orderkey", "l_linenumber")
 
 
-def api_primary(spark, sf_dir):
+def landed(spark, sf_dir, *cols):
+    """The sales, joined once and written with the columns that the branches
+    of a query need: each branch then scans a narrow table."""
+    path = scratch_path(spark, "ventes")
+    ventes(spark, sf_dir).select(*cols).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+API_COLS = ("date", "vendeur", "produit", "region", "montant", *LINE, "l_linestatus")
+
+
+def api_primary(v):
     """The primary API feed: it only delivers finished lines."""
-    v = ventes(spark, sf_dir).where(F.col("l_linestatus") == "F")
-    return v.select("date", "vendeur", "produit", "montant", *LINE,
-                    F.lit("API_REST").alias("source"))
+    return v.where(F.col("l_linestatus") == "F").select(
+        "date", "vendeur", "produit", "montant", *LINE, F.lit("API_REST").alias("source"))
 
 
-def api_backup(spark, sf_dir):
-    v = ventes(spark, sf_dir)
+def api_backup(v):
     return v.select("date", "vendeur", "produit", "montant", *LINE)
 
 
-def api_rows(spark, sf_dir):
+def api_rows(spark, sf_dir, v=None):
     """Primary feed, backup rows for the days it lacks."""
-    return with_fallback(api_primary(spark, sf_dir), api_backup(spark, sf_dir))
+    v = landed(spark, sf_dir, *API_COLS) if v is None else v
+    return with_fallback(api_primary(v), api_backup(v))
 
 
-def region_files(spark, sf_dir):
+def region_files(spark, sf_dir, v=None):
     """Region file rows: one per (date, region)."""
-    return ventes(spark, sf_dir).groupBy("date", "region").agg(
+    v = ventes(spark, sf_dir) if v is None else v
+    return v.groupBy("date", "region").agg(
         F.sum("montant").alias("ca_region"), F.count(F.lit(1)).alias("nb_ventes")) \
         .withColumn("source", F.lit("FICHIER_LOCAL"))
 
@@ -64,8 +76,9 @@ SELECT date, vendeur, produit, CAST(montant AS DOUBLE) AS montant, NULL::VARCHAR
 UNION ALL
 SELECT date, NULL, NULL, NULL, region, CAST(ca_region AS DOUBLE), nb_ventes, source FROM files""")
 def j1_concat(spark, sf_dir):
-    a = api_primary(spark, sf_dir).drop(*LINE).withColumn("montant", F.col("montant").cast("double"))
-    f = region_files(spark, sf_dir).withColumn("ca_region", F.col("ca_region").cast("double"))
+    v = landed(spark, sf_dir, *API_COLS)
+    a = api_primary(v).drop(*LINE).withColumn("montant", F.col("montant").cast("double"))
+    f = region_files(spark, sf_dir, v).withColumn("ca_region", F.col("ca_region").cast("double"))
     return C.concat([a, f])
 
 
@@ -81,7 +94,8 @@ def j2_concat_skip_empty(spark, sf_dir):
 @register("j3_consolidate", API_SQL + """
 SELECT date, dimension, valeur, CAST(ca AS DOUBLE) AS ca, source FROM consolide""")
 def j3_consolidate(spark, sf_dir):
-    out = C.consolidate(api_rows(spark, sf_dir), region_files(spark, sf_dir))
+    v = landed(spark, sf_dir, *API_COLS)
+    out = C.consolidate(api_rows(spark, sf_dir, v), region_files(spark, sf_dir, v))
     return out.withColumn("ca", F.col("ca").cast("double"))
 
 
@@ -91,7 +105,21 @@ SELECT date, CAST(sum(ca) AS DOUBLE) AS ca_total,
          AS ca_texte
 FROM consolide WHERE dimension = 'vendeur' GROUP BY date""")
 def d2_consolidated_total(spark, sf_dir):
-    return C.consolidated_total(C.consolidate(api_rows(spark, sf_dir), region_files(spark, sf_dir)))
+    v = landed(spark, sf_dir, *API_COLS)
+    return C.consolidated_total(C.consolidate(api_rows(spark, sf_dir, v), region_files(spark, sf_dir, v)))
+
+
+@register("d2_day_without_sellers", API_SQL + """
+SELECT date, CAST(CASE WHEN l THEN NULL ELSE t END AS DOUBLE) AS ca_total,
+       CASE WHEN l OR coalesce(t, 0) = 0 THEN 'N/A' ELSE printf('%.0f', CAST(round_even(t, 0) AS DOUBLE)) END AS ca_texte
+FROM (SELECT date, date = (SELECT max(date) FROM ventes) AS l,
+             sum(ca) FILTER (WHERE dimension = 'vendeur') AS t FROM consolide GROUP BY date)""")
+def d2_day_without_sellers(spark, sf_dir):
+    """The last day has region files only: its total is not available."""
+    v = landed(spark, sf_dir, *API_COLS)
+    last = v.agg(F.max("date")).scalar()
+    api = api_rows(spark, sf_dir, v).where(F.col("date") != last)
+    return C.consolidated_total(C.consolidate(api, region_files(spark, sf_dir, v)))
 
 
 @register("j4_set_difference", WV + """

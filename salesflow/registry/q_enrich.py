@@ -10,7 +10,7 @@ from salesflow.operators import routing as R
 from salesflow.operators.reports import overall_attainment, seller_performance
 from salesflow.registry import register
 from salesflow.registry._sql import EDGES, OBJECTIF, SEUIL, W, WB, bucket_sql, snap
-from salesflow.views import products, table, ventes, ventes_brutes
+from salesflow.views import lines, products, table, ventes, ventes_brutes
 
 ROUTE_LIMITS = (1200000, 800000)
 FIXED_LIMITS = (1200000, 800000)
@@ -187,12 +187,13 @@ def c13_head(spark, sf_dir):
 SELECT date, l_orderkey, l_linenumber, CAST(montant AS DOUBLE) AS montant
 FROM ventes WHERE date = (SELECT max(date) FROM ventes)""")
 def d1_for_day(spark, sf_dir):
-    """Rows of the latest day (``for_day`` with the day computed by Spark:
-    an equi-join on ``date`` with the one-row max, not a driver value)."""
-    v = ventes(spark, sf_dir)
-    last = v.agg(F.max("date").alias("date"))
-    return v.join(F.broadcast(last), "date").select(
-        *KEYS, F.col("montant").cast("double").alias("montant"))
+    """The latest day of a date-partitioned table: the scan lists and reads
+    that day's directory only."""
+    from salesflow.registry.q_sources import load_ventes_table
+    from salesflow.sources import for_day, scan
+    name = load_ventes_table(spark, sf_dir)
+    last = lines(spark, sf_dir).agg(F.max("date")).first()[0]
+    return for_day(scan(spark, name), last).select(*KEYS, F.col("montant").cast("double").alias("montant"))
 
 
 @register("d4_threshold_alert", W + f"""

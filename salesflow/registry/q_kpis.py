@@ -120,3 +120,24 @@ def i4_top1_sql(spark, sf_dir):
     v = ventes(spark, sf_dir)
     return K.top_by_sum(v, "produit", keep_null=True).join(
         K.top_by_sum(v, "vendeur", keep_null=True), "date")
+
+
+@register("g9_empty_frame", """
+SELECT 'final' AS variante, 0.0 AS ca_total, 0 AS nb_ventes, 0.0 AS panier_moyen, 'vide' AS statut
+UNION ALL SELECT 'basique', 0.0, 0, 0.0, NULL
+UNION ALL SELECT 'sql', NULL, 0, NULL, NULL
+UNION ALL SELECT 'consolide', 0.0, 0, NULL, 'vide'""")
+def g9_empty_frame(spark, sf_dir):
+    """The KPI functions of one run without any sale (amounts below zero)."""
+    none = with_margin(ventes(spark, sf_dir).where(F.col("montant") < 0))
+    null = F.lit(None)
+
+    def row(name, k, basket, status):
+        return k.select(F.lit(name).alias("variante"), F.col("ca_total").cast("double").alias("ca_total"),
+                        F.col(k.columns[1] if name == "consolide" else "nb_ventes").alias("nb_ventes"),
+                        (F.col("panier_moyen") if basket else null.cast("double")).alias("panier_moyen"),
+                        (F.col("statut") if status else null.cast("string")).alias("statut"))
+    return (row("final", K.kpis_final(none, OBJECTIF, by=None), True, True)
+            .unionByName(row("basique", K.kpis_basic(none, by=None), True, False))
+            .unionByName(row("sql", K.kpis_sql(none, by=None), False, False))
+            .unionByName(row("consolide", K.consolidated_kpis(none, by=None, amount="montant"), False, True)))

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from salesflow.operators import kpis as K
 from salesflow.operators import quality as Q
 from salesflow.registry import register
+from salesflow.registry.q_consolidate import landed
 from salesflow.registry._sql import MIN_LIGNES, W, WB, WBV
 from salesflow.views import ventes, ventes_brutes, vendeurs_valides
 
@@ -116,7 +117,7 @@ ok AS (SELECT date FROM ventes GROUP BY date HAVING count(*) >= {MIN_LIGNES})
 SELECT date, l_orderkey, l_linenumber, CAST(montant AS DOUBLE) AS montant
 FROM ventes WHERE date IN (SELECT date FROM ok)""")
 def e8_quarantine(spark, sf_dir):
-    v = ventes(spark, sf_dir)
+    v = landed(spark, sf_dir, "date", "l_orderkey", "l_linenumber", "montant")
     accepted, _ = Q.quarantine(v, Q.validate_final(v, MIN_LIGNES))
     return accepted.select("date", "l_orderkey", "l_linenumber",
                            F.col("montant").cast("double").alias("montant"))
@@ -181,3 +182,17 @@ FROM ventes GROUP BY date""")
 def g15_distinct_values(spark, sf_dir):
     d = Q.distinct_values(ventes(spark, sf_dir), "categorie")
     return d.select("date", "nb_categorie", F.array_join("categories", "|").alias("categories"))
+
+
+@register("e6_expected_days", WB + f""",
+b AS (SELECT min(date) AS d0 FROM ventes_brutes)
+SELECT date, CASE WHEN date = d0 THEN 0 ELSE count(*) END AS nb,
+       CASE WHEN date = d0 THEN 'Volume insuffisant : 0 < {MIN_LIGNES}'
+            WHEN count(*) < {MIN_LIGNES} THEN 'Volume insuffisant : ' || count(*) || ' < {MIN_LIGNES}' ELSE '' END AS erreurs
+FROM ventes_brutes, b GROUP BY date, d0""")
+def e6_expected_days(spark, sf_dir):
+    """A day that should have rows and has none fails the validation."""
+    v = landed(spark, sf_dir, "date", "l_orderkey", "l_linenumber", "montant")
+    some = v.where(F.col("date") != v.agg(F.min("date")).scalar())
+    r = Q.validate_final(some, MIN_LIGNES, expected=v.select("date"))
+    return r.select("date", "nb", F.array_join("erreurs", " | ").alias("erreurs"))

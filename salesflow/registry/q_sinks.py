@@ -10,10 +10,11 @@ from salesflow.registry._sql import W
 from salesflow.registry.q_kpis import _G7_SQL, kpis_final_today
 from salesflow.registry.q_sources import VENTES_DDL, load_ventes_table
 from salesflow.session import scratch_path, unique_table
-from salesflow.sinks import (add_surrogate_key, append_by_name, ensure_table, export_report,
-                             log_events, replace_day, replace_days, upsert_kpis, write_csv)
+from salesflow.sinks import (MONTH, append_by_name, append_with_ids, ensure_table, export_report,
+                             log_events, replace_day, replace_days, rows_of, upsert_kpis,
+                             write_csv)
 from salesflow.sources import read_csv, scan
-from salesflow.views import table, ventes
+from salesflow.views import lines, table, ventes
 
 KPI_SCHEMA = ("date string, ca_total double, marge_totale double, taux_marge double, "
               "nb_ventes bigint, panier_moyen double, top_produit string, top_vendeur string, "
@@ -93,10 +94,25 @@ def b5_upsert_kpis(spark, sf_dir):
     the dates they cover are replaced, the others kept."""
     v = ventes(spark, sf_dir)
     name = unique_table("kpis")
-    ensure_table(spark, name, "date string, ca_total double, nb_ventes bigint", partition=None)
+    ensure_table(spark, name, "date string, ca_total double, nb_ventes bigint", partition=MONTH)
     upsert_kpis(spark, K.day_totals(v), name)
     upsert_kpis(spark, K.day_totals(v.where(F.col("l_linestatus") == "O")), name)
-    return spark.table(name).select("date", "ca_total", "nb_ventes")
+    return rows_of(spark, name)
+
+
+@register("b4_replace_days_clear", W + """,
+b AS (SELECT min(date) AS d0, max(date) AS d1 FROM ventes)
+SELECT date, l_orderkey, l_linenumber, CAST(montant AS DOUBLE) AS montant, vendeur, region
+FROM ventes, b WHERE date <> d1 AND (date <> d0 OR l_linenumber = 1)""")
+def b4_replace_days_clear(spark, sf_dir):
+    """Load all, clear the first and the last day (listed, no rows), then
+    append the first day's first lines: nothing old comes back."""
+    v = ventes(spark, sf_dir).select(*VENTES_COLS)
+    name = load_ventes_table(spark, sf_dir)
+    d0, d1 = lines(spark, sf_dir).agg(F.min("date"), F.max("date")).first()
+    replace_days(spark, v.limit(0), name, days=[d0, d1])
+    append_by_name(spark, v.where((F.col("date") == d0) & (F.col("l_linenumber") == 1)), name)
+    return _out(spark.table(name))
 
 
 EVENTS_DDL = "date string, horodatage string, type_event string, task_id string, detail string"
@@ -133,14 +149,18 @@ o AS (SELECT *, (SELECT count(*) FROM f) +
 SELECT rn AS id, l_orderkey, l_linenumber, CAST(montant AS DOUBLE) AS montant FROM f
 UNION ALL SELECT rn, l_orderkey, l_linenumber, CAST(montant AS DOUBLE) FROM o""")
 def b7_surrogate_key(spark, sf_dir):
-    """Two loads: ids 1..n for the first, then from max(id) + 1."""
-    v = ventes(spark, sf_dir)
+    """Two loads into a table, ids continuing from the stored mark; only the
+    columns of the table are sorted, from rows written once."""
+    path = scratch_path(spark, "b7")
+    ventes(spark, sf_dir).select("date", "l_orderkey", "l_linenumber", "montant", "l_linestatus").write.parquet(path)
+    v = spark.read.parquet(path)
     order = ["date", "l_orderkey", "l_linenumber", "montant"]
-    first = add_surrogate_key(v.where(F.col("l_linestatus") == "F"), order, start=1)
-    nxt = first.agg((F.max("id") + 1).alias("next_id"))
-    second = add_surrogate_key(v.where(F.col("l_linestatus") != "F"), order, start=nxt)
-    cols = ["id", "l_orderkey", "l_linenumber", F.col("montant").cast("double").alias("montant")]
-    return first.select(*cols).unionByName(second.select(*cols))
+    name, marks = unique_table("ids"), unique_table("marks")
+    ensure_table(spark, name, "id bigint, l_orderkey bigint, l_linenumber int, montant decimal(18,2), date string",
+                 partition=None)
+    for load in (v.where(F.col("l_linestatus") == "F"), v.where(F.col("l_linestatus") != "F")):
+        append_with_ids(spark, load.drop("l_linestatus"), name, order, marks)
+    return spark.table(name).select("id", "l_orderkey", "l_linenumber", F.col("montant").cast("double").alias("montant"))
 
 
 @register("b8_with_lineage", W + """
@@ -164,8 +184,14 @@ def b9_export_report(spark, sf_dir):
                     "taux_marge double, nb_ventes bigint, top_produit string, top_vendeur string")
 
 
-@register("e9_verify_loaded", W + """
-SELECT date, count(*) AS nb_lignes, true AS ok FROM ventes GROUP BY date""")
+@register("e9_verify_loaded", W + """,
+b AS (SELECT max(date) AS d1 FROM ventes)
+SELECT date, CASE WHEN date = d1 THEN 0 ELSE count(*) END AS nb_lignes, date <> d1 AS ok
+FROM ventes, b GROUP BY date, d1""")
 def e9_verify_loaded(spark, sf_dir):
+    """Every day was to be loaded; the last one got lost."""
     name = load_ventes_table(spark, sf_dir)
-    return Q.verify_loaded(scan(spark, name))
+    days = lines(spark, sf_dir).select("date")
+    replace_days(spark, spark.createDataFrame([], spark.table(name).schema), name,
+                 days=[days.agg(F.max("date")).first()[0]])
+    return Q.verify_loaded(scan(spark, name), expected=days)

@@ -26,18 +26,41 @@ def _raw_cols(df):
 
 
 @register("a1_read_csv", WB + """
-SELECT date, produit, vendeur, CAST(montant AS DOUBLE) AS montant, remise, l_orderkey, l_linenumber
+SELECT date, '12" ' || produit || ', "neuf"' AS produit, vendeur, CAST(montant AS DOUBLE) AS montant, remise,
+       l_orderkey, l_linenumber
 FROM ventes_brutes""")
 def a1_read_csv(spark, sf_dir):
-    """Raw sales exported as CSV with missing values written as ``NA``;
-    the reader maps NA tokens back to null."""
+    """Raw sales exported as CSV with missing values written as ``NA``, the
+    columns in another order and quotes in the names; the reader goes by the
+    header and maps NA tokens back to null."""
     path = scratch_path(spark, "a1")
-    _raw_cols(ventes_brutes(spark, sf_dir)).write.option("header", True) \
+    b = _raw_cols(ventes_brutes(spark, sf_dir))
+    quoted = b.withColumn("produit", F.concat(F.lit('12" '), "produit", F.lit(', "neuf"')))
+    quoted.select(*reversed(b.columns)).write.option("header", True).option("escape", '"') \
         .option("nullValue", "NA").csv(path)
     df = read_csv(spark, path, RAW_SCHEMA)
     return df.withColumn("montant", F.col("montant").cast("double"))
 
 
+@register("a1_bad_cells", WB + """
+SELECT l_linenumber, count(*) AS nb_lignes,
+       CAST(sum(CASE WHEN remise IS NULL THEN 0 WHEN l_linenumber = 1 THEN 1 ELSE 0 END) AS BIGINT) AS nb_invalides,
+       count(*) FILTER (WHERE remise IS NOT NULL AND l_linenumber <> 1) AS nb_lus
+FROM ventes_brutes GROUP BY l_linenumber""")
+def a1_bad_cells(spark, sf_dir):
+    """Cells that are not of their type (``0.05x`` in the first lines) are
+    null and counted; NA tokens are null and no fault."""
+    path = scratch_path(spark, "a1-bad")
+    text = F.when(F.col("l_linenumber") == 1, F.concat(F.col("remise").cast("string"), F.lit("x"))) \
+        .otherwise(F.col("remise").cast("string"))
+    ventes_brutes(spark, sf_dir).select("l_linenumber", text.alias("remise")) \
+        .write.option("header", True).option("nullValue", "NA").csv(path)
+    df = read_csv(spark, path, "l_linenumber int, remise double", bad_cells=True)
+    return df.groupBy("l_linenumber").agg(
+        F.count(F.lit(1)).alias("nb_lignes"), F.sum("_cellules_invalides").cast("bigint").alias("nb_invalides"),
+        F.count("remise").alias("nb_lus"))
+
+
 def write_region_files(spark, sf_dir, folder):
     """One folder of CSV files per region code (``code=<key>``)."""
     f = region_files(spark, sf_dir).withColumn("code", code_key("region"))

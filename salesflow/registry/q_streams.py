@@ -4,7 +4,9 @@ from salesflow.operators import kpis as K
 from salesflow.registry import register
 from salesflow.registry._sql import W
 from salesflow.session import scratch_path, unique_table
-from salesflow.streaming import daily_kpi_stream, event_counts_stream, file_stream, ingest_arrivals
+from salesflow.sinks import ensure_table, write_csv
+from salesflow.streaming import (daily_kpi_stream, event_counts_stream, event_log_stream, file_stream,
+                                 ingest_arrivals, sync_inbox)
 from salesflow.views import table, ventes
 
 ARRIVAL_SCHEMA = "date string, vendeur string, montant decimal(18,2), l_orderkey bigint"
@@ -17,8 +19,7 @@ def l1_ingest_arrivals(spark, sf_dir):
     files per micro-batch); a second run with the same checkpoint finds
     nothing new.  The days touched are then rebuilt from what arrived."""
     inbox = scratch_path(spark, "inbox")
-    ventes(spark, sf_dir).select("date", "vendeur", "montant", "l_orderkey") \
-        .repartition(6).write.option("header", True).csv(inbox)
+    write_csv(ventes(spark, sf_dir).select("date", "vendeur", "montant", "l_orderkey"), inbox)
     target, ckpt = scratch_path(spark, "arrivals"), scratch_path(spark, "arrivals-ckpt")
     ingest_arrivals(spark, inbox, ARRIVAL_SCHEMA, target, ckpt, file_glob="*.csv",
                     max_files_per_trigger=2)
@@ -46,3 +47,37 @@ FROM events GROUP BY 1, 2""")
 def l3_event_counts(spark, sf_dir):
     return event_counts_stream(spark, _events_stream(spark, sf_dir), unique_table("event_counts"),
                                scratch_path(spark, "l3-ckpt"))
+
+
+@register("l1_sync_inbox", W + """
+SELECT date, CAST(sum(montant) AS DOUBLE) AS ca_total, count(*) AS nb_ventes FROM ventes
+WHERE region <> 'ASIA' OR l_linenumber = 1 GROUP BY date""")
+def l1_sync_inbox(spark, sf_dir):
+    """One export per region, one of them late: only the days that it
+    touches are rebuilt, from the rows of all files."""
+    inbox, raw, seen, daily = scratch_path(spark, "sync"), *(unique_table(x) for x in ("raw", "seen", "daily"))
+    v = ventes(spark, sf_dir).select("date", "vendeur", "montant", "region", "l_linenumber")
+    ensure_table(spark, daily, "date string, ca_total double, nb_ventes bigint")
+    schema = "date string, vendeur string, montant decimal(18,2), l_linenumber int"
+
+    def deliver(rows):
+        rows.write.mode("append").partitionBy("region").option("header", True).csv(inbox)
+
+    def sync():
+        return sync_inbox(spark, inbox, schema, raw, seen, daily, K.day_totals)
+    deliver(v.where("region <> 'ASIA'").coalesce(1))
+    sync()
+    deliver(v.where("region = 'ASIA' and l_linenumber = 1").coalesce(1))
+    sync()
+    sync()
+    return spark.table(daily).select("date", "ca_total", "nb_ventes")
+
+
+@register("l3_event_log", """
+SELECT event_id, strftime(ts, '%Y-%m-%d') AS date, event_type, value FROM events""")
+def l3_event_log(spark, sf_dir):
+    """The event log as an append stream; a second run adds nothing."""
+    target, ckpt = scratch_path(spark, "log"), scratch_path(spark, "log-ckpt")
+    event_log_stream(spark, _events_stream(spark, sf_dir), target, ckpt)
+    log = event_log_stream(spark, _events_stream(spark, sf_dir), target, ckpt)
+    return log.select("event_id", "date", "event_type", "value")

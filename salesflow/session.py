@@ -33,18 +33,6 @@ def get_spark(master: str | None = None, app: str = "salesflow",
     return builder.getOrCreate()
 
 
-def size_shuffles(spark: SparkSession, shuffled_bytes: int,
-                  target_bytes: int = 256 << 20) -> int:
-    """Set ``spark.sql.shuffle.partitions`` so that a shuffle of
-    ``shuffled_bytes`` (after projection) lands in partitions of about
-    ``target_bytes`` before AQE coalesces the small ones; returns it.
-    E.g. a 30 TiB fact shuffle at 256 MiB per partition -> 122,880."""
-    n = max(1, -(-shuffled_bytes // target_bytes))
-    spark.conf.set("spark.sql.shuffle.partitions", str(n))
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
-    return n
-
-
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 

@@ -15,8 +15,10 @@ import datetime
 import re
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Partition column of KPI tables: the ``yyyy-MM`` of their ``date``.
 MONTH = "mois"
@@ -135,15 +137,31 @@ def replace_days(spark: SparkSession, df: DataFrame, table: str,
     seen = Observation()
     wanted = F.when(F.col(key).isin(listed), F.col(key))
     _insert(spark, df.observe(seen, F.collect_set(wanted).alias("days")), table, overwrite=True)
-    nothing = _by_name(spark, df.limit(0), table)
-    for d in sorted(set(listed) - set(seen.get["days"])):
-        replace_day(spark, nothing, table, d, key)
+    for d in sorted(set(listed) - _observed(seen, "days")):
+        _clear(spark, table, key, d)
+
+
+def _observed(seen: Observation, name: str) -> set[str]:
+    """The observed set.  A write whose input Spark knows to be empty runs
+    no plan and reports no row: nothing was written then."""
+    try:
+        return set(seen.get[name] or ())
+    except Py4JJavaError:
+        return set()
+
+
+def _clear(spark: SparkSession, table: str, key: str, value: str) -> None:
+    """Empty one partition, its files included."""
+    fields = [f for f in spark.table(table).schema.fields if f.name != key]
+    spark.sql(f"INSERT OVERWRITE TABLE {_name(table)} PARTITION ({key} = '{value}') "
+              "SELECT * FROM {rows}", rows=spark.createDataFrame([], T.StructType(fields)))
 
 
 def upsert_kpis(spark: SparkSession, kpis: DataFrame, table: str,
-                key: str | Sequence[str] = "date") -> None:
+                key: str | Sequence[str] = "date", days: Sequence[str] | None = None) -> None:
     """Keyed upsert: rows whose key is in ``kpis`` are replaced, the
-    others kept.
+    others kept.  All old rows of the listed ``days`` go, so that a day that
+    became empty or invalid keeps no KPI.
 
     The table is partitioned by month (``ensure_table(partition=MONTH)``,
     one of the keys is ``date``) or by its one key.  Only the partitions
@@ -153,14 +171,26 @@ def upsert_kpis(spark: SparkSession, kpis: DataFrame, table: str,
     keys = [key] if isinstance(key, str) else list(key)
     part = _partition_key(spark, table)
     if keys == [part]:
-        replace_days(spark, kpis, table, key=part)
+        replace_days(spark, kpis, table, days=days, key=part)
         return
     if part != MONTH or "date" not in keys:
         raise ValueError(f"{table} must be partitioned by {keys[0]} or by month")
     new = kpis.withColumn(MONTH, F.substring("date", 1, 7))
-    touched = new.select(MONTH).distinct()
-    old = spark.table(table).join(touched, MONTH, "left_semi")
-    _insert(spark, upsert_frame(old, _by_name(spark, new, table), keys), table, overwrite=True)
+    touched = new.select(MONTH)
+    listed = sorted({_day(d) for d in days or ()})
+    months = sorted({d[:7] for d in listed})
+    if listed:
+        touched = touched.union(spark.createDataFrame([(m,) for m in months], f"{MONTH} string"))
+    old = spark.table(table).join(touched.distinct(), MONTH, "left_semi").where(~F.col("date").isin(listed))
+    merged = upsert_frame(old, _by_name(spark, new, table), keys)
+    if not listed:
+        _insert(spark, merged, table, overwrite=True)
+        return
+    seen = Observation()
+    wanted = F.when(F.col(MONTH).isin(months), F.col(MONTH))
+    _insert(spark, merged.observe(seen, F.collect_set(wanted).alias("months")), table, overwrite=True)
+    for m in sorted(set(months) - _observed(seen, "months")):  # nothing is left of the month
+        _clear(spark, table, MONTH, m)
 
 
 def upsert_frame(old: DataFrame, new: DataFrame, key: str | Sequence[str] = "date") -> DataFrame:

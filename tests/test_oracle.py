@@ -1,8 +1,4 @@
-"""Registered queries against their SQL oracle (DuckDB) on sf0.001.
-
-By default the queries that do not load date-partitioned tables run;
-``SALESFLOW_FULL_ORACLE=1`` runs every registered query.
-"""
+"""Registered queries against their SQL oracle (DuckDB) on sf0.001."""
 
 import os
 
@@ -12,9 +8,7 @@ import __spark_entry__ as E
 from tools.oracle_check import compare, duck
 
 SF = os.environ.get("SALESFLOW_ORACLE_SF", "/root/testdata/sf0.001")
-SLOW = ("a4_", "b2_", "b3_", "b4_", "e9_", "n4_", "n6_", "n8_", "n11_", "n14_", "n15_")
-FULL = os.environ.get("SALESFLOW_FULL_ORACLE") == "1"
-NAMES = sorted(n for n in E.oracle_sql() if FULL or not n.startswith(SLOW))
+NAMES = sorted(E.oracle_sql())
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
 

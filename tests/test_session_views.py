@@ -1,13 +1,26 @@
-"""Session sizing."""
+"""Session settings that loads depend on."""
 
-from salesflow.session import size_shuffles
+import pytest
 
+from salesflow import session
 
-def test_size_shuffles(spark):
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        assert size_shuffles(spark, 30 * (1 << 40)) == 122880
-        assert spark.conf.get("spark.sql.shuffle.partitions") == "122880"
-        assert size_shuffles(spark, 1) == 1
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+def test_off_a_local_master_a_shared_folder_is_required():
+    class Conf(dict):
+        def get(self, key, default=None):
+            return dict.get(self, key, default)
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf({"spark.master": "yarn"}), Context()
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_dir(Session())
+
+
+def test_scratch_paths_are_unique(spark):
+    assert session.scratch_path(spark, "x") != session.scratch_path(spark, "x")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from salesflow.session import scratch_path, unique_table
 from salesflow.sinks import (MONTH, add_surrogate_key, append_by_name, ensure_table, log_events,
-                             replace_day, replace_days, upsert_kpis)
+                             replace_day, replace_days, rows_of, upsert_kpis)
 from salesflow.sources import read_available, read_csv, read_json_records, read_many, with_fallback
 
 DDL = "date string, vendeur string, montant decimal(18,2)"
@@ -62,13 +62,13 @@ def test_append_by_name(spark):
         append_by_name(spark, sales(spark, [("d", "A", 1)]).withColumn("extra", F.lit(1)), t)
 
 
-def test_upsert_kpis_unpartitioned(spark):
+def test_upsert_kpis_by_month(spark):
     t = unique_table("k")
     ensure_table(spark, t, "date string, ca double", partition=MONTH)
     upsert_kpis(spark, spark.createDataFrame([("2024-01-01", 1.0), ("2024-01-02", 2.0)], "date string, ca double"), t)
     upsert_kpis(spark, spark.createDataFrame([("2024-01-02", 20.0), ("2024-01-03", 3.0)], "date string, ca double"), t)
     upsert_kpis(spark, spark.createDataFrame([("2024-01-02", 20.0), ("2024-01-03", 3.0)], "date string, ca double"), t)
-    assert sorted(tuple(r) for r in spark.table(t).collect()) == [("2024-01-01", 1.0), ("2024-01-02", 20.0), ("2024-01-03", 3.0)]
+    assert sorted(tuple(r) for r in rows_of(spark, t).collect()) == [("2024-01-01", 1.0), ("2024-01-02", 20.0), ("2024-01-03", 3.0)]
 
 
 def test_event_log_appends(spark):
