@@ -40,7 +40,9 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     and stay if one of them does."""
     groups = simhash.simhash_groups(docs)
     stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_stay")).distinct()
-    return (docs.join(shared_table(stay, "stay"), F.col("doc_id").eqNullSafe(F.col("_stay")))
+    # the ids that stay grow with the documents: a merge join at every size
+    stay = shared_table(stay, "stay").hint("merge")
+    return (docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_stay")))
             .select(*COLUMNS).dropDuplicates(["doc_id", "text"]))
 
 
