@@ -33,7 +33,7 @@ _CUT = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[^\W\d_]+| ?\d+| ?(?:[^\w{_SPACE}]|[
 _OTHER = regex.compile("[²³¹¼-¾՘-῿⁰-\U0010ffff]")
 #: Entries of the memo of a Python worker: pre-tokens, and as many pairs of
 #: tokens.  About 200 bytes an entry; a full memo is emptied.
-WORDS = 1_500_000
+WORDS = 1_000_000
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -226,10 +226,10 @@ class Codec:
 
     def _plain(self, text: str) -> bytes:
         words, known = self.cut(text), self.words
+        if len(known) >= WORDS:
+            known.clear()
         got = list(map(known.get, words))
         if None in got:
-            if len(known) >= WORDS:
-                known.clear()
             new = list({w for w, ids in zip(words, got) if ids is None})
             known.update(zip(new, map(_little, self.encode_words(new))))
             got = list(map(known.__getitem__, words))
