@@ -32,8 +32,9 @@ _CUT = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[^\W\d_]+| ?\d+| ?(?:[^\w{_SPACE}]|[
 #: that are no digits, and scripts whose classes depend on the Unicode version.
 _OTHER = regex.compile("[²³¹¼-¾՘-῿⁰-\U0010ffff]")
 #: Entries of the memo of a Python worker: pre-tokens, and as many pairs of
-#: tokens.  About 200 bytes an entry; a full memo is emptied.
-WORDS = 1_000_000
+#: tokens.  About 200 bytes an entry.  The memo has two halves: a full one
+#: becomes the older half, from which words that are met again come back.
+WORDS = 1_400_000
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -173,7 +174,8 @@ class Codec:
 
     def _prepare(self, v: Vocabulary) -> None:
         self.vocabulary = v
-        self.words: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}  # the memo, and what it held before it was last full
+        self.older: dict[str, bytes] = {}
         longest_first = sorted(v.special, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")") if v.special else None
         self.cutter = None
@@ -225,12 +227,16 @@ class Codec:
         return _CUT.findall(text)
 
     def _plain(self, text: str) -> bytes:
-        words, known = self.cut(text), self.words
-        if len(known) >= WORDS:
-            known.clear()
+        words = self.cut(text)
+        if len(self.words) >= WORDS // 2:
+            self.words, self.older = {}, self.words
+        known = self.words
         got = list(map(known.get, words))
         if None in got:
-            new = list({w for w, ids in zip(words, got) if ids is None})
+            missing = {w for w, ids in zip(words, got) if ids is None}
+            older = self.older
+            known.update((w, older[w]) for w in missing if w in older)
+            new = [w for w in missing if w not in known]
             known.update(zip(new, map(_little, self.encode_words(new))))
             got = list(map(known.__getitem__, words))
         return b"".join(got)
