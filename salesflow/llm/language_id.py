@@ -128,8 +128,9 @@ def parse_costs(model: Model, texts: list[np.ndarray]) -> np.ndarray:
 def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> Model:
     """Learn from the rows of ``docs`` with a language: for each language whole
     documents in the order of a hash until its share of ``SYMBOLS`` is full.
-    Null languages and texts are left out; without rows nothing is learned and
-    every document is ``und``."""
+    Rows that repeat an id count once (its first text), rows without an id by
+    their text.  Null languages and texts are left out; without rows nothing is
+    learned and every document is ``und``."""
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     counts = (rows.groupBy(F.col(lang_col).alias("lang"))
               .agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect())
@@ -139,9 +140,9 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
     share = F.lit(0)
     for r in counts:
         share = F.when(F.col(lang_col) == r["lang"], min(parts, parts * SAMPLE_DOCS // r["n"] + 1)).otherwise(share)
-    draw = F.xxhash64(F.col(id_col).cast("string"), F.lit("language"))
+    draw = F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.col(text_col)), F.lit("language"))
     sample = (rows.where(F.pmod(draw, F.lit(parts)) < share).where(F.length(text_col) <= LONGEST)
-              .select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), draw.alias("h"))
+              .groupBy(F.col(lang_col).alias("lang"), draw.alias("h")).agg(F.min(text_col).alias("text"))
               .orderBy("h", "text").limit(2 * SAMPLE_DOCS * len(counts)).collect())
     languages = sorted({r["lang"] for r in sample})
     letters = sorted({c for r in sample for c in r["text"].lower() if c.isalpha()})

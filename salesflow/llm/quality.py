@@ -129,7 +129,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     names, on ``sample_rows`` of them at most, chosen by hash of the id.
 
     Null labels and ids are left out; of several labels of an id the mean
-    counts.  Without any labelled row every score is 0.5.
+    counts, of several texts the one with the least statistics.  Without any
+    labelled row every score is 0.5.
     """
     chosen = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
               .groupBy(F.col(id_col).alias("_of")).agg(F.avg(F.col(label_col).cast("double")).alias("_y"))
@@ -137,7 +138,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     # bounded by sample_rows, so it can be broadcast: texts are not shuffled
     rows = docs.join(F.broadcast(chosen), F.col(id_col) == F.col("_of")).select(id_col, text_col, "_y")
     rows = shared_table(
-        with_statistics(rows, id_col, text_col, "_y")
+        with_statistics(rows, id_col, text_col, "_y").groupBy("_id", "_y").agg(F.min("x").alias("x"))
         .withColumn("_hold", F.pmod(F.xxhash64("_id", F.lit(SEED)), F.lit(CALIBRATE)) == 0)
         .withColumn("_part", F.pmod(F.xxhash64("_id", F.lit(SEED + 1)), F.lit(SUM_PARTITIONS)).cast("int")), "training")
     k = len(STATISTICS)
