@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesflow.llm.bpe import Codec, Vocabulary
+from salesflow.llm.bpe import Codec, Vocabulary, byte_alphabet
 
 WINDOW = 2048
 SHORTEST = 128
@@ -117,18 +117,19 @@ def step_groups(lengths: list[int], tokens: int = STEP_TOKENS) -> list[int]:
 
 
 class LibraryCodec(Codec):
-    """Memoised encoder whose ids come from the ``tokenizers`` library."""
+    """Memoised encoder whose ids come from the ``tokenizers`` library: its
+    model encodes pre-tokens, written in the byte alphabet."""
 
     def __init__(self, text: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task's core alone
         from tokenizers import Tokenizer
-        self.library = Tokenizer.from_str(text)
-        self.library.no_truncation()
-        self.library.no_padding()
+        self.model = Tokenizer.from_str(text).model
+        self.visible = {b: c for c, b in byte_alphabet().items()}
         self._prepare(Vocabulary(text))
 
     def encode_words(self, words: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
+        tokenize, visible = self.model.tokenize, self.visible
+        return [[t.id for t in tokenize(w.encode().decode("latin-1").translate(visible))] for w in words]
 
 
 _CODECS: dict[str, LibraryCodec] = {}
