@@ -166,6 +166,24 @@ def test_op9_accuracy(spark):
     assert np.mean([r["predicted"] == r["quality"] for r in rows]) > 0.9
 
 
+def test_rows_that_repeat_an_id_are_learned_once(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    one = labels.where("quality is not null").join(docs.where("lang is not null").select("doc_id"), "doc_id")
+    one = docs.where(docs["doc_id"] == one.agg({"doc_id": "min"}).first()[0])
+    more = docs
+    for _ in range(30):
+        more = more.unionByName(one)
+    for a, b in ((quality.fit(docs, labels), quality.fit(more, labels)), (language_id.fit(docs), language_id.fit(more))):
+        for x, y in zip(a, b):
+            if isinstance(x, np.ndarray):
+                assert np.allclose(x, y)
+            elif x and isinstance(x[0], np.ndarray):
+                assert all(np.array_equal(u, v) for u, v in zip(x, y, strict=True))
+            else:
+                assert x == y
+
+
 def test_isotonic_rises_and_keeps_the_mean():
     rng = np.random.default_rng(0)
     s = rng.normal(size=400)
