@@ -8,12 +8,14 @@ The variants are shuffled in bundles: a bundle is keyed by the leading bits of
 its variants and is written as (fingerprint, flips left); the task that gets
 the key expands the trailing bits.  With 8 leading bits and two flips a
 fingerprint is 37 shuffled rows instead of 2,081, and what meets is the same.
+A key that many fingerprints share, as those of a large group of near copies
+do, is split by more leading bits until no key is large.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 from itertools import combinations
 
 import numpy as np
@@ -30,8 +32,9 @@ MAX_BITS = 4
 SEED = 42
 #: Variants that a task expands and sorts at once (8 bytes each, and their order).
 VARIANTS_AT_ONCE = 2_000_000
-#: Distinct fingerprints per value of the leading bits, about.
-ROWS_A_KEY = 20_000
+#: Bundles per value of the leading bits, about.  A key with more than HOT_ROWS
+#: is split by SPLIT_BITS more bits (a key of 56 bits or more never is).
+ROWS_A_KEY, HOT_ROWS, SPLIT_BITS = 500_000, 2_000_000, 8
 
 
 def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
@@ -124,34 +127,32 @@ def _meet(fp: np.ndarray, left: np.ndarray, bits: int, links: list) -> None:
     links.append((pairs // len(fp), pairs % len(fp)))
 
 
-def _leading_bits(n: int) -> int:
-    """As many leading bits as keep a key near ``ROWS_A_KEY`` rows: 8 or more,
-    in steps of 4, 24 at most (beyond, keys hold more rows and are cut in
-    the task)."""
+def _leading_bits(n: int, half: int) -> int:
+    """As many leading bits as keep a key of ``n`` evenly spread fingerprints
+    near ``ROWS_A_KEY`` bundles: 8 or more, in steps of 4, 24 at most."""
     b = 8
-    while b < 24 and n > ROWS_A_KEY << b:
+    while b < 24 and n * len(masks(b, half)) > ROWS_A_KEY << b:
         b += 4
     return b
 
 
-def link_fingerprints(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """``(a, b)``: a spanning forest of the links between distinct fingerprints
-    (column ``fp``) at ``max_bits`` or fewer differing bits, key by key: its
-    closure is theirs.
+def _flips(bits: int, most: int) -> F.Column:
+    """All ways to flip ``most`` or fewer of ``bits`` bits: ``m`` (mask), ``k`` (flips)."""
+    return F.array(*[F.struct(F.lit(int(m)).cast("bigint").alias("m"), F.lit(int(m).bit_count()).alias("k"))
+                     for m in masks(bits, most)])
 
-    ``max_bits`` must be even: the half radius is whole, and whatever shares
-    a variant is within the radius.  Each pair is verified nevertheless.
-    """
-    if max_bits % 2 or max_bits < 0:
-        raise ValueError("max_bits must be even")
-    half = max_bits // 2
-    lead = _leading_bits(fps.count())
-    tail = 64 - lead
-    flips = F.array(*[F.struct(F.lit(int(m)).cast("bigint").alias("m"), F.lit(half - int(m).bit_count()).alias("k"))
-                      for m in masks(lead, half)])
-    bundles = (fps.select("fp", F.explode(flips).alias("f"))
-               .select("fp", (F.shiftrightunsigned("fp", tail).bitwiseXOR(F.col("f.m"))).alias("lead"),
-                       F.col("f.k").alias("left")))
+
+def _deepen(bundles: DataFrame, depth: int, bits: int, half: int) -> DataFrame:
+    """Bundles keyed by ``depth`` leading bits (``fp``, ``lead``, ``left``)
+    keyed by ``bits`` more, one for each flip of these that ``left`` allows."""
+    part = F.shiftrightunsigned("fp", 64 - depth - bits).bitwiseAND(F.lit((1 << bits) - 1))
+    return (bundles.withColumn("f", F.explode(_flips(bits, half))).where(F.col("left") >= F.col("f.k"))
+            .select("fp", F.shiftleft("lead", bits).bitwiseOR(part.bitwiseXOR(F.col("f.m"))).alias("lead"),
+                    (F.col("left") - F.col("f.k")).alias("left")))
+
+
+def _links(bundles: DataFrame, tail: int, max_bits: int) -> DataFrame:
+    """A spanning forest of the links between the bundles of each key."""
 
     def meet(bundle: pd.DataFrame) -> pd.DataFrame:
         fp = bundle["fp"].to_numpy().view(np.uint64)
@@ -171,6 +172,40 @@ def link_fingerprints(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return bundles.groupBy("lead").applyInPandas(meet, "a bigint, b bigint")
 
 
+def link_fingerprints(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """``(a, b)``: a spanning forest of the links between distinct fingerprints
+    (column ``fp``) at ``max_bits`` or fewer differing bits, key by key: its
+    closure is theirs.
+
+    ``max_bits`` must be even: the half radius is whole, and whatever shares
+    a variant is within the radius.  Each pair is verified nevertheless.
+    """
+    if max_bits % 2 or max_bits < 0:
+        raise ValueError("max_bits must be even")
+    half = max_bits // 2
+    depth = _leading_bits(fps.count(), half)
+    bundles = _deepen(fps.select("fp", F.lit(0).cast("bigint").alias("lead"), F.lit(half).alias("left")),
+                      0, depth, half)
+    # the load of a key, from the fingerprints' own leading bits: no bundle is shuffled to count it
+    load = (fps.groupBy(F.shiftrightunsigned("fp", 64 - depth).alias("at")).agg(F.count(F.lit(1)).alias("n"))
+            .withColumn("f", F.explode(_flips(depth, half)))
+            .groupBy(F.col("at").bitwiseXOR(F.col("f.m")).alias("lead")).agg(F.sum("n").alias("n")))
+    found = []
+    while True:
+        hot = shared_table(load.where(F.col("n") > HOT_ROWS).select("lead"), f"hot-{depth}")
+        if hot.isEmpty():
+            found.append(_links(bundles, 64 - depth, max_bits))
+            return reduce(DataFrame.unionByName, found)
+        found.append(_links(bundles.join(hot, "lead", "left_anti"), 64 - depth, max_bits))
+        bits = min(SPLIT_BITS, 64 - depth)
+        bundles = shared_table(_deepen(bundles.join(hot, "lead", "left_semi"), depth, bits, half), f"split-{depth}")
+        depth += bits
+        load = bundles.groupBy("lead").agg(F.count(F.lit(1)).alias("n"))
+        if depth >= 56:  # at most some hundred thousand distinct fingerprints come near one key
+            found.append(_links(bundles, 64 - depth, max_bits))
+            return reduce(DataFrame.unionByName, found)
+
+
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """One row per document: ``id_col``, ``fingerprint`` (16 hex digits) and

@@ -100,6 +100,28 @@ def test_links_find_every_near_pair(spark, monkeypatch, at_once):
     assert union(fp, pairs) == union(fp, want)
 
 
+def test_hot_keys_are_split_and_lose_no_link(spark, monkeypatch):
+    """Near copies that share their leading bits: keys split until small."""
+    rng = np.random.default_rng(4)
+    base = int(rng.integers(0, 1 << 63, dtype=np.uint64))
+    fp = {base}
+    for _ in range(140):
+        f = base
+        for b in rng.choice(64, rng.integers(1, 9), replace=False).tolist():
+            f ^= 1 << b
+        fp.add(f)
+    fp = sorted(fp | set(rng.integers(0, 1 << 63, 20, np.uint64).tolist()))
+    monkeypatch.setattr(simhash, "HOT_ROWS", 100)
+    split, seen = simhash._deepen, []
+    monkeypatch.setattr(simhash, "_deepen", lambda *a: (seen.append(a[1]), split(*a))[1])
+    signed = np.array(fp, np.uint64).view(np.int64).tolist()
+    links = simhash.link_fingerprints(spark.createDataFrame([(x,) for x in signed], "fp bigint")).collect()
+    pairs = [tuple(np.array([r["a"], r["b"]], np.int64).view(np.uint64).tolist()) for r in links]
+    want = [(a, b) for n, a in enumerate(fp) for b in fp[n + 1:] if (a ^ b).bit_count() <= 4]
+    assert seen[:2] == [0, 8]
+    assert union(fp, pairs) == union(fp, want)  # a forest: its ends need not be near
+
+
 def test_odd_max_bits_is_refused(spark):
     with pytest.raises(ValueError):
         simhash.link_fingerprints(spark.createDataFrame([(1,)], "fp bigint"), 3)
