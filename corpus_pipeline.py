@@ -30,7 +30,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops recurring lines; ``n_chars`` is counted anew."""
-    out = line_dedup.drop_recurring_lines(docs)
+    out = line_dedup.drop_recurring_lines(docs, short_docs=line_dedup.MIN_DOCS)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*COLUMNS)
 
 

@@ -7,10 +7,14 @@ part, which then is a wildcard.  So a line has one key for its template as it
 stands and one for each part left open; a key that several documents hold is a
 recurring template.  Its lines stay in the document with the smallest id and
 are dropped from the others.
+
+A line of few tokens generalises to nothing: its one key is the line itself.
+In scripts written without spaces each character is a token.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -22,39 +26,57 @@ from pyspark.sql import functions as F
 from salesflow.llm._shared import shared_table
 
 #: Leading tokens that name a leaf, parts of the tail, tokens that a line needs
-#: to be looked at, and documents that make a template recurring.
+#: to be generalised, and documents that make a template recurring.
 DEPTH, PARTS, MIN_TOKENS, MIN_DOCS = 3, 3, 5, 2
+#: Documents that make a line of fewer than MIN_TOKENS tokens recurring, unless
+#: the caller says otherwise (operator 8 and the pipeline do: MIN_DOCS).
+SHORT_DOCS = 3
+#: Bytes of a key; that of a short line has one less, which tells it apart.
+_KEY = 12
 WILDCARD = "<*>"
 _DIGIT = regex.compile(r"\d")
+#: Scripts written without spaces: South-East Asian and Tibetan, kana, bopomofo,
+#: Han, Yi and their extensions.
+_UNSPACED = ("\u0e00-\u109f\u1780-\u17ff\u1950-\u1aaf\u1b00-\u1b7f\u2e80-\u2fdf\u3005-\u3007\u3021-\u3029\u3031-\u312f"
+             "\u31a0-\u31ff\u3400-\u4dbf\u4e00-\ua4cf\ua980-\ua9df\uaa00-\uaadf\uf900-\ufaff\uff66-\uff9f\U0001b000-\U0001b16f"
+             "\U00020000-\U0003ffff")
+_HAS_UNSPACED, _TOKEN = re.compile(f"[{_UNSPACED}]"), re.compile(rf"[{_UNSPACED}]|[^\s{_UNSPACED}]+")
 
 
 def template_keys(line: str, depth: int = DEPTH, parts: int = PARTS, min_tokens: int = MIN_TOKENS) -> list[bytes]:
-    """The keys (96 bits each) of a line, none if it is too short.
+    """The keys (96 bits each) of a line, none if it is blank.
 
-    If over half the tokens would be wildcards, the tokens themselves are the
-    template and nothing is left open, so that rows of numbers do not fall
-    together.
+    A line of fewer than ``min_tokens`` tokens has one key (88 bits): its
+    tokens as they are.  If over half the tokens would be wildcards, the tokens
+    themselves are the template and nothing is left open, so that rows of
+    numbers do not fall together.  Characters say less than words: where they
+    are the tokens, a part is left open only in a tail twice as long.
     """
-    tokens = line.split()
+    tokens, room = line.split(), parts
+    if not line.isascii() and _HAS_UNSPACED.search(line):
+        tokens, room = _TOKEN.findall(line), 2 * parts
     n = len(tokens)
     if n < min_tokens:
-        return []
+        short = f"{n}\x1dexact\x1d" + " ".join(tokens)
+        return [xxhash.xxh3_128_digest(short.encode("utf-8", "replace"))[:_KEY - 1]] if n else []
     if _DIGIT.search(line):
         masked = [WILDCARD if _DIGIT.search(t) else t for t in tokens]
         if 2 * masked.count(WILDCARD) > n:
-            return [xxhash.xxh3_128_digest(f"{n}\x1dexact\x1d" + " ".join(tokens))[:12]]
+            exact = f"{n}\x1dexact\x1d" + " ".join(tokens)
+            return [xxhash.xxh3_128_digest(exact.encode("utf-8", "replace"))[:_KEY]]
         tokens = masked
     leaf, tail = f"{n}\x1d" + " ".join(tokens[:depth]), tokens[depth:]
     t = len(tail)
     cut = [" ".join(tail[t * p // parts:t * (p + 1) // parts]) for p in range(parts)]
     keys = [leaf + "\x1d" + "\x1d".join(cut)]
-    if t >= parts > 1:
+    if parts > 1 and t >= room:
         keys += [leaf + "\x1d" + "\x1d".join([*cut[:p], "\x1dopen", *cut[p + 1:]]) for p in range(parts)]
-    return [xxhash.xxh3_128_digest(k.encode("utf-8", "replace"))[:12] for k in keys]
+    return [xxhash.xxh3_128_digest(k.encode("utf-8", "replace"))[:_KEY] for k in keys]
 
 
 def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH,
-                    parts: int = PARTS, min_tokens: int = MIN_TOKENS, min_docs: int = MIN_DOCS) -> DataFrame:
+                    parts: int = PARTS, min_tokens: int = MIN_TOKENS, min_docs: int = MIN_DOCS,
+                    short_docs: int = SHORT_DOCS) -> DataFrame:
     """``_id``, ``_text_hash``, ``dropped`` (line numbers from 0): the lines to
     drop, one row per document that loses any."""
 
@@ -82,10 +104,11 @@ def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .where("_id is not null and _text is not null")
             .select("_id", "_text_hash", "_text")
             .mapInArrow(run, f"key binary, _id {kind}, _text_hash bigint, lines array<int>"))
+    least = F.when(F.octet_length("key") < _KEY, short_docs).otherwise(min_docs)
     # min, max and count are combined on the map side: a line of every document is a few rows
     found = shared_table(
         held.groupBy("key").agg(F.min("_id").alias("first"), F.max("_id").alias("last"), F.count(F.lit(1)).alias("n"))
-        .where((F.col("first") != F.col("last")) & (F.col("n") >= min_docs)).select("key", "first"), "templates")
+        .where((F.col("first") != F.col("last")) & (F.col("n") >= least)).select("key", "first"), "templates")
     return (held.join(found, "key").where(F.col("_id") != F.col("first"))
             .groupBy("_id", "_text_hash").agg(F.array_distinct(F.flatten(F.collect_set("lines"))).alias("dropped")))
 
@@ -96,7 +119,7 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     Null texts and rows with a null id stay as they are and make no template
     recurring.  A template recurs if ``min_docs`` rows of two or more ids hold
-    it.  Repeats within one document stay; every document stays, with an empty
+    it, a line of fewer than ``min_tokens`` tokens if ``short_docs`` do.  Repeats within one document stay; every document stays, with an empty
     text if all its lines go.  An input column ``dropped_lines`` is replaced.
     """
     lines = shared_table(recurring_lines(docs, id_col, text_col, **settings), "dropped-lines")

@@ -82,7 +82,7 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).withColumn("n_lines", F.size(F.split("text", "\n", -1)))
-    return line_dedup.drop_recurring_lines(docs).select(
+    return line_dedup.drop_recurring_lines(docs, short_docs=line_dedup.MIN_DOCS).select(
         "doc_id", "n_lines", F.size("dropped_lines").alias("n_dropped"), "dropped_lines", "text")
 
 

@@ -271,6 +271,31 @@ def test_templates_generalise_and_keep_clean_lines(spark):
             assert got[i] == (t, [])
 
 
+def test_short_lines_and_lines_without_spaces_drop(spark):
+    long = "本サイトに掲載されている記事や写真の無断転載を禁じます。" * 9
+    thai = "สงวนลิขสิทธิ์ตามกฎหมายห้ามทำซ้ำ"
+    rows = [(1, f"All rights reserved.\n\n{long}あ\nPage 1"), (2, f"All  rights reserved.\n\n{long}い\nPage 2"),
+            (3, f"All rights reserved.\n\n{thai}\n明日は雨です"), (4, f"Les.\n\n{thai}\n明日は雪です"), (5, "Les.\n \nAll rights, reserved.")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {s: {r["doc_id"]: r["dropped_lines"] for r in line_dedup.drop_recurring_lines(df, short_docs=s).collect()} for s in (2, 3)}
+    assert got[2] == {1: [], 2: [0, 2], 3: [0], 4: [2], 5: [0]}
+    assert got[3] == {1: [], 2: [0, 2], 3: [0], 4: [2], 5: []}
+
+
+def test_op8_drops_every_recurring_short_line(spark):
+    rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    held = defaultdict(set)
+    for i, t in rows:
+        for line in (t or "").split("\n"):
+            if 0 < len(line.split()) < 5:
+                held[" ".join(line.split())].add(i)
+    left = defaultdict(set)
+    for r in QUERIES["op8_line_dedup"](spark, SF).collect():
+        for line in (r["text"] or "").split("\n"):
+            left[" ".join(line.split())].add(r["doc_id"])
+    assert any(len(v) > 1 for v in held.values()) and all(left[k] == {min(v)} for k, v in held.items())
+
+
 def test_line_odd_rows(odd, none):
     out = line_dedup.drop_recurring_lines(odd)
     assert out.count() == odd.count() and sorted(out.columns) == sorted(odd.columns)
