@@ -23,8 +23,12 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without a language: no text, no letters."""
-    found = language_id.predict_languages(docs, language_id.fit(docs))
+    """Rejects documents without a language: no text, no letters.  That holds
+    also if no document has a label, so that nothing is learned."""
+    model = language_id.fit(docs)
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}")).select(*COLUMNS)
+    found = language_id.predict_languages(docs, model)
     return found.where(F.col("lang_pred") != language_id.UND).select(*COLUMNS)
 
 

@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from salesflow.llm.bpe import suffix_automaton
 
 #: Symbols of labelled text, all languages together, and documents sampled for
-#: each language (by hash); documents longer than LONGEST are not sampled.
+#: each language (by hash); of a document longer than LONGEST symbols a window of
+#: that length, placed by hash, is learned.
 SYMBOLS, SAMPLE_DOCS, LONGEST = 200_000, 200, 20_000
 #: Learned languages at most: the most frequent ones.
 LANGUAGES = 64
@@ -127,7 +128,8 @@ def parse_costs(model: Model, texts: list[np.ndarray]) -> np.ndarray:
 
 def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> Model:
     """Learn from the rows of ``docs`` with a language: for each language whole
-    documents in the order of a hash until its share of ``SYMBOLS`` is full.
+    documents (of long ones a window) in the order of a hash until its share of
+    ``SYMBOLS`` is full.
     Rows that repeat an id count once (its first text), rows without an id by
     their text.  Null languages and texts are left out; without rows nothing is
     learned and every document is ``und``."""
@@ -141,8 +143,11 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
     for r in counts:
         share = F.when(F.col(lang_col) == r["lang"], min(parts, parts * SAMPLE_DOCS // r["n"] + 1)).otherwise(share)
     draw = F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.col(text_col)), F.lit("language"))
-    sample = (rows.where(F.pmod(draw, F.lit(parts)) < share).where(F.length(text_col) <= LONGEST)
-              .groupBy(F.col(lang_col).alias("lang"), draw.alias("h")).agg(F.min(text_col).alias("text"))
+    room = F.greatest(F.length(text_col) - LONGEST, F.lit(0))
+    at = F.pmod(F.xxhash64(draw, F.lit("window")), room.cast("bigint") + 1).cast("int")
+    window = F.substr(F.col(text_col), at + 1, F.lit(LONGEST))
+    sample = (rows.where(F.pmod(draw, F.lit(parts)) < share)
+              .groupBy(F.col(lang_col).alias("lang"), draw.alias("h")).agg(F.min(window).alias("text"))
               .orderBy("h", "text").limit(2 * SAMPLE_DOCS * len(counts)).collect())
     languages = sorted({r["lang"] for r in sample})
     letters = sorted({c for r in sample for c in r["text"].lower() if c.isalpha()})

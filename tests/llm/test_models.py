@@ -158,6 +158,24 @@ def test_language_odd_rows(spark, odd, none):
     assert {r["lang_pred"] for r in language_id.predict_languages(odd, nothing).collect()} == {"und"}
 
 
+def test_a_language_of_long_documents_is_learned(spark):
+    en, de = "the cat and the dog are here with us ", "der hund und die katze sind da bei uns "
+    rows = [(i, (en if i % 2 else de) * 900, "en" if i % 2 else "de") for i in range(6)]
+    df = spark.createDataFrame(rows + [(9, de, None)], "doc_id bigint, text string, lang string")
+    assert all(len(t) > language_id.LONGEST for _, t, _ in rows)
+    model = language_id.fit(df)
+    assert model.languages == ["de", "en"]
+    assert all(2 ** b > 3 * language_id.LONGEST - 99 for b in model.bits)  # a window of each document
+    got = {r["doc_id"]: r["lang_pred"] for r in language_id.predict_languages(df, model).collect()}
+    assert got == {i: g or "de" for i, _, g in rows + [(9, de, None)]}
+
+
+def test_language_stage_without_labels_rejects_only_texts_without_letters(spark):
+    rows = [(1, "the cat"), (2, "12 34 !"), (3, None), (4, "日本語"), (5, ""), (6, "1 é")]
+    df = spark.createDataFrame([(*r, None, "s", 1) for r in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    assert {r["doc_id"] for r in corpus_pipeline.language_stage(spark, df, SF).collect()} == {1, 4, 6}
+
+
 def test_op9_accuracy(spark):
     got = QUERIES["op9_quality"](spark, SF1)
     assert got.count() == 1000
