@@ -19,12 +19,13 @@ from pyspark.sql import functions as F
 
 from salesflow.llm.bpe import suffix_automaton
 
-#: Symbols of labelled text, all languages together, and documents sampled for
+#: Symbols of labelled text, all languages together, and documents sampled (about) for
 #: each language (by hash); of a document longer than LONGEST symbols a window of
 #: that length, placed by hash, is learned.
 SYMBOLS, SAMPLE_DOCS, LONGEST = 200_000, 200, 20_000
-#: Learned languages at most: the most frequent ones.
-LANGUAGES = 64
+#: However many languages share SYMBOLS, each may have so many; one with less
+#: text names a phrase at the price of so many, so that it does not win by that.
+LEAST = 2_000
 #: A parse is cut after so many symbols, for every language alike.
 SEGMENT = 256
 #: Symbols parsed at once.
@@ -129,40 +130,46 @@ def parse_costs(model: Model, texts: list[np.ndarray]) -> np.ndarray:
 def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> Model:
     """Learn from the rows of ``docs`` with a language: for each language whole
     documents (of long ones a window) in the order of a hash until its share of
-    ``SYMBOLS`` is full.
+    ``SYMBOLS``, ``LEAST`` or more, is full.  Every language that a row names is learned.
     Rows that repeat an id count once (its first text), rows without an id by
     their text.  Null languages and texts are left out; without rows nothing is
     learned and every document is ``und``."""
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    counts = (rows.groupBy(F.col(lang_col).alias("lang"))
-              .agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect())
+    lang = F.col(lang_col).cast("string").alias("_lang")
+    draw = F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.col(text_col)), F.lit("language"))
+    # distinct draws: rows that repeat an id must not leave the others of their language undrawn
+    counts = rows.groupBy(lang).agg(F.approx_count_distinct(draw).alias("n")).collect()
     if not counts:
         return Model([], "", [], np.zeros(0))
-    parts = 1 << 30
-    share = F.lit(0)
-    for r in counts:
-        share = F.when(F.col(lang_col) == r["lang"], min(parts, parts * SAMPLE_DOCS // r["n"] + 1)).otherwise(share)
-    draw = F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.col(text_col)), F.lit("language"))
-    room = F.greatest(F.length(text_col) - LONGEST, F.lit(0))
+    parts, most = 1 << 30, max(LEAST, SYMBOLS // len(counts))
+    spark = docs.sparkSession
+    share = spark.createDataFrame([(r["_lang"], min(parts, parts * SAMPLE_DOCS // max(1, r["n"]) + 1)) for r in counts],
+                                  "lang string, share bigint")
+    length = min(LONGEST, most)
+    room = F.greatest(F.length(text_col) - length, F.lit(0))
     at = F.pmod(F.xxhash64(draw, F.lit("window")), room.cast("bigint") + 1).cast("int")
-    window = F.substr(F.col(text_col), at + 1, F.lit(LONGEST))
-    sample = (rows.where(F.pmod(draw, F.lit(parts)) < share)
-              .groupBy(F.col(lang_col).alias("lang"), draw.alias("h")).agg(F.min(window).alias("text"))
-              .orderBy("h", "text").limit(2 * SAMPLE_DOCS * len(counts)).collect())
+    window = F.substr(F.col(text_col), at + 1, F.lit(length))
+    sample = (rows.select(lang, draw.alias("h"), window.alias("_text"))
+              .join(F.broadcast(share), F.col("_lang") == F.col("lang"))
+              .where(F.pmod("h", F.lit(parts)) < F.col("share"))
+              .groupBy("lang", "h").agg(F.min("_text").alias("text")).collect())
+    sample.sort(key=lambda r: (r["h"], r["text"]))
     languages = sorted({r["lang"] for r in sample})
     letters = sorted({c for r in sample for c in r["text"].lower() if c.isalpha()})
     empty = Model(languages, "".join(letters), [], np.zeros(0))
-    table, most = empty.symbols(), SYMBOLS // max(1, len(languages))
-    made, bits = [], []
+    table, made, bits = empty.symbols(), [], []
+    drawn: dict[str, list[str]] = {}
+    for r in sample:
+        drawn.setdefault(r["lang"], []).append(r["text"])
     for lang in languages:
         parts_, size = [], 0
-        for r in sample:
-            if r["lang"] == lang and size < most:
-                parts_.append(normalise(r["text"] + "\n", table))
+        for text in drawn[lang]:
+            if size < most:
+                parts_.append(normalise(text + "\n", table))
                 size += len(parts_[-1])
-        text = np.concatenate(parts_)[:most] if parts_ else np.zeros(1, np.int64)
-        made.append(steps(text, len(letters)))
-        bits.append(np.log2(max(2, len(text))))
+        learned = np.concatenate(parts_)[:most]
+        made.append(steps(learned, len(letters)))
+        bits.append(np.log2(max(LEAST, len(learned))))
     return Model(languages, "".join(letters), made, np.array(bits))
 
 

@@ -170,6 +170,25 @@ def test_a_language_of_long_documents_is_learned(spark):
     assert got == {i: g or "de" for i, _, g in rows + [(9, de, None)]}
 
 
+def test_every_language_is_learned(spark):
+    rng = np.random.default_rng(5)
+    words = [["".join(rng.choice(list("abcdefghijklmnop"), 5)) for _ in range(12)] for _ in range(70)]
+    rows = [(100 * k + i, " ".join(rng.choice(words[k], 30)), f"l{k}") for k in range(70) for i in range(1 + (k < 66))]
+    rows.append((9999, "q", "tiny"))  # a label on one letter wins nothing
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language_id.fit(df)
+    assert model.languages == sorted({g for *_, g in rows})
+    asked = [(k, " ".join(rng.choice(words[k], 30)), None) for k in range(70)]
+    got = language_id.predict_languages(spark.createDataFrame(asked, df.schema), model).collect()
+    assert {r["doc_id"]: r["lang_pred"] for r in got} == {k: f"l{k}" for k in range(70)}
+
+
+def test_a_repeated_id_leaves_no_language_out(spark):
+    rows = [(i, f"der hund und die katze {i}", "de") for i in range(5)] + [(0, "der hund", "de")] * 30_000
+    model = language_id.fit(spark.createDataFrame(rows + [(7, "the cat", "en")], "doc_id bigint, text string, lang string").repartition(4))
+    assert model.languages == ["de", "en"] and "k" in model.alphabet
+
+
 def test_language_stage_without_labels_rejects_only_texts_without_letters(spark):
     rows = [(1, "the cat"), (2, "12 34 !"), (3, None), (4, "日本語"), (5, ""), (6, "1 é")]
     df = spark.createDataFrame([(*r, None, "s", 1) for r in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
