@@ -9,7 +9,7 @@ each symbol, is the cost; the cheapest language wins.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import Counter
 from typing import NamedTuple
 
 import numpy as np
@@ -26,6 +26,11 @@ SYMBOLS, SAMPLE_DOCS, LONGEST = 200_000, 200, 20_000
 #: However many languages share SYMBOLS, each may have so many; one with less
 #: text names a phrase at the price of so many, so that it does not win by that.
 LEAST = 2_000
+#: Symbols for letters: the most frequent ones have their own, all others of the
+#: labelled text share CLASSES.  A parse table has under 2 states a symbol and 4
+#: bytes for each state and symbol: at most 312 MB for SYMBOLS, and 3 MB for each
+#: language at LEAST, whatever the scripts.
+LETTERS, CLASSES = 128, 64
 #: A parse is cut after so many symbols, for every language alike.
 SEGMENT = 256
 #: Symbols parsed at once.
@@ -45,15 +50,22 @@ def _letters() -> np.ndarray:
 
 class Model(NamedTuple):
     languages: list[str]
-    alphabet: str  # the letters of the labelled texts, in code point order
+    alphabet: str  # the letters of the labelled texts with an own symbol, in code point order
     steps: list[np.ndarray]  # by language: state x symbol -> next state, phrases ended above _SHIFT
     bits: np.ndarray  # what naming a phrase costs
+    rest: str = ""  # the letters of the labelled texts that share CLASSES symbols
+
+    def n(self) -> int:
+        """Symbols for the letters of the labelled texts."""
+        return len(self.alphabet) + (CLASSES if self.rest else 0)
 
     def symbols(self) -> np.ndarray:
         """Symbol of each code point: 0 for what is no letter, 1 to n for the
-        alphabet, n + 1 for other letters."""
+        alphabet and the classes after it, n + 1 for other letters."""
         out = np.zeros(0x110000, np.int64)
-        out[_letters()] = len(self.alphabet) + 1
+        out[_letters()] = self.n() + 1
+        rest = np.array([ord(c) for c in self.rest], np.int64)
+        out[rest] = len(self.alphabet) + 1 + rest % CLASSES
         out[[ord(c) for c in self.alphabet]] = np.arange(1, len(self.alphabet) + 1)
         return out
 
@@ -74,24 +86,24 @@ def steps(symbols: np.ndarray, n: int) -> np.ndarray:
     phrase of its own."""
     go, _, _ = suffix_automaton([symbols.tolist()])
     wide = n + 3
-    out = np.full((len(go), wide), -1, np.int64)
+    if len(go) >= 1 << _SHIFT:
+        raise ValueError("too much labelled text for a parse table")
+    out = np.full((len(go), wide), -1, np.int32)  # a state and two ended phrases fit
     for s, x in enumerate(go):
         if x:
             out[s, list(x)] = list(x.values())
     start = out[0].copy()
     lone = start < 0
     start[lone] = 0
-    gone = out < 0
-    fresh = start[None, :] + ((1 + lone.astype(np.int64)) << _SHIFT)[None, :]
-    out = np.where(gone, fresh, out)
-    out[0] = start + (lone.astype(np.int64) << _SHIFT)
+    np.copyto(out, start + ((1 + lone.astype(np.int32)) << _SHIFT), where=out < 0)
+    out[0] = start + (lone.astype(np.int32) << _SHIFT)
     out[:, wide - 1] = np.arange(len(go))
-    return out.astype(np.int32 if out.max() < 2 ** 31 else np.int64)
+    return out
 
 
 def parse_costs(model: Model, texts: list[np.ndarray]) -> np.ndarray:
     """Bits a symbol of each text under each language."""
-    pad = len(model.alphabet) + 2
+    pad = model.n() + 2
     counts = np.zeros((len(texts), len(model.languages)))
     size = np.array([max(1, len(t)) for t in texts])
     begin, held = [], []
@@ -155,8 +167,12 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
               .groupBy("lang", "h").agg(F.min("_text").alias("text")).collect())
     sample.sort(key=lambda r: (r["h"], r["text"]))
     languages = sorted({r["lang"] for r in sample})
-    letters = sorted({c for r in sample for c in r["text"].lower() if c.isalpha()})
-    empty = Model(languages, "".join(letters), [], np.zeros(0))
+    seen: Counter[str] = Counter()
+    for r in sample:
+        seen.update(r["text"].lower())
+    letters = sorted((c for c in seen if c.isalpha()), key=lambda c: (-seen[c], c))
+    alphabet, rest = ("".join(sorted(x)) for x in (letters[:LETTERS], letters[LETTERS:]))
+    empty = Model(languages, alphabet, [], np.zeros(0), rest)
     table, made, bits = empty.symbols(), [], []
     drawn: dict[str, list[str]] = {}
     for r in sample:
@@ -168,9 +184,9 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
                 parts_.append(normalise(text + "\n", table))
                 size += len(parts_[-1])
         learned = np.concatenate(parts_)[:most]
-        made.append(steps(learned, len(letters)))
+        made.append(steps(learned, empty.n()))
         bits.append(np.log2(max(LEAST, len(learned))))
-    return Model(languages, "".join(letters), made, np.array(bits))
+    return Model(languages, alphabet, made, np.array(bits), rest)
 
 
 def predict_languages(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:

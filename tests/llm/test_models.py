@@ -189,6 +189,18 @@ def test_a_repeated_id_leaves_no_language_out(spark):
     assert model.languages == ["de", "en"] and "k" in model.alphabet
 
 
+def test_parse_tables_are_bounded_at_any_script(spark):
+    rng = np.random.default_rng(6)
+    han, kana = [chr(0x4e00 + i) for i in range(3000)], [chr(0x3041 + i) for i in range(80)]
+    zh, ja = (["".join(rng.choice(x, 300)) for _ in range(20)] for x in (han, kana + han[:40]))
+    rows = [(i, t, g) for i, (t, g) in enumerate([*((t, "zh") for t in zh), *((t, "ja") for t in ja), ("the cat", "en")])]
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    assert len(model.rest) > 1000 and len(model.alphabet) == language_id.LETTERS
+    assert all(t.shape[1] == language_id.LETTERS + language_id.CLASSES + 3 and t.dtype == np.int32 for t in model.steps)
+    costs = language_id.parse_costs(model, [language_id.normalise(t, model.symbols()) for t in (zh[3][40:200], ja[5][9:99], "the cat")])
+    assert [model.languages[k] for k in costs.argmin(1)] == ["zh", "ja", "en"]
+
+
 def test_language_stage_without_labels_rejects_only_texts_without_letters(spark):
     rows = [(1, "the cat"), (2, "12 34 !"), (3, None), (4, "日本語"), (5, ""), (6, "1 é")]
     df = spark.createDataFrame([(*r, None, "s", 1) for r in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
