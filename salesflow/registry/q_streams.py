@@ -53,7 +53,7 @@ def l3_event_counts(spark, sf_dir):
 SELECT date, CAST(sum(montant) AS DOUBLE) AS ca_total, count(*) AS nb_ventes FROM ventes
 WHERE region <> 'ASIA' OR l_linenumber = 1 GROUP BY date""")
 def l1_sync_inbox(spark, sf_dir):
-    """One export per region, one of them late: only the days that it
+    """An export per region (a large one in several files), one of them late: only the days that it
     touches are rebuilt, from the rows of all files."""
     inbox, raw, seen, daily = scratch_path(spark, "sync"), *(unique_table(x) for x in ("raw", "seen", "daily"))
     v = ventes(spark, sf_dir).select("date", "vendeur", "montant", "region", "l_linenumber")
@@ -61,13 +61,13 @@ def l1_sync_inbox(spark, sf_dir):
     schema = "date string, vendeur string, montant decimal(18,2), l_linenumber int"
 
     def deliver(rows):
-        rows.write.mode("append").partitionBy("region").option("header", True).csv(inbox)
+        rows.hint("rebalance", "region").write.mode("append").partitionBy("region").option("header", True).csv(inbox)
 
     def sync():
         return sync_inbox(spark, inbox, schema, raw, seen, daily, K.day_totals)
-    deliver(v.where("region <> 'ASIA'").coalesce(1))
+    deliver(v.where("region <> 'ASIA'"))
     sync()
-    deliver(v.where("region = 'ASIA' and l_linenumber = 1").coalesce(1))
+    deliver(v.where("region = 'ASIA' and l_linenumber = 1"))
     sync()
     sync()
     return spark.table(daily).select("date", "ca_total", "nb_ventes")

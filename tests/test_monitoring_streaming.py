@@ -2,6 +2,7 @@
 
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from salesflow.operators import monitoring as M
@@ -85,3 +86,25 @@ def test_arrivals_once(spark, tmp_path):
     got = ingest_arrivals(spark, str(inbox), "vendeur string, ca int", target, ck)
     assert got.count() == 3  # the first file is not taken twice
 
+
+
+def test_sync_inbox_exports_are_not_written_by_one_task(spark, monkeypatch):
+    import glob
+    from salesflow.registry import q_streams
+
+    class Delivered(Exception):
+        pass
+
+    def first_sync(spark, inbox, *_):
+        raise Delivered(inbox)
+    monkeypatch.setattr(q_streams, "sync_inbox", first_sync)
+    small = "spark.sql.adaptive.coalescePartitions.enabled"  # else small regions share a task
+    spark.conf.set(small, "false")
+    try:
+        with pytest.raises(Delivered) as e:
+            q_streams.l1_sync_inbox(spark, "/root/testdata/sf0.001")
+    finally:
+        spark.conf.unset(small)
+    names = glob.glob(f"{str(e.value).removeprefix('file:')}/region=*/part-*.csv")
+    tasks = {n.split("/part-")[1].split("-")[0] for n in names}
+    assert len({n.split("/")[-2] for n in names}) == 4 and len(tasks) > 1
