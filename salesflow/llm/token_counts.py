@@ -1,7 +1,8 @@
 """Token counts by overlap resynchronisation.
 
 A text of ordinary length is encoded as it is.  A huge one is cut into chunks
-that overlap, so that many tasks share it.  Each chunk is encoded with offsets.
+that overlap, so that many tasks share it.  Each chunk is encoded with the offsets of its
+pre-tokens.
 Two neighbours are spliced at a boundary that both have and that is proven
 stable: the start of a pre-token in both.  The byte-level pattern looks at no
 character before a match and at one character after it, so what follows such a
@@ -22,10 +23,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesflow.llm._shared import shared_table
+from salesflow.llm.bpe import Codec, byte_alphabet
 
 #: Characters of a chunk, of the overlap after it, and how many times wider
 #: both become when neighbours don't align.
@@ -34,6 +37,9 @@ CHUNK, OVERLAP, WIDER = 16_384, 512, 8
 LIMIT = 512
 #: Characters encoded in one call of the library.
 AT_ONCE = 1 << 19
+#: Pre-tokens in each half of a worker's memo, about 120 bytes each.  A full
+#: half becomes the older one, from which words that are met again come back.
+WORDS = 250_000
 
 
 def proven_margin(spec: dict) -> int | None:
@@ -52,8 +58,8 @@ def proven_margin(spec: dict) -> int | None:
     return None if overlapping or inside else max(map(len, names), default=0) + 2
 
 
-class Counter:
-    """The public library's tokenizer of one Python worker."""
+class Library:
+    """Counts whole texts as the public library does."""
 
     def __init__(self, path: str, raw: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task's core alone
@@ -63,7 +69,7 @@ class Counter:
             self.many = lambda texts: [len(x) for x in model.encode(texts, num_threads=1)]
             return
         from tokenizers import Tokenizer
-        self.library = t = Tokenizer.from_str(raw.decode())
+        t = Tokenizer.from_str(raw.decode())
         t.no_truncation()
         t.no_padding()
         self.many = lambda texts: [len(x) for x in t.encode_batch_fast(texts, add_special_tokens=False)]
@@ -79,22 +85,72 @@ class Counter:
                 part, size = [], 0
         return out + (self.many(part) if part else [])
 
+
+class ByteLevel(Codec):
+    """The same for a byte-level tokenizer with a proof: pre-tokens are cut by
+    the public pattern, each new one is encoded by the library's model, and how
+    many tokens it has is remembered."""
+
+    def __init__(self, path: str, raw: bytes):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+        t = Tokenizer.from_str(raw.decode())
+        self.model, self.cutter = t.model, t.pre_tokenizer
+        self.visible = {b: c for c, b in byte_alphabet().items()}
+        self.names = {x["content"] for x in json.loads(raw).get("added_tokens") or ()}
+        self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.names))) + ")") if self.names else None
+        self.known: dict[str, int] = {}
+        self.older: dict[str, int] = {}
+
+    def sizes(self, words: list[str]) -> list[int]:
+        """The tokens of each pre-token."""
+        if len(self.known) >= WORDS:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        got = list(map(known.get, words))
+        if None in got:
+            for w in {w for w, n in zip(words, got) if n is None}:
+                n = older.get(w)
+                known[w] = n or len(self.model.tokenize(w.encode().decode("latin-1").translate(self.visible)))
+            got = list(map(known.__getitem__, words))
+        return got
+
+    def parts(self, text: str) -> tuple[list[str], list[int]]:
+        """The pre-tokens and special strings of a text, and their tokens."""
+        if self.special is None or not self.special.search(text):
+            words = self.cut(text)
+            return words, self.sizes(words)
+        words, sizes = [], []
+        for p in self.special.split(text):
+            if p in self.names:
+                words.append(p)
+                sizes.append(1)
+            elif p:
+                cut = self.cut(p)
+                words += cut
+                sizes += self.sizes(cut)
+        return words, sizes
+
+    def count(self, texts: list[str]) -> list[int]:
+        return [sum(self.parts(t)[1]) for t in texts]
+
     def starts(self, text: str) -> tuple[int, np.ndarray, np.ndarray]:
         """Tokens of a chunk, its pre-token starts (characters) and the tokens
         before each."""
-        e = self.library.encode(text, add_special_tokens=False)
-        words = np.array(e.word_ids, np.int64)
-        first = np.flatnonzero(np.diff(words, prepend=-1))
-        return len(words), np.array(e.offsets, np.int64).reshape(-1, 2)[first, 0], first
+        words, sizes = self.parts(text)
+        at = np.cumsum([0, *map(len, words)])
+        before = np.cumsum([0, *sizes])
+        return int(before[-1]), at[:-1], before[:-1]
 
 
-_COUNTERS: dict[str, Counter] = {}
+_COUNTERS: dict[str, Library | ByteLevel] = {}
 
 
-def _counter(path: str, raw: bytes) -> Counter:
+def _counter(path: str, raw: bytes, proven: bool = True) -> Library | ByteLevel:
+    """The worker's counter of this vocabulary, made once."""
     if path not in _COUNTERS:
         _COUNTERS.clear()
-        _COUNTERS[path] = Counter(path, raw)
+        _COUNTERS[path] = (ByteLevel if proven else Library)(path, raw)
     return _COUNTERS[path]
 
 
@@ -165,7 +221,7 @@ def count_tokens(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id",
     rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = _counter(vocabulary_path, raw.value)
+        c = _counter(vocabulary_path, raw.value, margin is not None)
         for b in batches:
             n = c.count(b.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64())],
