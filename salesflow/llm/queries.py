@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesflow.llm import (bpe, embed_dedup, exact_dedup, language_id, line_dedup, packing, quality, sharding,
-                           simhash, token_counts, url_filter)
+                           simhash, token_counts, url_filter, whitening)
 from salesflow.llm._shared import crc_mod, documents, shared_table
 from salesflow.session import unique_table
 
@@ -98,6 +98,12 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(documents(spark, sf_dir))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = whitening.component_rows(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding"))
+    # null where the exact sum passes 64 bits
+    return out.withColumn("deviation", F.col("deviation").try_cast("bigint"))
+
+
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), vocabulary())
 
@@ -105,5 +111,5 @@ def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_packing, op2_bpe, op3_embedding_dedup, op4_sharding, op5_url_filter,
                             op6_exact_dedup, op7_language_id, op8_line_dedup, op9_quality, op10_simhash,
-                            op13_token_counts)}
+                            op11_whitening, op13_token_counts)}
 ORACLE: dict[str, str] = {"op5_url_filter": url_filter.oracle(), "op6_exact_dedup": OP6_SQL}
