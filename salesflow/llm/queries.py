@@ -12,8 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesflow.llm import (bpe, embed_dedup, exact_dedup, language_id, line_dedup, packing, quality, sharding,
-                           simhash, token_counts, url_filter, whitening)
+from salesflow.llm import (bpe, collocations, embed_dedup, exact_dedup, language_id, line_dedup, packing, quality,
+                           sharding, simhash, token_counts, url_filter, whitening)
 from salesflow.llm._shared import crc_mod, documents, shared_table
 from salesflow.session import unique_table
 
@@ -104,6 +104,10 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("deviation", F.col("deviation").try_cast("bigint"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir, ("text", "lang")))
+
+
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), vocabulary())
 
@@ -111,5 +115,6 @@ def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_packing, op2_bpe, op3_embedding_dedup, op4_sharding, op5_url_filter,
                             op6_exact_dedup, op7_language_id, op8_line_dedup, op9_quality, op10_simhash,
-                            op11_whitening, op13_token_counts)}
-ORACLE: dict[str, str] = {"op5_url_filter": url_filter.oracle(), "op6_exact_dedup": OP6_SQL}
+                            op11_whitening, op12_collocations, op13_token_counts)}
+ORACLE: dict[str, str] = {"op5_url_filter": url_filter.oracle(), "op6_exact_dedup": OP6_SQL,
+                          "op12_collocations": collocations.oracle()}
