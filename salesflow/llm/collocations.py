@@ -283,7 +283,7 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
         pairs = shared_table(_phrases(coded, range(2, 3), flags).where(F.col("a") >= least), "pairs")
         tables.append(pairs)
         # pairs of earlier rounds too: a phrase may hold an old word inside
-        every = reduce(DataFrame.unionByName, (t for t in tables if t is not None)).where("octet_length(key) = 16")
+        every = reduce(DataFrame.unionByName, tables).where("octet_length(key) = 16")
         buckets = spark.sparkContext.broadcast(_pair_buckets(every))
         tables.append(shared_table(_phrases(coded, range(3, longest + 1), flags, buckets).where(F.col("a") >= least), "phrases"))
         for b in (flags, buckets):
@@ -317,7 +317,7 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
 def oracle(least: int = LEAST, top: int = TOP) -> str:
     """The same in SQL, with every phrase counted."""
     grams = "\nUNION ALL ".join(
-        f"SELECT lang, {m} AS m, list_slice(w, i, i + {m - 1}) AS p FROM at WHERE i + {m - 1} <= len(w)" for m in range(1, 6))
+        f"SELECT lang, {m} AS m, list_slice(w, i, i + {m - 1}) AS p FROM starts WHERE i + {m - 1} <= len(w)" for m in range(1, 6))
     cuts = "\nUNION ALL ".join(
         f"SELECT lang, p, m, a, {k} AS k, list_slice(p, 1, {k}) AS x, list_slice(p, {k + 1}, m) AS y FROM c WHERE m > {k}" for k in range(1, 5))
     return f"""
@@ -326,7 +326,7 @@ WITH pieces AS (
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
   FROM documents),
 ws AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
-at AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM ws),
+starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM ws),
 g AS ({grams}),
 f AS (SELECT lang, m, p, count(*) AS a FROM g GROUP BY ALL),
 n AS (SELECT lang, sum(a) AS n FROM f WHERE m = 1 GROUP BY lang),
@@ -344,5 +344,5 @@ kept AS (SELECT best.*, array_to_string(p, ' ') AS phrase FROM best
          LEFT JOIN longer ON longer.lang = best.lang AND longer.q = best.p WHERE coalesce(longer.a, 0) < best.a)
 SELECT lang, row_number() OVER w AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
        CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
-FROM kept QUALIFY row_number() OVER w <= {top}
-WINDOW w AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)"""
+FROM kept WINDOW w AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)
+QUALIFY row_number() OVER w <= {top}"""
