@@ -10,7 +10,8 @@ from salesflow.registry._sql import W, WB
 from salesflow.registry.q_consolidate import region_files
 from salesflow.session import scratch_path, unique_table
 from salesflow.sinks.tables import ensure_table, replace_days
-from salesflow.sources import config_df, read_available, read_csv, read_json_records, read_many
+from salesflow.sources import (config_df, read_available, read_csv, read_json_records, read_many,
+                               unreadable_files)
 from salesflow.sources import scan
 from salesflow.views import table, ventes, ventes_brutes
 
@@ -95,6 +96,60 @@ def a3_read_available(spark, sf_dir):
                      "nb_ventes", "source")
 
 
+def put_file(spark, path, data):
+    """Write one file's bytes through the file system that the path names."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at, True)
+    out.write(bytearray(data))
+    out.close()
+
+
+def drop_folder(spark, path):
+    """Take back a folder that this query delivered."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@register("a2_mixed_headers", _FILES_SQL + """
+SELECT date, region, CAST(ca_region AS DOUBLE) AS ca_region, nb_ventes, source FROM files""")
+def a2_mixed_headers(spark, sf_dir):
+    """Region exports that do not agree on the order of their columns, one of
+    them with a column more: each file is read by its own header."""
+    folder = scratch_path(spark, "a2-mixed")
+    f = region_files(spark, sf_dir).withColumn("code", code_key("region"))
+    for cond, cols in (("code = 'asi'", ["source", "nb_ventes", "ca_region", "region", "date"]),
+                       ("code = 'eur'", ["ca_region", "date", "remarque", "region", "source", "nb_ventes"]),
+                       ("code not in ('asi', 'eur')", ["date", "region", "ca_region", "nb_ventes", "source"])):
+        f.where(cond).withColumn("remarque", F.lit('vu, "ok"')).select("code", *cols).write.mode("append") \
+            .partitionBy("code").option("header", True).option("escape", '"').csv(folder)
+    df = read_many(spark, folder, REGION_SCHEMA, prefix="part-", suffix=".csv")
+    return df.select("date", "region", F.col("ca_region").cast("double").alias("ca_region"), "nb_ventes", "source")
+
+
+@register("a3_unreadable", _FILES_SQL + """
+SELECT lower(substr(region, 1, 3)) AS code, 'lu' AS etat, count(*) AS nb_lignes,
+       CAST(sum(ca_region) AS DOUBLE) AS ca FROM files GROUP BY region
+UNION ALL SELECT * FROM (VALUES ('abs', 'absent', 0, NULL), ('col', 'colonnes', 0, NULL), ('enc', 'encodage', 0, NULL),
+                                ('gzi', 'illisible', 0, NULL), ('vid', 'vide', 0, NULL)) v""")
+def a3_unreadable(spark, sf_dir):
+    """The regions' files and five that no consolidation can use: a broken
+    archive, one that is not UTF-8, one without a column, an empty and an absent
+    one.  They are left out and named, each with its reason."""
+    folder = write_region_files(spark, sf_dir, scratch_path(spark, "a3-bad"))
+    head = b"date,region,ca_region,nb_ventes,source\n"
+    put_file(spark, f"{folder}/code=gzi/part-0.csv.gz", b"\x1f\x8b\x08broken" + head)
+    put_file(spark, f"{folder}/code=enc/part-0.csv", head + b"1995-01-01,\xe9\xff,1,1,X\n")
+    put_file(spark, f"{folder}/code=col/part-0.csv", b"date,region,nb_ventes,source\n1995-01-01,COL,1,X\n")
+    put_file(spark, f"{folder}/code=vid/part-0.csv", b"")
+    paths = [f"{folder}/code={c}" for c in ("afr", "ame", "asi", "eur", "mid", "gzi", "enc", "col", "vid", "abs")]
+    code = F.regexp_extract("_file", r"code=([^/]+)", 1).alias("code")
+    read = read_available(spark, paths, REGION_SCHEMA).groupBy(code).agg(
+        F.lit("lu").alias("etat"), F.count(F.lit(1)).alias("nb_lignes"), F.sum("ca_region").cast("double").alias("ca"))
+    left = unreadable_files(spark, paths, REGION_SCHEMA).select(
+        F.regexp_extract("fichier", r"code=([^/]+)", 1), "motif", F.lit(0).cast("bigint"), F.lit(None).cast("double"))
+    return read.union(left)
+
+
 def load_ventes_table(spark, sf_dir, name=None):
     """ventes -> a date-partitioned warehouse table (B2 + B4 many days)."""
     name = name or unique_table("ventes")

@@ -3,6 +3,7 @@
 from salesflow.operators import kpis as K
 from salesflow.registry import register
 from salesflow.registry._sql import W
+from salesflow.registry.q_sources import drop_folder, put_file
 from salesflow.session import scratch_path, unique_table
 from salesflow.sinks import ensure_table, write_csv
 from salesflow.streaming import (daily_kpi_stream, event_counts_stream, event_log_stream, file_stream,
@@ -73,6 +74,32 @@ def l1_sync_inbox(spark, sf_dir):
     return spark.table(daily).select("date", "ca_total", "nb_ventes")
 
 
+@register("l1_change_set", W + """
+SELECT date, CAST(sum(montant) AS DOUBLE) AS ca_total, count(*) AS nb_ventes FROM ventes
+WHERE region NOT IN ('ASIA', 'EUROPE') GROUP BY date""")
+def l1_change_set(spark, sf_dir):
+    """An inbox whose exports change: one is corrected to its header alone, one
+    is withdrawn, a late one has its columns in another order.  The daily table
+    is that of the files that are left."""
+    inbox, raw, seen, daily = scratch_path(spark, "changes"), *(unique_table(x) for x in ("raw", "seen", "daily"))
+    v = ventes(spark, sf_dir).select("date", "vendeur", "montant", "region")
+    ensure_table(spark, daily, "date string, ca_total double, nb_ventes bigint")
+
+    def deliver(rows, mode="append"):
+        rows.hint("rebalance", "region").write.mode(mode).partitionBy("region").option("header", True).csv(inbox)
+
+    def sync():
+        return sync_inbox(spark, inbox, "date string, vendeur string, montant decimal(18,2)", raw, seen, daily, K.day_totals)
+    deliver(v.where("region not in ('ASIA', 'AFRICA')"))
+    put_file(spark, f"{inbox}/region=ASIA/export.csv", b"date,vendeur,montant\n1995-01-01,avant,1.00\n1900-01-01,avant,2.00\n")
+    sync()
+    put_file(spark, f"{inbox}/region=ASIA/export.csv", b"date,vendeur,montant\n")  # corrected to no rows
+    drop_folder(spark, f"{inbox}/region=EUROPE")  # withdrawn
+    deliver(v.where("region = 'AFRICA'").select("montant", "region", "date", "vendeur"))  # late, in another order
+    sync()
+    return spark.table(daily).select("date", "ca_total", "nb_ventes")
+
+
 @register("l3_event_log", """
 SELECT event_id, strftime(ts, '%Y-%m-%d') AS date, event_type, value FROM events""")
 def l3_event_log(spark, sf_dir):

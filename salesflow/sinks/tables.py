@@ -133,12 +133,19 @@ def replace_days(spark: SparkSession, df: DataFrame, table: str,
     if not days:
         _insert(spark, df, table, overwrite=True)
         return
-    listed = sorted({_day(d) for d in days})
+    replace_partitions(spark, df, table, [_day(d) for d in days], key)
+
+
+def replace_partitions(spark: SparkSession, df: DataFrame, table: str, values: Sequence[str],
+                       key: str) -> None:
+    """Partitions present in ``df`` are replaced, those of the listed
+    ``values`` (of any kind) that ``df`` has no rows of are cleared."""
+    listed = sorted(set(values))
     seen = Observation()
     wanted = F.when(F.col(key).isin(listed), F.col(key))
-    _insert(spark, df.observe(seen, F.collect_set(wanted).alias("days")), table, overwrite=True)
-    for d in sorted(set(listed) - _observed(seen, "days")):
-        _clear(spark, table, key, d)
+    _insert(spark, df.observe(seen, F.collect_set(wanted).alias("values")), table, overwrite=True)
+    for v in sorted(set(listed) - _observed(seen, "values")):
+        _clear(spark, table, key, v)
 
 
 def _observed(seen: Observation, name: str) -> set[str]:
@@ -153,7 +160,8 @@ def _observed(seen: Observation, name: str) -> set[str]:
 def _clear(spark: SparkSession, table: str, key: str, value: str) -> None:
     """Empty one partition, its files included."""
     fields = [f for f in spark.table(table).schema.fields if f.name != key]
-    spark.sql(f"INSERT OVERWRITE TABLE {_name(table)} PARTITION ({key} = '{value}') "
+    literal = value.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"INSERT OVERWRITE TABLE {_name(table)} PARTITION ({key} = '{literal}') "
               "SELECT * FROM {rows}", rows=spark.createDataFrame([], T.StructType(fields)))
 
 

@@ -11,8 +11,8 @@ from salesflow.plans import jobs as J
 from salesflow.session import scratch_path, unique_table
 from salesflow.sinks import (MONTH, append_by_name, append_with_ids, ensure_table, replace_day, replace_days,
                              rows_of, upsert_kpis, write_csv)
-from salesflow.sources import read_csv, read_many
-from salesflow.streaming import ingest_arrivals, sync_inbox
+from salesflow.sources import read_available, read_csv, read_many, unreadable_files
+from salesflow.streaming import inbox_changes, ingest_arrivals, sync_inbox
 
 DDL = "date string, vendeur string, montant decimal(18,2)"
 FULL = "date string, produit string, categorie string, vendeur string, region string, quantite int, montant decimal(18,2)"
@@ -118,6 +118,94 @@ def test_corrected_file_replaces_its_rows_and_days(spark, tmp_path):
     assert state(spark, daily, "date", "ca") == [("2024-01-01", 12.0)]
 
 
+def day_sums(rows):
+    return rows.groupBy("date").agg(F.sum("montant").cast("double").alias("ca"))
+
+
+def inbox_tables(spark):
+    raw, seen, daily = (unique_table(x) for x in ("raw", "seen", "daily"))
+    ensure_table(spark, daily, "date string, ca double")
+    return raw, seen, daily
+
+
+def test_inbox_change_sets(spark, tmp_path):
+    """Emptied, withdrawn, returned, reordered files; tombstones."""
+    inbox = tmp_path / "it's in"
+    inbox.mkdir()
+    head = "date,vendeur,montant\n"
+    for name, text in (("a.csv", "2024-01-01,A,1\n2024-01-02,A,5\n"), ("b'.csv", "2024-01-01,B,2\n"), ("c.csv", "2024-01-03,C,7\n")):
+        (inbox / name).write_text(head + text)
+    raw, seen, daily = inbox_tables(spark)
+
+    def changes():
+        return sorted((os.path.basename(r.fichier), r.etat) for r in inbox_changes(spark, str(inbox), seen).collect())
+
+    def sync():
+        return sorted(r.date for r in sync_inbox(spark, str(inbox), DDL, raw, seen, daily, day_sums).collect())
+    assert sync() == ["2024-01-01", "2024-01-02", "2024-01-03"] and changes() == []
+    (inbox / "a.csv").write_text(head)  # corrected to no rows
+    (inbox / "c.csv").unlink()  # withdrawn
+    (inbox / "d.csv").write_text("montant,extra,vendeur,date\n4,x,D,2024-01-01\n")  # another order, a column more
+    (inbox / "e.csv").write_text(head + "2024-01-09,E,9\n")
+    assert changes() == [("a.csv", "modifie"), ("c.csv", "retire"), ("d.csv", "nouveau"), ("e.csv", "nouveau")]
+    assert sync() == ["2024-01-01", "2024-01-02", "2024-01-03", "2024-01-09"]
+    assert state(spark, daily, "date", "ca") == [("2024-01-01", 6.0), ("2024-01-09", 9.0)]
+    assert sorted({os.path.basename(r.fichier) for r in spark.table(raw).collect()}) == ["b'.csv", "d.csv", "e.csv"]
+    assert changes() == [] and sync() == []  # the tombstone is reported once
+    (inbox / "b'.csv").write_text(head)
+    (inbox / "c.csv").write_text(head + "2024-01-03,C,8\n")  # comes back
+    assert changes() == [("b'.csv", "modifie"), ("c.csv", "nouveau")]
+    assert sync() == ["2024-01-01", "2024-01-03"]
+    assert state(spark, daily, "date", "ca") == [("2024-01-01", 4.0), ("2024-01-03", 8.0), ("2024-01-09", 9.0)]
+
+
+def test_inbox_sync_survives_a_crash(spark, tmp_path):
+    """The run ends after the raw rows are gone: their days are rebuilt by the
+    next sync, from the note."""
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    (inbox / "a.csv").write_text("date,vendeur,montant\n2024-01-01,A,1\n2024-01-02,A,5\n")
+    raw, seen, daily = inbox_tables(spark)
+    sync_inbox(spark, str(inbox), DDL, raw, seen, daily, day_sums)
+    (inbox / "a.csv").unlink()
+    (inbox / "b.csv").write_text("date,vendeur,montant\n2024-01-02,B,3\n")
+
+    def broken(rows):
+        raise RuntimeError("lost")
+    with pytest.raises(RuntimeError):
+        sync_inbox(spark, str(inbox), DDL, raw, seen, daily, broken)
+    assert state(spark, daily, "date", "ca") == [("2024-01-01", 1.0), ("2024-01-02", 5.0)]
+    assert sync_inbox(spark, str(inbox), DDL, raw, seen, daily, day_sums).count() == 2
+    assert state(spark, daily, "date", "ca") == [("2024-01-02", 3.0)]
+    assert sync_inbox(spark, str(inbox), DDL, raw, seen, daily, day_sums).isEmpty()
+
+
+def test_files_by_their_own_headers(spark, tmp_path):
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    (inbox / "a.csv").write_text("date,vendeur,montant\n2024-01-01,A,1\n\n2024-01-02,NA,x\n")
+    (inbox / "b.csv").write_text('montant,note,date,vendeur\r\n2,"n, ""q""",2024-01-01,"B, C"\r\n3,short\r\n')
+    (inbox / "c.csv").write_text("\ufeffvendeur,montant,date\n")
+    got = sorted((r.date or "", r.vendeur or "", r.montant, os.path.basename(r._file)) for r in read_many(spark, str(inbox), DDL).collect())
+    assert got == [("", "", Decimal("3.00"), "b.csv"), ("2024-01-01", "A", Decimal("1.00"), "a.csv"),
+                   ("2024-01-01", "B, C", Decimal("2.00"), "b.csv"), ("2024-01-02", "", None, "a.csv")]
+    (inbox / "d.csv").write_text("vendeur,montant\nD,1\n")
+    with pytest.raises(Exception, match="columns absent"):
+        read_many(spark, str(inbox), DDL).collect()
+    paths = [str(inbox / f"{x}.csv") for x in "abcdz"]
+    assert sorted(os.path.basename(r._file) for r in read_available(spark, paths, DDL).collect()) == ["a.csv", "a.csv", "b.csv", "b.csv"]
+    assert sorted((os.path.basename(r.fichier), r.motif) for r in unreadable_files(spark, paths, DDL).collect()) == [
+        ("d.csv", "colonnes"), ("z.csv", "absent")]
+
+
+def test_only_unreadable_files(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("")
+    (tmp_path / "y.csv.gz").write_bytes(b"\x1f\x8b\x08no archive")
+    paths = [str(tmp_path / "x.csv"), str(tmp_path / "y.csv.gz")]
+    assert read_available(spark, paths, DDL).isEmpty()
+    assert sorted(r.motif for r in unreadable_files(spark, paths, DDL).collect()) == ["illisible", "vide"]
+
+
 def test_multi_source_replay_drops_stale_sellers(spark, tmp_path):
     prefix, schema = unique_table("ms"), "date string, region string, ca_region decimal(18,2), nb_ventes bigint, source string"
     inbox = tmp_path / "in"
