@@ -44,14 +44,20 @@ def round_half_up(c: Column | str, scale: int = 0) -> Column:
     return F.round(to_col(c), scale)
 
 
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used
+    (an expression that is put into another one several times is planned and
+    evaluated as often)."""
+    return F.transform(F.array(value), use)[0]
+
+
 def ratio(num: Column | str, den: Column | str, scale: int | None = 2,
           factor: int | float | None = None, half_even: bool = True,
           zero_when: Column | None = None) -> Column:
     """``round(num [* factor] / den, scale)`` as DOUBLE, rounded once.
 
-    Both sides are decimals; the whole part of the scaled quotient and its
-    remainder are exact, and twice the remainder against the divisor says
-    which way to round and what is a tie, whatever the size of the divisor.
+    Both sides are decimals; quotient and remainder are exact, and the remainder
+    says which way to round and what is a tie, whatever the size of the divisor.
     ``scale=None`` gives the plain quotient of doubles.  A zero or null
     denominator gives null, or 0 when ``zero_when`` holds.
     """
@@ -61,14 +67,18 @@ def ratio(num: Column | str, den: Column | str, scale: int | None = 2,
     if scale is None:
         out = F.try_divide(n.cast("double"), d.cast("double"))
     else:
-        a, b = F.abs(n * F.lit(Decimal(10 ** scale))), F.nullif(F.abs(d), F.lit(0).cast(EXACT))
-        rest = a % b
-        whole = ((a - rest) / b).cast("decimal(28,0)")
-        tie = (whole % 2 == 1) if half_even else F.lit(True)
-        up = (rest * 2 > b) | ((rest * 2 == b) & tie)
-        q = whole + F.when(up, F.lit(1)).otherwise(F.lit(0))
-        q = F.when((n < 0) != (d < 0), -q).otherwise(q)
-        out = (q.cast("decimal(28,0)") * F.lit(Decimal(1).scaleb(-scale))).cast("double")
+        # floor((2a + b) / 2b) rounds a / b half up; a tie leaves no remainder
+        shift = F.lit(Decimal(10 ** scale))
+        out = _bound(F.struct(n.alias("n"), d.alias("d")), lambda x: F.struct(
+            (F.abs(x["n"] * shift) * 2 + F.abs(x["d"])).alias("a"), F.nullif(F.abs(x["d"]) * 2, F.lit(0).cast(EXACT)).alias("b"),
+            F.when((x["n"] < 0) != (x["d"] < 0), -1).otherwise(1).alias("sign")))
+        if half_even:
+            out = _bound(out, lambda x: F.struct(((x["a"] - x["a"] % x["b"]) / x["b"]).cast("decimal(28,0)").alias("q"),
+                                                 (x["a"] % x["b"] == 0).alias("tie"), x["sign"].alias("sign")))
+            whole = _bound(out, lambda x: (x["q"] - F.when(x["tie"], x["q"] % 2).otherwise(0)) * x["sign"])
+        else:
+            whole = _bound(out, lambda x: ((x["a"] - x["a"] % x["b"]) / x["b"]).cast("decimal(28,0)") * x["sign"])
+        out = (whole.cast("decimal(28,0)") * F.lit(Decimal(1).scaleb(-scale))).cast("double")
     if zero_when is not None:
         out = F.when(zero_when, F.lit(0.0)).otherwise(out)
     return out
