@@ -20,17 +20,20 @@ from salesflow.operators._common import By, by_list
 # Fixed values from the reference: stage names, status, time limits (s).
 STAGES = ("extract", "transform", "load")
 STATUS_OK = "SUCCES"
+STATUS_FAILED = "ECHEC"
 DEFAULT_LIMITS = {"extract": 300, "task": 600, "run": 1800}
 
 
 def run_metrics(stages: DataFrame, sales: DataFrame | None = None, key: str = "date",
-                errors: DataFrame | None = None) -> DataFrame:
+                errors: DataFrame | None = None, rejected: DataFrame | None = None) -> DataFrame:
     """One metrics row per date.
 
     ``stages``: (date, stage, seconds); stage durations are pivoted on
     the known stage names (missing -> 0), total = their sum rounded to 2.
     ``sales``: (date, montant) -> nb_lignes and ca_total.  ``errors``:
     (date, nb_erreurs) -> taux_erreur = errors / rows; 0.0 when unknown.
+    ``rejected``: (date) of the days that loaded nothing; their ``statut`` is
+    ``ECHEC``, that of the others ``SUCCES``.
     """
     wide = (stages.groupBy(key).pivot("stage", list(STAGES))
             .agg(F.sum(F.col("seconds").cast("decimal(18,2)"))))
@@ -54,7 +57,12 @@ def run_metrics(stages: DataFrame, sales: DataFrame | None = None, key: str = "d
         ).drop("nb_erreurs")
     else:
         out = out.withColumn("taux_erreur", F.lit(0.0))
-    return out.withColumn("statut", F.lit(STATUS_OK))
+    if rejected is None:
+        return out.withColumn("statut", F.lit(STATUS_OK))
+    failed = rejected.select(key).distinct().withColumn("_failed", F.lit(True))
+    out = out.join(failed, key, "full").withColumns(
+        {c: F.coalesce(c, F.lit(0).cast(t)) for c, t in out.dtypes if c != key})
+    return out.withColumn("statut", F.when(F.col("_failed"), STATUS_FAILED).otherwise(STATUS_OK)).drop("_failed")
 
 
 def history_mean(metrics: DataFrame, duration: str = "duree_totale_s",

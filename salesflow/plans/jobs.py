@@ -222,15 +222,16 @@ def config_run(spark: SparkSession, sales: DataFrame, config_json: str, prefix:
 
 
 def region_fanout(spark: SparkSession, sales: DataFrame, targets: DataFrame,
-                  prefix: str | None = None) -> DataFrame:
+                  prefix: str | None = None, days: Days = None) -> DataFrame:
     """Every configured region in one job (the reference generates
     one pipeline per region): CA, attainment, status, keyed upsert on
-    (date, region)."""
+    (date, region).  All KPIs of the run ``days`` are replaced: a day or a
+    region of it that has no rows any more keeps none."""
     rep = Rp.region_attainment(sales, targets)
     (table,) = _tables(prefix, "kpis_region")
     ensure_table(spark, table, "date string, region string, ca double, atteinte double, "
                                "statut string", partition=MONTH)
-    upsert_kpis(spark, rep, table, key=["date", "region"])
+    upsert_kpis(spark, rep, table, key=["date", "region"], days=days)
     return rows_of(spark, table)
 
 
@@ -261,9 +262,12 @@ def monitored_etl(spark: SparkSession, sales: DataFrame, allowed: DataFrame, sta
                   prefix: str | None = None, days: Days = None, gate: str = "quarantine"
                   ) -> dict[str, DataFrame]:
     """Health checks as a gate, margin, English segment, idempotent
-    load, run metrics per day (of all its sales) upserted, then over the
-    metrics history the anomaly report (slow run, volume drop) and the
-    time-limit breaches.  Returns ``checks``, ``loaded``, ``metrics``,
+    load, run metrics per day upserted, then over the metrics history the
+    anomaly report (slow run, volume drop) and the time-limit breaches.
+
+    The metrics are those of the loaded rows.  A day that the gate rejects
+    has loaded nothing: its row says ``ECHEC`` and stays out of the history
+    that the anomalies are judged by.  Returns ``checks``, ``loaded``, ``metrics``,
     ``anomalies``, ``breaches``."""
     sales_t, met_t = _tables(prefix, "ventes_monitoring", "metriques_pipeline")
     checks = Q.health_checks(sales, allowed, min_lignes)
@@ -275,10 +279,12 @@ def monitored_etl(spark: SparkSession, sales: DataFrame, allowed: DataFrame, sta
     loaded = _load(spark, rows, sales_t, "date string, vendeur string, montant decimal(18,2), "
                                          "marge decimal(18,2), segment string, charge_le timestamp", days)
     ensure_table(spark, met_t, METRICS_DDL, partition=MONTH)
-    upsert_kpis(spark, M.run_metrics(stages, sales, errors=errors), met_t, days=days)
+    metrics = M.run_metrics(stages, accepted, errors=errors, rejected=report.where(~F.col("valid")))
+    upsert_kpis(spark, metrics, met_t, days=days)
     hist = rows_of(spark, met_t)
-    anomalies = M.perf_anomaly(hist).join(
-        M.volume_anomaly(hist).drop("nb_lignes", "nb_jours_historique"), "date")
+    done = hist.where(F.col("statut") == M.STATUS_OK)
+    anomalies = M.perf_anomaly(done).join(
+        M.volume_anomaly(done).drop("nb_lignes", "nb_jours_historique"), "date")
     return {"checks": checks, "loaded": loaded, "metrics": hist, "anomalies": anomalies,
             "breaches": M.sla_breaches(hist, limits)}
 

@@ -213,6 +213,14 @@ def n10_region_fanout(spark, sf_dir):
     return J.region_fanout(spark, ventes(spark, sf_dir), _targets(spark, REGION_TARGETS))
 
 
+@register("n10_replay", VC + _REGION_SQL.format(keys="date,", targets=REGION_TARGETS_SQL).replace("FROM ventes v", "FROM vc v"))
+def n10_replay(spark, sf_dir):
+    """A replayed day that became empty, and regions of one that lost their
+    rows, keep no KPI."""
+    prefix, targets = unique_table("n10"), _targets(spark, REGION_TARGETS)
+    return replay(spark, sf_dir, lambda rows, days: J.region_fanout(spark, rows, targets, prefix, days))
+
+
 @register("n11_multi_source", API_SQL + """,
 b AS (SELECT min(date) AS d0, max(date) AS d1 FROM ventes),
 apic AS (SELECT a.* FROM api a, b WHERE date NOT IN (d0, d1) OR (date = d1 AND l_linenumber = 1)),
@@ -244,22 +252,45 @@ def n11_multi_source(spark, sf_dir):
                      F.col("ca_texte").alias("valeur"), F.col("ca_total").alias("ca"), text.alias("source")))
 
 
-@register("n12_monitored_etl", METRICS_SQL + f""",
+_ACCEPTED_SQL = METRICS_SQL + """,
+ok AS (SELECT date FROM ev GROUP BY date HAVING count(*) >= 10 AND bool_and(coalesce(v > 0, false)))"""
+
+
+@register("n12_monitored_etl", _ACCEPTED_SQL + f""",
 r AS (SELECT date, duree_totale_s, nb_lignes,
         sum(CAST(duree_totale_s AS DECIMAL(18,2))) OVER w AS md,
         sum(CAST(nb_lignes AS DECIMAL(18,2))) OVER w AS mv,
         count(*) OVER w AS c
-      FROM metrics WINDOW w AS (ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW))
+      FROM metrics JOIN ok USING (date) WINDOW w AS (ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW))
 SELECT date, duree_totale_s, {snap('md / c', 4, even=False)} AS moyenne_duree_totale_s,
        c AS nb_jours_historique, c >= 3 AND CAST(duree_totale_s AS DECIMAL(18,2)) * c > md * 1.5 AS anomalie_perf,
        {snap('mv / c', 4, even=False)} AS moyenne_nb_lignes,
        c >= 2 AND nb_lignes * c < mv * 0.7 AS baisse_volume
 FROM r""")
 def n12_monitored_etl(spark, sf_dir):
-    return _n12(spark, sf_dir)["anomalies"]
-
-
-def _n12(spark, sf_dir):
+    """Every seller is known here: the days whose amounts are positive load, and
+    the history holds them alone."""
+    return _n12(spark, sf_dir, all_known=True)["anomalies"]
+
+
+@register("n12_rejected_day", _ACCEPTED_SQL + """,
+b AS (SELECT min(date) AS d0, max(date) AS d1 FROM ev)
+SELECT m.date, m.duree_totale_s, CASE WHEN m.date <> d1 AND ok.date IS NOT NULL THEN m.nb_lignes ELSE 0 END AS nb_lignes,
+       CASE WHEN m.date <> d1 AND ok.date IS NOT NULL THEN m.ca_total ELSE 0.0 END AS ca_total,
+       CASE WHEN m.date <> d1 AND ok.date IS NOT NULL THEN 'SUCCES' ELSE 'ECHEC' END AS statut
+FROM metrics m CROSS JOIN b LEFT JOIN ok USING (date) WHERE m.date <> d0""")
+def n12_rejected_day(spark, sf_dir):
+    """Two days come again: the first without rows or stages, so that its
+    metrics go; the last with a seller outside the domain, so that nothing of
+    it loads and its metrics say ECHEC."""
+    prefix = unique_table("n12")
+    _n12(spark, sf_dir, all_known=True, prefix=prefix)
+    days = table(spark, sf_dir, "events").agg(*(F.date_format(f("ts"), "yyyy-MM-dd") for f in (F.min, F.max))).first()
+    out = _n12(spark, sf_dir, all_known=True, prefix=prefix, days=list(days), stranger=True)
+    return out["metrics"].select("date", "duree_totale_s", "nb_lignes", "ca_total", "statut")
+
+
+def _n12(spark, sf_dir, all_known=False, prefix=None, days=None, stranger=False):
     e = table(spark, sf_dir, "events")
     m = run_metrics_from_events(spark, sf_dir)
     stages = m.select("date", F.explode(F.array(*[
@@ -269,10 +300,17 @@ def _n12(spark, sf_dir):
     sales = e.select(day, F.col("value").cast("decimal(18,2)").alias("montant"),
                      F.col("user_id").cast("string").alias("vendeur"))
     errors = e.groupBy(day).agg(F.count_if(F.col("event_type") == "error").alias("nb_erreurs"))
-    # customers with a key that ends in 7 are not in the domain
-    allowed = table(spark, sf_dir, "customer").where(F.pmod("c_custkey", F.lit(10)) != 7) \
-        .select(F.col("c_custkey").cast("string").alias("vendeur"))
-    return J.monitored_etl(spark, sales, allowed, stages, errors, edges=(0, 20, 60, float("inf")), limits=SLA_LIMITS)
+    if all_known:
+        allowed = sales.select("vendeur").distinct()
+    else:  # customers with a key that ends in 7 are not in the domain
+        allowed = table(spark, sf_dir, "customer").where(F.pmod("c_custkey", F.lit(10)) != 7) \
+            .select(F.col("c_custkey").cast("string").alias("vendeur"))
+    if days:  # the last of them alone is delivered again
+        sales, stages = (x.where(F.col("date") == days[-1]) for x in (sales, stages))
+    if stranger:
+        sales = sales.withColumn("vendeur", F.concat(F.lit("inconnu "), "vendeur"))
+    return J.monitored_etl(spark, sales, allowed, stages, errors, edges=(0, 20, 60, float("inf")), limits=SLA_LIMITS,
+                           prefix=prefix, days=days)
 
 
 @register("n12_checks_and_load", f"""
