@@ -44,19 +44,24 @@ def top_by_sum(df: DataFrame, key: str, value: str = "montant", by: By = "date",
         F.min_by(F.col(key), top_order(F.col("_s"), F.col(key))).alias(out or f"top_{key}"))
 
 
-def _one_pass(df: DataFrame, by: By, tops: Sequence[str], extra: dict[str, Column],
-              keep_null: bool, money: Sequence[str] = ()) -> DataFrame:
-    """Per date: ``ca`` (sum of montant), ``nb`` (rows), the ``extra``
-    sums and ``top_<key>`` for each key, from one GROUPING SETS pass.
-    Money is summed as long cents; ``extra`` sums named in ``money`` are
-    cents too and come back as decimals."""
+def _partials(df: DataFrame, by: By, tops: Sequence[str], extra: dict[str, Column]) -> DataFrame:
+    """One GROUPING SETS pass: per date and key of each of ``tops`` the sums
+    ``_s`` (montant, long cents), ``_n`` (rows), ``_x_<name>`` of ``extra``, and
+    ``_g_<key>``, 0 in the rows of that key."""
     keys = by_list(by)
     sets = [keys + [k] for k in tops]
-    first = (df.groupingSets(sets, *keys, *tops)
-             .agg(F.sum(cents("montant")).alias("_s"),
-                  F.count(F.lit(1)).alias("_n"),
-                  *[e.alias(f"_x_{n}") for n, e in extra.items()],
-                  *[F.grouping(k).alias(f"_g_{k}") for k in tops]))
+    return (df.groupingSets(sets, *keys, *tops)
+            .agg(F.sum(cents("montant")).alias("_s"),
+                 F.count(F.lit(1)).alias("_n"),
+                 *[e.alias(f"_x_{n}") for n, e in extra.items()],
+                 *[F.grouping(k).alias(f"_g_{k}") for k in tops]))
+
+
+def _totals(first: DataFrame, by: By, tops: Sequence[str], extra: Sequence[str], keep_null: bool,
+            money: Sequence[str] = ()) -> DataFrame:
+    """Per date, of the partial sums: ``ca`` (sum of montant), ``nb`` (rows), the
+    ``extra`` sums and ``top_<key>`` for each key.  Sums named in ``money`` are
+    cents and come back as decimals."""
     lead = f"_g_{tops[0]}"
     in_lead = F.col(lead) == 0
     aggs = [from_cents(F.sum(F.when(in_lead, F.col("_s")))).alias("ca"),
@@ -69,7 +74,12 @@ def _one_pass(df: DataFrame, by: By, tops: Sequence[str], extra: dict[str, Colum
             member = member & F.col(k).isNotNull()
         aggs.append(F.min_by(F.col(k), F.when(member, top_order(F.col("_s"), F.col(k))))
                     .alias(f"top_{k}"))
-    return group(first, keys).agg(*aggs)
+    return group(first, by_list(by)).agg(*aggs)
+
+
+def _one_pass(df: DataFrame, by: By, tops: Sequence[str], extra: dict[str, Column],
+              keep_null: bool, money: Sequence[str] = ()) -> DataFrame:
+    return _totals(_partials(df, by, tops, extra), by, tops, list(extra), keep_null, money)
 
 
 def _or_zero(c: str, empty: Column) -> Column:
@@ -89,6 +99,11 @@ def kpis_final(df: DataFrame, objectif: float = 50000, by: By = "date") -> DataF
     m = F.col("marge") if "marge" in df.columns else margin("montant")
     t = _one_pass(df, by, ["produit", "vendeur"], {"marge": F.sum(cents(m))},
                   keep_null=False, money=["marge"])
+    return final_columns(t, objectif, by)
+
+
+def final_columns(t: DataFrame, objectif: float, by: By = "date") -> DataFrame:
+    """The final KPIs of day totals (``ca``, ``marge``, ``nb`` and the tops)."""
     empty = F.col("nb") == 0
     ca = F.bround(_or_zero("ca", empty), 2)
     mg = F.bround(_or_zero("marge", empty), 2)

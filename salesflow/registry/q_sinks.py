@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 from salesflow.operators import kpis as K
 from salesflow.operators import quality as Q
 from salesflow.operators.enrich import with_lineage
+from salesflow.operators.states import apply_delta
 from salesflow.registry import register
-from salesflow.registry._sql import W
+from salesflow.registry._sql import OBJECTIF, W
 from salesflow.registry.q_kpis import _G7_SQL, kpis_final_today
 from salesflow.registry.q_sources import VENTES_DDL, load_ventes_table
 from salesflow.session import scratch_path, unique_table
@@ -126,6 +127,23 @@ def _event_rows(e):
                     F.col("props").alias("detail"))
 
 
+@register("b5_state_deltas", _G7_SQL.replace("FROM ventes),", "FROM ventes WHERE NOT (l_returnflag = 'R' AND l_linenumber < 4)),", 1)
+          + "\nSELECT * FROM k")
+def b5_state_deltas(spark, sf_dir):
+    """KPIs kept up by deltas of states: a first load, rows that come later,
+    returned lines that go, the last delta run twice.  Equal to the KPIs of the
+    rows that are left."""
+    states, kpis = unique_table("states"), unique_table("kpis")
+    ensure_table(spark, kpis, KPI_SCHEMA, partition=MONTH)
+    v = ventes(spark, sf_dir)
+    late, back = F.col("l_linenumber") == 2, (F.col("l_returnflag") == "R") & (F.col("l_linenumber") < 4)
+    apply_delta(spark, v.where(~late), None, states, kpis, "a", OBJECTIF)
+    apply_delta(spark, v.where(late), None, states, kpis, "b", OBJECTIF)
+    for _ in range(2):
+        apply_delta(spark, None, v.where(back), states, kpis, "c", OBJECTIF)
+    return rows_of(spark, kpis)
+
+
 @register("b6_log_events", """
 SELECT strftime(ts, '%Y-%m-%d') AS date, strftime(ts, '%Y-%m-%d %H:%M:%S') AS horodatage,
        upper(event_type) AS type_event, 'user_' || CAST(user_id AS VARCHAR) AS task_id,
