@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from salesflow.layout import period, stored_sales
 from salesflow.operators import kpis as K
 from salesflow.operators.enrich import enrich_final, with_margin
 from salesflow.registry import register
@@ -36,6 +37,12 @@ def g7_kpis_final(spark, sf_dir):
     return kpis_final_today(spark, sf_dir)
 
 
+@register("g7_from_table", _G7_SQL + "\nSELECT * FROM k")
+def g7_from_table(spark, sf_dir):
+    """The flagship over the stored sales: one scan, no join."""
+    return K.kpis_final(enrich_final(period(stored_sales(spark, sf_dir)), edges=EDGES, lineage=False), objectif=OBJECTIF)
+
+
 @register("g1_day_totals", W + """
 SELECT date, CAST(sum(montant) AS DOUBLE) AS ca_total, count(*) AS nb_ventes
 FROM ventes GROUP BY date""")

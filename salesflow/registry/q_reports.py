@@ -1,5 +1,6 @@
 """Reports."""
 
+from salesflow.layout import period, stored_sales
 from salesflow.operators import reports as Rp
 from salesflow.registry import register
 from salesflow.registry._sql import W, snap
@@ -30,6 +31,16 @@ def g2_report_by_seller(spark, sf_dir):
     return Rp.report_by_seller(ventes(spark, sf_dir))
 
 
+@register("g2_from_table", W + f"""
+SELECT vendeur, count(*) AS nb_ventes, CAST(sum(quantite) AS BIGINT) AS unites_vendues,
+       CAST(round(sum(montant)) AS DOUBLE) AS ca_total,
+       {snap('sum(montant) / count(montant)', 0, even=False)} AS panier_moyen
+FROM ventes WHERE date BETWEEN '1994-03-15' AND '1995-03-14' GROUP BY vendeur""")
+def g2_from_table(spark, sf_dir):
+    """The seller report of a year, over the stored sales: its months alone."""
+    return Rp.report_by_seller(period(stored_sales(spark, sf_dir), "1994-03-15", "1995-03-14"))
+
+
 @register("g3_report_by_category", W + f""",
 c AS (SELECT categorie, sum(montant) AS ca FROM ventes GROUP BY categorie)
 SELECT categorie, CAST(round(ca) AS DOUBLE) AS ca_total,
@@ -81,6 +92,11 @@ def f1_region_attainment(spark, sf_dir):
     return Rp.region_attainment(ventes(spark, sf_dir), _targets(spark, REGION_TARGETS))
 
 
+@register("f1_from_table", W + _REGION_SQL.format(keys="date,", targets=REGION_TARGETS_SQL))
+def f1_from_table(spark, sf_dir):
+    return Rp.region_attainment(period(stored_sales(spark, sf_dir)), _targets(spark, REGION_TARGETS))
+
+
 @register("g12_region_analysis", W + _REGION_SQL.format(keys="", targets=HISTORY_TARGETS_SQL))
 def g12_region_analysis(spark, sf_dir):
     return Rp.region_attainment(ventes(spark, sf_dir), _targets(spark, HISTORY_TARGETS), by=None)

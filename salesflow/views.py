@@ -71,15 +71,17 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_retailprice").cast(MONEY).alias("prix"))
 
 
-def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem + orders: the fact rows with their sale date."""
-    li = table(spark, sf_dir, "lineitem")
-    od = table(spark, sf_dir, "orders").select(
+def lines(spark: SparkSession, sf_dir: str, facts: dict[str, DataFrame] | None = None) -> DataFrame:
+    """lineitem + orders: the fact rows with their sale date.  ``facts`` gives
+    other forms of the two tables (``salesflow.layout``)."""
+    facts = facts or {n: table(spark, sf_dir, n) for n in ("lineitem", "orders")}
+    li = facts["lineitem"]
+    od = facts["orders"].select(
         "o_orderkey", day_key("o_orderdate").alias("date"), "o_custkey")
     return li.join(od, li.l_orderkey == od.o_orderkey)
 
 
-def ventes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ventes(spark: SparkSession, sf_dir: str, facts: dict[str, DataFrame] | None = None) -> DataFrame:
     """The canonical sales table (see module doc).
 
     The supplier scan is joined as it is (its size estimate is its file
@@ -90,7 +92,7 @@ def ventes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     sup = table(spark, sf_dir, "supplier").select(
         "s_suppkey", "s_nationkey", F.col("s_name").alias("vendeur"))
-    return (lines(spark, sf_dir)
+    return (lines(spark, sf_dir, facts)
             .join(products(spark, sf_dir), F.col("l_partkey") == F.col("p_partkey"))
             .join(sup, F.col("l_suppkey") == F.col("s_suppkey"))
             .join(F.broadcast(geo(spark, sf_dir)), F.col("s_nationkey") == F.col("n_nationkey"))

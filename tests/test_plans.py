@@ -74,3 +74,42 @@ def test_skewed_day_is_exact(spark):
     for r in hot:
         sums[r[1]] = sums.get(r[1], 0) + r[3]
     assert k["hot"].top_produit == min(sums, key=lambda p: (-sums[p], p))
+
+
+def test_stored_facts_join_without_exchange(spark):
+    """Bucketed by the order key: no row of the two growing tables moves."""
+    from salesflow import layout
+    from salesflow.session import unique_table
+    from salesflow.views import lines
+    facts = layout.bucket_facts(spark, SF, unique_table("facts"), buckets=4)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stored, plain = plan(lines(spark, SF, facts), "simple"), plan(lines(spark, SF), "simple")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in stored and "Exchange" not in stored
+    assert plain.count("Exchange") == 2
+    assert lines(spark, SF, facts).count() == lines(spark, SF).count()
+
+
+def test_reports_read_the_months_of_their_period(spark):
+    from salesflow import layout
+    from salesflow.operators import reports as Rp
+    sales = layout.stored_sales(spark, SF)
+    p = plan(Rp.report_by_seller(layout.period(sales, "1995-02-03", "1995-04-05")))
+    assert "Join" not in p
+    assert "PartitionFilters: [isnotnull(mois" in p and "GreaterThanOrEqual(date,1995-02-03)" in p
+    want = ventes(spark, SF).where("date between '1995-02-03' and '1995-04-05'")
+    assert layout.period(sales, "1995-02-03", "1995-04-05").count() == want.count()
+
+
+def test_stored_sales_are_loaded_once_and_again_after_a_change(spark, tmp_path):
+    import shutil
+    from salesflow import layout
+    for t in ("lineitem", "orders", "part", "supplier", "nation", "region"):
+        shutil.copy(f"{SF}/{t}.parquet", tmp_path / f"{t}.parquet")
+    first = layout.stored_sales(spark, str(tmp_path)).inputFiles()
+    assert layout.stored_sales(spark, str(tmp_path)).inputFiles() == first
+    os.utime(tmp_path / "orders.parquet", (1, 1))
+    assert layout.stored_sales(spark, str(tmp_path)).inputFiles() != first
