@@ -163,6 +163,8 @@ def _little(ids: list[int]) -> bytes:
 class Codec:
     """Encoder and decoder of one Python worker, with bounded memos."""
 
+    room = WORDS
+
     def __init__(self, matcher: Matcher):
         self._prepare(Vocabulary(matcher.text))
         v = self.vocabulary
@@ -228,7 +230,7 @@ class Codec:
 
     def _plain(self, text: str) -> bytes:
         words = self.cut(text)
-        if len(self.words) >= WORDS // 2:
+        if len(self.words) >= self.room // 2:
             self.words, self.older = {}, self.words
         known = self.words
         got = list(map(known.get, words))
@@ -241,15 +243,19 @@ class Codec:
             got = list(map(known.__getitem__, words))
         return b"".join(got)
 
-    def encode(self, text: str | None) -> np.ndarray:
-        """The ids of a whole text; null counts as empty."""
+    def encode_bytes(self, text: str | None) -> bytes:
+        """The ids of a whole text, four bytes each; null counts as empty."""
         if not text:
-            return np.zeros(0, "<u4")
+            return b""
         if self.special is None or not self.special.search(text):
-            return np.frombuffer(self._plain(text), "<u4")
+            return self._plain(text)
         parts = [_little([self.vocabulary.special[p]]) if p in self.vocabulary.special
                  else self._plain(p) if p else b"" for p in self.special.split(text)]
-        return np.frombuffer(b"".join(parts), "<u4")
+        return b"".join(parts)
+
+    def encode(self, text: str | None) -> np.ndarray:
+        """The ids of a whole text; null counts as empty."""
+        return np.frombuffer(self.encode_bytes(text), "<u4")
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ``ids``, special tokens included; bytes that are not

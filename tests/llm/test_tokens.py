@@ -131,6 +131,22 @@ def test_packing_odd_rows(odd, none, vocabulary, library):
     assert packing.pack_documents(none, vocabulary).count() == 0
 
 
+def test_each_tier_is_packed_into_its_own_length(spark):
+    """Sequences of every context size, short documents in short ones, and gaps
+    of long sequences filled from shorter tiers."""
+    lengths = [100] * 1500 + [700] * 90 + [1500] * 50 + [5000] * 3
+    made = packing.pack(lengths)
+    size = [sum(p.length for p in s) for s in made]
+    assert {512, 1024, 2048} <= set(size) and sum(size) == sum(lengths)
+    assert sum(n not in (512, 1024, 2048) for n in size) <= 10  # powers of two of the last tokens
+    assert any(n == 2048 and {lengths[p.doc] for p in s} >= {1500, 100} for n, s in zip(size, made))
+    group = packing.step_groups(size, 8192)
+    sums = [sum(n for n, g in zip(size, group) if g == x) for x in set(group)]
+    assert max(sums) - min(sums) <= 2048
+    mixed = [{n for n, g in zip(size, group) if g == x} for x in set(group)]
+    assert sum(2048 in m and len(m) > 1 for m in mixed) * 2 > len(mixed)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 700), max_size=80), st.sampled_from([(64, 8), (128, 128), (256, 16)]))
 def test_pack_holds_every_token_once(lengths, sizes):
