@@ -28,6 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from salesflow.llm.bpe import _OTHER as OTHER
 from salesflow.llm.bpe import Codec, Vocabulary, byte_alphabet
 
 WINDOW = 2048
@@ -38,6 +39,8 @@ BLOCK_TOKENS, BLOCK_ROWS = 4_000_000, 20_000
 #: Tokens of a step group.
 STEP_TOKENS = 64 * WINDOW
 END = 1
+#: Fixed value: the public byte-level pre-token pattern.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Pre-tokens that a worker's memo holds, about 200 bytes each.
 ROOM = 300_000
 
@@ -127,17 +130,32 @@ def step_groups(lengths: list[int], tokens: int = STEP_TOKENS) -> list[int]:
 
 
 class LibraryCodec(Codec):
-    """Memoised encoder whose ids come from the ``tokenizers`` library: its
-    model encodes pre-tokens, written in the byte alphabet."""
+    """Encoder whose ids come from public libraries.  Whole texts go through
+    ``tiktoken``, given the vocabulary as ranks, where that is the same: ids
+    rise with the merges, and the text has no character whose class depends on
+    the Unicode version.  The rest is cut by the tokenizer itself, and its model
+    encodes the pre-tokens, written in the byte alphabet."""
+
+    room = ROOM
 
     def __init__(self, text: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task's core alone
         from tokenizers import Tokenizer
         self.model = Tokenizer.from_str(text).model
         self.visible = {b: c for c, b in byte_alphabet().items()}
-        self._prepare(Vocabulary(text))
-
-    room = ROOM
+        v = Vocabulary(text)
+        self._prepare(v)
+        made = sorted((v.rank[i], i) for i in v.plain if v.rank[i] >= 0)
+        self.whole = None
+        if all(a < b for (_, a), (_, b) in zip(made, made[1:])):
+            import tiktoken
+            self.whole = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks={v.bytes[i]: i for i in v.plain},
+                                           special_tokens={})
+
+    def _plain(self, text: str) -> bytes:
+        if self.whole is None or not text.isascii() and OTHER.search(text):
+            return super()._plain(text)
+        return np.asarray(self.whole.encode_to_numpy(text, disallowed_special=()), "<u4").tobytes()
 
     def encode_words(self, words: list[str]) -> list[list[int]]:
         tokenize, visible = self.model.tokenize, self.visible
