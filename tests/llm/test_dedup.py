@@ -232,19 +232,43 @@ def test_embeddings_odd_rows(spark):
 
 def plain_lines(rows, min_docs=2):
     """The template tree over plain dictionaries."""
-    held = defaultdict(set)
+    held, kinds = defaultdict(set), defaultdict(set)
     for i, t in rows:
         for line in (t or "").split("\n"):
-            for k in line_dedup.template_keys(line):
+            for k, fill in line_dedup.template_keys(line):
                 held[k].add(i)
+                kinds[k].add(fill)
+
+    def recurs(k, fill):
+        return len(held[k]) >= min_docs if fill < 0 else len(held[k]) >= 3 and len(kinds[k]) >= 3
     gone = defaultdict(list)
     for i, t in rows:
         for n, line in enumerate((t or "").split("\n")):
-            if any(len(held[k]) >= min_docs and min(held[k]) != i for k in line_dedup.template_keys(line)):
+            if any(recurs(k, fill) and min(held[k]) != i for k, fill in line_dedup.template_keys(line)):
                 gone[i].append(n)
     return gone
 
 
+def test_text_that_occurs_once_stays(spark):
+    """Two long sentences that share their beginning alone, two short ones of
+    two fillings: nothing is a field, nothing goes."""
+    head = "The council said on Monday that a new bridge over the river will "
+    rows = [(1, head + "be built next year by the city"), (2, head + "never be paid for by anyone here"),
+            (3, head + "open to all on the first day"), (4, "At the gate user anna logged in today"), (5, "At the gate user otto logged in today")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {r["doc_id"]: r["text"] for r in line_dedup.drop_recurring_lines(df).collect()} == dict(rows)
+    more = [*rows, (6, "At the gate user mary logged in today"), (7, head + "be built next year by the city")]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.drop_recurring_lines(spark.createDataFrame(more, "doc_id bigint, text string")).collect()}
+    assert [i for i, t in got.items() if not t] and {i for i, t in got.items() if not t} == {5, 6, 7}  # a third filling, an equal line
+
+
+def test_columns_of_any_name_are_kept(spark):
+    rows = [(1, "one line that recurs in both", "a", "b", "c"), (2, "one line that recurs in both", "d", "e", "f")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, _id string, _h string, _row string")
+    got = sorted(tuple(r) for r in line_dedup.drop_recurring_lines(df).collect())
+    assert got == [(*rows[0], []), (2, "", "d", "e", "f", [0])]
+
+
 def test_op8_equals_plain_dictionaries(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     want = plain_lines(rows)
@@ -258,16 +282,16 @@ def test_op8_equals_plain_dictionaries(spark):
 
 
 def test_templates_generalise_and_keep_clean_lines(spark):
-    body = "At the gate user {} logged in from host {} today and left again"
+    body = "At the gate user {} logged in from host {} and left again"
     rows = [(1, body.format("anna", "web1") + "\nAn own line that no other document has"), (2, body.format("anna", "db22")),
-            (3, body.format("otto", "db22")), (4, "At the gate user manuals are kept in the office today and are used"),
+            (3, body.format("otto", "db22")), (12, body.format("mary", "web1")), (4, "At the gate user manuals are kept in the office today and are used"),
             (5, "12 13 14 15 16 17"), (6, "22 23 24 25 26 27"), (7, "short line"), (8, "short line"), (9, None), (10, ""),
             (None, body.format("anna", "web1"))]
     df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id bigint, text string, dropped_lines string")
     got = {r["doc_id"]: (r["text"], r["dropped_lines"]) for r in line_dedup.drop_recurring_lines(df).collect()}
-    assert got[2] == ("", [0]) and got[3][0] == ""
+    assert got[2] == ("", [0]) and got[3][0] == "" and got[12][0] == ""
     for i, t in rows:
-        if i not in (2, 3):
+        if i not in (2, 3, 12):
             assert got[i] == (t, [])
 
 
@@ -278,8 +302,9 @@ def test_short_lines_and_lines_without_spaces_drop(spark):
             (3, f"All rights reserved.\n\n{thai}\n明日は雨です"), (4, f"Les.\n\n{thai}\n明日は雪です"), (5, "Les.\n \nAll rights, reserved.")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     got = {s: {r["doc_id"]: r["dropped_lines"] for r in line_dedup.drop_recurring_lines(df, short_docs=s).collect()} for s in (2, 3)}
-    assert got[2] == {1: [], 2: [0, 2], 3: [0], 4: [2], 5: [0]}
-    assert got[3] == {1: [], 2: [0, 2], 3: [0], 4: [2], 5: []}
+    # the long lines differ in their last character: only two documents hold the rest, so both stay
+    assert got[2] == {1: [], 2: [0], 3: [0], 4: [2], 5: [0]}
+    assert got[3] == {1: [], 2: [0], 3: [0], 4: [2], 5: []}
 
 
 def test_op8_drops_every_recurring_short_line(spark):
