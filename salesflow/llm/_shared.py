@@ -17,6 +17,23 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_GIVEN: list = []
+
+
+def given(spark, value):
+    """Broadcast a value of proven size bound, to be let go by ``release``."""
+    _GIVEN.append(spark.sparkContext.broadcast(value))
+    return _GIVEN[-1]
+
+
+def release() -> None:
+    """Take what ``given`` has sent out of the executors' memory (a plan that
+    still needs it fetches it again).  The pipeline does so before each stage,
+    when the stage before it is written."""
+    while _GIVEN:
+        _GIVEN.pop().unpersist()
+
+
 def documents(spark, sf_dir: str, columns=("doc_id", "text")) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select(*columns)
 

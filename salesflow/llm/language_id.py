@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from salesflow.llm._shared import given
 from salesflow.llm.bpe import suffix_automaton
 
 #: Symbols of labelled text, all languages together, and documents sampled (about) for
@@ -196,12 +197,12 @@ def predict_languages(docs: DataFrame, model: Model, text_col: str = "text") ->
     other, 0 for ``und``) and ``phrase_bits`` (the winner's bits a symbol; null
     for ``und``).  Only the text counts; ties go to the first language in
     order; input columns of these names are replaced."""
-    given = docs.sparkSession.sparkContext.broadcast(model)
+    model_of = given(docs.sparkSession, model)
     cache: dict[str, np.ndarray] = {}
 
     @F.pandas_udf("lang string, score double, bits double")
     def predict(texts: pd.Series) -> pd.DataFrame:
-        m = given.value
+        m = model_of.value
         if "table" not in cache:
             cache["table"] = m.symbols()
         out = []

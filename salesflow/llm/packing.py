@@ -28,6 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from salesflow.llm._shared import given
 from salesflow.llm.bpe import _OTHER as OTHER
 from salesflow.llm.bpe import Codec, Vocabulary, byte_alphabet
 
@@ -185,7 +186,7 @@ def pack_documents(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id"
     empty table gives no rows.
     """
     with open(vocabulary_path, encoding="utf-8") as f:
-        made = docs.sparkSession.sparkContext.broadcast(f.read())
+        made = given(docs.sparkSession, f.read())
 
     names = ["_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "tier", "step_group", "cut",
              *["ids"] * with_ids]

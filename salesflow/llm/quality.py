@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesflow.llm._shared import shared_table
+from salesflow.llm._shared import given, shared_table
 
 #: The bounded sample of labelled rows that the model is fitted on (by hash of
 #: the id), and the partitions whose sums reach the driver.
@@ -33,7 +33,7 @@ STATISTICS = (
     "distinct_words", "top_word", "repeated_word", "words_ending_in_mark", "upper_words", "one_letter_words",
     "lines_a_word", "line_length", "distinct_lines", "short_lines", "sentence_words")
 
-_CLASS = np.zeros(256, np.int64)  # 0 mark, 1 lower, 2 upper, 3 digit, 4 space, 5 newline, 6 high, 7 control
+_CLASS = np.zeros(256, np.int8)  # 0 mark, 1 lower, 2 upper, 3 digit, 4 space, 5 newline, 6 high, 7 control
 _CLASS[:32], _CLASS[127] = 7, 7
 _CLASS[[9, 11, 12, 13, 32]], _CLASS[10] = 4, 5
 _CLASS[48:58], _CLASS[65:91], _CLASS[97:123], _CLASS[128:] = 3, 2, 1, 6
@@ -181,13 +181,13 @@ def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
     (1 if the score reaches ``threshold``).  The score depends on the text
     alone; null and empty texts are scored as texts without words; an empty
     table gives no rows; input columns of these names are replaced."""
-    given = docs.sparkSession.sparkContext.broadcast(model)
+    model_of = given(docs.sparkSession, model)
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
         if not len(texts):
             return pd.Series([], dtype=float)
-        return pd.Series(given.value.score(np.stack([statistics(t) for t in texts])))
+        return pd.Series(model_of.value.score(np.stack([statistics(t) for t in texts])))
 
     return (docs.withColumn("score", score(F.col(text_col).cast("string")))
             .withColumn("predicted", (F.col("score") >= threshold).cast("int")))
