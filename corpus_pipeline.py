@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesflow.llm import language_id, line_dedup, packing, quality, simhash
-from salesflow.llm._shared import shared_table
+from salesflow.llm._shared import release, shared_table
 from salesflow.llm.queries import QUALITY, vocabulary
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -18,6 +18,7 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents whose calibrated quality score is below the limit."""
+    release()
     model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality.score_documents(docs, model, threshold=QUALITY).where("predicted = 1").select(*COLUMNS)
 
@@ -25,6 +26,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents without a language: no text, no letters.  That holds
     also if no document has a label, so that nothing is learned."""
+    release()
     model = language_id.fit(docs)
     if not model.languages:
         return docs.where(F.col("text").rlike(r"\p{L}")).select(*COLUMNS)
@@ -34,6 +36,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops recurring lines; ``n_chars`` is counted anew."""
+    release()
     out = line_dedup.drop_recurring_lines(docs, short_docs=line_dedup.MIN_DOCS)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*COLUMNS)
 
@@ -42,6 +45,7 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """One document of each near-copy group stays: the smallest id.  Rows equal
     in id and text are one document; rows without an id cannot be told apart
     and stay if one of them does."""
+    release()
     groups = simhash.simhash_groups(docs)
     stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_stay")).distinct()
     # the ids that stay grow with the documents: a merge join at every size
