@@ -153,11 +153,11 @@ def c9_lookup(spark, sf_dir):
 
 
 @register("c10_lookup_mod", """
-SELECT event_id, (['Alice','Karim','Lucie','Thomas','Nadia'])[(user_id % 5) + 1] AS vendeur
+SELECT event_id, (['V1','V2','V3','V4','V5'])[(user_id % 5) + 1] AS vendeur
 FROM events""")
 def c10_lookup_mod(spark, sf_dir):
     e = table(spark, sf_dir, "events").select("event_id", "user_id")
-    return En.lookup_mod(e, "user_id", ["Alice", "Karim", "Lucie", "Thomas", "Nadia"],
+    return En.lookup_mod(e, "user_id", ["V1", "V2", "V3", "V4", "V5"],
                          "vendeur").drop("user_id")
 
 
