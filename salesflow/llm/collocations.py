@@ -40,7 +40,7 @@ FIRST = 1 / 8
 BUCKETS = 1 << 22
 #: Bytes of text encoded at once, words of a row, hashes counted at once, and
 #: words counted before they leave a task.
-TEXT_BYTES, ROW_WORDS, AT_ONCE, WORDS_HELD = 1 << 22, 512, 1 << 20, 400_000
+TEXT_BYTES, ROW_WORDS, AT_ONCE, WORDS_HELD = 1 << 21, 512, 1 << 19, 200_000
 #: Groups in which a language's best are sought before they meet.
 SALTS = 64
 OLD, NEW, LATER = 1, 2, 4
