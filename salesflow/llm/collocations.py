@@ -40,7 +40,7 @@ FIRST = 1 / 8
 BUCKETS = 1 << 22
 #: Bytes of text encoded at once, words of a row, hashes counted at once, and
 #: words counted before they leave a task.
-TEXT_BYTES, ROW_WORDS, AT_ONCE, WORDS_HELD = 1 << 21, 512, 1 << 19, 200_000
+TEXT_BYTES, ROW_WORDS, AT_ONCE, WORDS_HELD = 1 << 21, 512, 1 << 19, 400_000
 #: Groups in which a language's best are sought before they meet.
 SALTS = 64
 OLD, NEW, LATER = 1, 2, 4
@@ -57,6 +57,14 @@ def word_hash(lang: bytes, word: bytes, seed: int) -> int:
     return xxhash.xxh3_64_intdigest(lang + b"\x00" + word, seed) or 1
 
 
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """The rows of batches, few of them at a time as Python values."""
+    for b in batches:
+        for at in range(0, b.num_rows, 128):
+            yield from zip(*(c.to_pylist() for c in b.slice(at, 128).columns))
+        pa.default_memory_pool().release_unused()
+
+
 def _encoded(docs: DataFrame, text_col: str, lang_col: str, seed: int) -> DataFrame:
     """Rows of two kinds: ``lang``, ``word``, ``code``, ``n`` (counts of a part
     of a task), and ``codes`` (hashes of consecutive words, 0 between pieces)."""
@@ -97,16 +105,15 @@ def _encoded(docs: DataFrame, text_col: str, lang_col: str, seed: int) -> DataFr
 
         held: dict[str, list[bytes]] = {}
         size: Counter = Counter()
-        for b in batches:
-            for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                held.setdefault(lang, []).append(text)
-                size[lang] += len(text)
-                if sum(size.values()) >= TEXT_BYTES or len(held) > 1000:
-                    yield from filter(None, (encode(k, v) for k, v in held.items()))
-                    held.clear()
-                    size.clear()
-                    if sum(map(len, total.values())) >= WORDS_HELD:
-                        yield from counts()
+        for lang, text in _rows(batches):
+            held.setdefault(lang, []).append(text)
+            size[lang] += len(text)
+            if sum(size.values()) >= TEXT_BYTES or len(held) > 1000:
+                yield from filter(None, (encode(k, v) for k, v in held.items()))
+                held.clear()
+                size.clear()
+                if sum(map(len, total.values())) >= WORDS_HELD:
+                    yield from counts()
         yield from filter(None, (encode(k, v) for k, v in held.items()))
         yield from counts()
 
@@ -149,14 +156,14 @@ def _phrases(coded: DataFrame, lengths: range, flags, pairs=None) -> DataFrame:
         if pairs is not None:
             frequent = np.zeros(BUCKETS, bool)
             frequent[pairs.value] = True
-        for b in batches:
-            rows, part, size = b.column(0).to_pylist(), [], 0
-            for n, r in enumerate(rows, 1):
-                part.append(r)
-                size += len(r)
-                if size >= 8 * AT_ONCE or n == len(rows):
-                    yield from count(np.frombuffer(b"".join(part), np.uint64), known, frequent)
-                    part, size = [], 0
+        part, size = [], 0
+        for (r,) in _rows(batches):
+            part.append(r)
+            size += len(r)
+            if size >= 8 * AT_ONCE:
+                yield from count(np.frombuffer(b"".join(part), np.uint64), known, frequent)
+                part, size = [], 0
+        yield from count(np.frombuffer(b"".join(part), np.uint64), known, frequent)
 
     def count(codes: np.ndarray, known: np.ndarray, frequent: np.ndarray | None) -> Iterator[pa.RecordBatch]:
         flag = known[(codes & np.uint64(BUCKETS - 1)).astype(np.int64)]
