@@ -39,8 +39,11 @@ FIRST = 1 / 8
 #: Buckets of the tables that tasks get: at most 4,194,304, a few bytes each.
 BUCKETS = 1 << 22
 #: Bytes of text encoded at once, words of a row, hashes counted at once, and
-#: words counted before they leave a task.
-TEXT_BYTES, ROW_WORDS, AT_ONCE, WORDS_HELD = 1 << 22, 512, 1 << 20, 400_000
+#: words counted before they leave a task.  Rows are short because Spark sends
+#: them by number, not by size.
+TEXT_BYTES, ROW_WORDS, AT_ONCE, WORDS_HELD = 1 << 22, 128, 1 << 20, 400_000
+#: Phrases in a batch that leaves a task.
+SENT = 1 << 15
 #: Groups in which a language's best are sought before they meet.
 SALTS = 64
 OLD, NEW, LATER = 1, 2, 4
@@ -135,13 +138,16 @@ def _counted(codes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct rows of equally long columns, and how often each occurs."""
     h = _mix(codes)
     order = np.argsort(h, kind="stable")
-    h, rows = h[order], np.stack([c[order] for c in codes], 1)
+    h = h[order]
     new = np.ones(len(h), bool)
     new[1:] = h[1:] != h[:-1]
-    if ((rows[1:] != rows[:-1]).any(1) & ~new[1:]).any():  # two phrases of one hash
-        return np.unique(rows, axis=0, return_counts=True)
+    for c in codes:  # one column at a time, so that no second copy of all rows is held
+        c = c[order]
+        if ((c[1:] != c[:-1]) & ~new[1:]).any():  # two phrases of one hash
+            return np.unique(np.stack(codes, 1), axis=0, return_counts=True)
     first = np.flatnonzero(new)
-    return rows[first], np.diff(first, append=len(h))
+    at = order[first]
+    return np.stack([c[at] for c in codes], 1), np.diff(first, append=len(h))
 
 
 def _phrases(coded: DataFrame, lengths: range, flags, pairs=None) -> DataFrame:
@@ -185,11 +191,12 @@ def _phrases(coded: DataFrame, lengths: range, flags, pairs=None) -> DataFrame:
             at = np.flatnonzero(run_ & ((new[first] & open_[last]) | (open_[first] & new[last])))
             if len(at):
                 rows, n = _counted([codes[at + j] for j in range(m)])
-                data = np.ascontiguousarray(rows)
-                ends = np.arange(0, 8 * m * len(rows) + 1, 8 * m, dtype=np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends), pa.py_buffer(data)]),
-                     pa.array(n, pa.int64())], ["key", "a"])
+                for k in range(0, len(rows), SENT):  # the JVM takes a batch in whole
+                    data = np.ascontiguousarray(rows[k:k + SENT])
+                    ends = np.arange(0, 8 * m * len(data) + 1, 8 * m, dtype=np.int32)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.Array.from_buffers(pa.binary(), len(data), [None, pa.py_buffer(ends), pa.py_buffer(data)]),
+                         pa.array(n[k:k + SENT], pa.int64())], ["key", "a"])
 
     return coded.mapInArrow(run, "key binary, a bigint").groupBy("key").agg(F.sum("a").alias("a"))
 
