@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -310,3 +310,32 @@ def distinct_values(df: DataFrame, col: str, by: By = "date") -> DataFrame:
     d = df.select(*keys, col).where(F.col(col).isNotNull()).distinct()
     return group(d, keys).agg(F.count(F.lit(1)).alias(f"nb_{col}"),
                               F.array_sort(F.collect_list(col)).alias(f"{col}s"))
+
+
+def value_chunks(df: DataFrame, col: str, size: int, by: By = "date") -> DataFrame:
+    """E4/G15 without a limit on the number of values: the sorted distinct
+    non-null values of a group in rows of ``size`` (``morceau`` from 0, the last
+    one shorter), with the chunk's and the group's exact counts.
+
+    No row and no task holds a group's values: distinct (group, value) pairs
+    are range-partitioned and sorted, so a large group spans partitions; they
+    are checkpointed (the positions below rest on that partitioning), and a
+    value's rank is its position in its partition plus the group's values in
+    the partitions before, of which there is one row a partition and group."""
+    keys = by_list(by)
+    pairs = df.select(*keys, F.col(col).alias("_v")).where("_v is not null").distinct()
+    placed = pairs.repartitionByRange(*keys, "_v").sortWithinPartitions(*keys, "_v") \
+        .withColumn("_pid", F.spark_partition_id()).withColumn("_pos", F.monotonically_increasing_id()).checkpoint()
+    parts = placed.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
+    group_parts = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    offsets = parts.select(
+        F.col("_pid").alias("_p"), *(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), "_first",
+        F.sum("_n").over(group_parts).alias("nb_total"),
+        (F.sum("_n").over(group_parts.orderBy("_pid")) - F.col("_n")).alias("_before"))
+    same = F.col("_pid") == F.col("_p")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    ranked = placed.join(offsets, same).withColumn(
+        "morceau", F.floor((F.col("_before") + F.col("_pos") - F.col("_first")) / size).cast("bigint"))
+    return ranked.groupBy(*keys, "morceau").agg(
+        F.count(F.lit(1)).alias("nb"), F.max("nb_total").alias("nb_total"), F.array_sort(F.collect_list("_v")).alias("valeurs"))

@@ -142,7 +142,8 @@ def replace_partitions(spark: SparkSession, df: DataFrame, table: str, values: S
     ``values`` (of any kind) that ``df`` has no rows of are cleared."""
     listed = sorted(set(values))
     seen = Observation()
-    wanted = F.when(F.col(key).isin(listed), F.col(key))
+    text = F.col(key).cast("string")
+    wanted = F.when(text.isin(listed), text)
     _insert(spark, df.observe(seen, F.collect_set(wanted).alias("values")), table, overwrite=True)
     for v in sorted(set(listed) - _observed(seen, "values")):
         _clear(spark, table, key, v)
