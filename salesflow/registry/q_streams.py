@@ -7,7 +7,7 @@ from salesflow.registry.q_sources import drop_folder, put_file
 from salesflow.session import scratch_path, unique_table
 from salesflow.sinks import ensure_table, write_csv
 from salesflow.streaming import (daily_kpi_stream, event_counts_stream, event_log_stream, file_stream,
-                                 ingest_arrivals, sync_inbox)
+                                 ingest_arrivals, late_events, sync_inbox, whole_events_stream)
 from salesflow.views import table, ventes
 
 ARRIVAL_SCHEMA = "date string, vendeur string, montant decimal(18,2), l_orderkey bigint"
@@ -108,3 +108,44 @@ def l3_event_log(spark, sf_dir):
     event_log_stream(spark, _events_stream(spark, sf_dir), target, ckpt)
     log = event_log_stream(spark, _events_stream(spark, sf_dir), target, ckpt)
     return log.select("event_id", "date", "event_type", "value")
+
+
+# the second delivery: events of one type, and those of another once more
+_SECOND, _TWICE = "event_type = 'purchase'", "event_type = 'view'"
+
+
+def _late_stream(spark, sf_dir):
+    """Events in two deliveries, the second out of order and with repeats."""
+    events = table(spark, sf_dir, "events")
+    inbox, folder, days = scratch_path(spark, "late-in"), scratch_path(spark, "late"), unique_table("days")
+
+    def take():
+        whole_events_stream(spark, file_stream(spark, inbox, events.schema), folder, days)
+    events.where(f"not ({_SECOND})").write.mode("append").parquet(inbox)
+    take()
+    events.where(f"{_SECOND} or {_TWICE}").unionByName(events.where(_SECOND)).write.mode("append").parquet(inbox)
+    take()
+    take()
+    return folder, days, events.schema
+
+
+_LATE_SQL = f"""
+w AS (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 DAY AS mark FROM events WHERE NOT ({_SECOND})),
+e AS (SELECT events.*, strftime(ts, '%Y-%m-%d') AS date, {_SECOND} AND ts <= mark AS late FROM events, w)"""
+
+
+@register("l2_whole_days", f"""WITH {_LATE_SQL}
+SELECT date, count(*) AS nb_evenements, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS valeur_totale,
+       count(*) FILTER (WHERE late) AS nb_tardifs FROM e GROUP BY date""")
+def l2_whole_days(spark, sf_dir):
+    """Days of a stream with late and repeated events: equal to the batch."""
+    _, days, _ = _late_stream(spark, sf_dir)
+    return spark.table(days).select("date", "nb_evenements", "valeur_totale", "nb_tardifs")
+
+
+@register("l3_late_events", f"""WITH {_LATE_SQL}
+SELECT event_id, date, event_type, value FROM e WHERE late""")
+def l3_late_events(spark, sf_dir):
+    """The side table of events behind the watermark, each once."""
+    folder, _, schema = _late_stream(spark, sf_dir)
+    return late_events(spark, schema, folder).select("event_id", "date", "event_type", "value")
