@@ -19,7 +19,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 _ORACLE: dict[str, str] = {}
 _MODULES = ("kpis", "quality", "enrich", "reports", "consolidate", "monitoring",
-            "sources", "sinks", "functions", "streams", "jobs", "digests", "ledger")
+            "sources", "sinks", "functions", "streams", "jobs", "digests", "ledger", "ids")
 _loaded = False
 
 
