@@ -13,26 +13,46 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesflow.session import unique_table
+from salesflow.session import scratch_path, unique_table
 from salesflow.sinks.tables import MONTH
 from salesflow.views import table, ventes
 
+#: Bytes of a stored fact table that a bucket holds at most, as its files have them.
+BUCKET_BYTES = 16 << 20
 FACT_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
 
 
 def bucket_facts(spark: SparkSession, sf_dir: str, prefix: str, buckets: int | None = None) -> dict[str, DataFrame]:
     """Store the fact tables as ``<prefix>_lineitem`` and ``<prefix>_orders``.
 
-    ``buckets`` (default: the shuffle partitions) bounds the parallelism of the
-    join: choose it so that a bucket of the larger table fits a task's memory.
-    Rows are dealt out by key before the write, so that a bucket is one file."""
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ``buckets`` bounds the parallelism of the join.  By default they grow with
+    the tables (the shuffle partitions, or more, so that a bucket of the larger
+    one has ``BUCKET_BYTES``) and a bucket is sorted in a task's memory.
+    Rows are dealt out by key before the write, so that a bucket is one file;
+    the writer sorts it."""
+    n = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-_bytes(spark, sf_dir) // BUCKET_BYTES))
     for name, key in FACT_KEYS.items():
-        (table(spark, sf_dir, name).repartition(n, key).sortWithinPartitions(key)
+        (table(spark, sf_dir, name).repartition(n, key)
          .write.bucketBy(n, key).sortBy(key).saveAsTable(f"{prefix}_{name}"))
     return {name: spark.table(f"{prefix}_{name}") for name in FACT_KEYS}
 
 
+def _bytes(spark: SparkSession, sf_dir: str) -> int:
+    """Bytes of the larger fact table's files."""
+    return max(spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+               .load(f"{sf_dir.rstrip('/')}/{t}.parquet").agg(F.coalesce(F.sum("length"), F.lit(0)).alias("n")).first()["n"]
+               for t in FACT_KEYS)
+
+
+def by_day(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """Rows with a ``date``, computed once and written with those of a day
+    together, sorted by date: what reads them lists a day's row groups only, and
+    loads them by day without a shuffle (``replace_days(grouped=True)``)."""
+    path = scratch_path(spark, "jours")
+    rows.hint("rebalance", "date").sortWithinPartitions("date").write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def load_sales(spark: SparkSession, sf_dir: str, facts: dict[str, DataFrame], name: str) -> DataFrame:
     """Load ``ventes`` from stored fact tables, partitioned by month.  The table
     appears when the load is whole."""

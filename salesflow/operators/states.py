@@ -72,8 +72,8 @@ def apply_delta(spark: SparkSession, added: DataFrame | None, removed: DataFrame
     mine = F.col("lot") == lot
     before = [r["date"] for r in spark.table(states).where(mine).select("date").distinct().toLocalIterator()]
     delta = merge_states(*parts) if len(parts) == 1 else _net(*parts)
-    delta = delta.where("date is not null").withColumn("lot", F.lit(lot))
-    replace_partitions(spark, delta.sortWithinPartitions("date"), states, [lot], "lot")
+    delta = delta.where("date is not null").withColumn("lot", F.lit(lot)).sortWithinPartitions("lot", "date")
+    replace_partitions(spark, delta, states, [lot], "lot", grouped=True)  # one partition: nothing to bring together
     after = [r["date"] for r in spark.table(states).where(mine).select("date").distinct().toLocalIterator()]
     days = sorted({*before, *after})  # bounded by the calendar
     touched = spark.createDataFrame([(d,) for d in days], "date string")

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from salesflow.layout import by_day
 from salesflow.operators import kpis as K
 from salesflow.operators import quality as Q
 from salesflow.operators.enrich import with_lineage
@@ -72,10 +73,11 @@ FROM ventes, b
 WHERE date <> d1 AND (date <> d0 OR l_linestatus = 'F')""")
 def b4_replace_day(spark, sf_dir):
     """Load every day twice (idempotent), then replace the first day with
-    its finished lines only and the last day with nothing (cleared)."""
-    v = ventes(spark, sf_dir)
-    name = load_ventes_table(spark, sf_dir)
-    replace_days(spark, v.select(*VENTES_COLS), name)
+    its finished lines only and the last day with nothing (cleared).  The
+    sales are joined and grouped by day once."""
+    v = by_day(spark, ventes(spark, sf_dir).select(*VENTES_COLS, "l_linestatus"))
+    name = load_ventes_table(spark, sf_dir, rows=v)
+    replace_days(spark, v.select(*VENTES_COLS), name, grouped=True)
     d0, d1 = v.agg(F.min("date"), F.max("date")).first()
     replace_day(spark, v.where((F.col("date") == d0) & (F.col("l_linestatus") == "F"))
                 .select(*VENTES_COLS), name, d0)
@@ -135,7 +137,7 @@ def b5_state_deltas(spark, sf_dir):
     rows that are left."""
     states, kpis = unique_table("states"), unique_table("kpis")
     ensure_table(spark, kpis, KPI_SCHEMA, partition=MONTH)
-    v = ventes(spark, sf_dir)
+    v = by_day(spark, ventes(spark, sf_dir).select("date", "produit", "vendeur", "montant", "l_linenumber", "l_returnflag"))
     late, back = F.col("l_linenumber") == 2, (F.col("l_returnflag") == "R") & (F.col("l_linenumber") < 4)
     apply_delta(spark, v.where(~late), None, states, kpis, "a", OBJECTIF)
     apply_delta(spark, v.where(late), None, states, kpis, "b", OBJECTIF)

@@ -150,12 +150,13 @@ def a3_unreadable(spark, sf_dir):
     return read.union(left)
 
 
-def load_ventes_table(spark, sf_dir, name=None):
-    """ventes -> a date-partitioned warehouse table (B2 + B4 many days)."""
+def load_ventes_table(spark, sf_dir, name=None, rows=None):
+    """ventes -> a date-partitioned warehouse table (B2 + B4 many days);
+    ``rows``: the sales as they lie by day."""
     name = name or unique_table("ventes")
     ensure_table(spark, name, VENTES_DDL)
-    v = ventes(spark, sf_dir).select(*[c.split()[0] for c in VENTES_DDL.split(", ")])
-    replace_days(spark, v, name)
+    v = (ventes(spark, sf_dir) if rows is None else rows).select(*[c.split()[0] for c in VENTES_DDL.split(", ")])
+    replace_days(spark, v, name, grouped=rows is not None)
     return name
 
 

@@ -78,8 +78,9 @@ def _partition_key(spark: SparkSession, table: str) -> str | None:
     return cols[0].name if cols else None
 
 
-def _insert(spark: SparkSession, df: DataFrame, table: str, overwrite: bool) -> None:
-    """Append, or replace the partitions that ``df`` has rows of.  The
+def _insert(spark: SparkSession, df: DataFrame, table: str, overwrite: bool, grouped: bool = False) -> None:
+    """Append, or replace the partitions that ``df`` has rows of.  ``grouped``:
+    its rows lie by partition value already and are not shuffled again.  The
     overwrite mode must be dynamic for that: ``get_spark`` sets it once; a
     session without it is set here and stays so (switching back and forth
     would race with another load of the session)."""
@@ -87,7 +88,7 @@ def _insert(spark: SparkSession, df: DataFrame, table: str, overwrite: bool) ->
         spark.conf.set(_DYNAMIC, "dynamic")
     data = _by_name(spark, df, table)
     key = _partition_key(spark, table)
-    if key:
+    if key and not grouped:
         data = for_partitioned_write(data, key)
     data.write.insertInto(table, overwrite=overwrite)
 
@@ -122,29 +123,31 @@ def replace_day(spark: SparkSession, df: DataFrame, table: str, ds: str,
 
 
 def replace_days(spark: SparkSession, df: DataFrame, table: str,
-                 days: Sequence[str] | None = None, key: str = "date") -> None:
+                 days: Sequence[str] | None = None, key: str = "date", grouped: bool = False) -> None:
     """B4, many days in one job: dynamic partition overwrite replaces the
     days present in ``df`` and leaves the others.  Days listed in
     ``days`` but absent from ``df`` are cleared too: each gets a static
     overwrite with no rows, which deletes its files.
 
     Which listed days had rows is observed during the write (a set bounded
-    by ``days``), so the input is evaluated once."""
+    by ``days``), so the input is evaluated once.  ``grouped`` says that the
+    rows of a day lie together already (``layout.by_day``, a table by day):
+    they are written where they are read, without a shuffle."""
     if not days:
-        _insert(spark, df, table, overwrite=True)
+        _insert(spark, df, table, overwrite=True, grouped=grouped)
         return
-    replace_partitions(spark, df, table, [_day(d) for d in days], key)
+    replace_partitions(spark, df, table, [_day(d) for d in days], key, grouped)
 
 
 def replace_partitions(spark: SparkSession, df: DataFrame, table: str, values: Sequence[str],
-                       key: str) -> None:
+                       key: str, grouped: bool = False) -> None:
     """Partitions present in ``df`` are replaced, those of the listed
     ``values`` (of any kind) that ``df`` has no rows of are cleared."""
     listed = sorted(set(values))
     seen = Observation()
     text = F.col(key).cast("string")
     wanted = F.when(text.isin(listed), text)
-    _insert(spark, df.observe(seen, F.collect_set(wanted).alias("values")), table, overwrite=True)
+    _insert(spark, df.observe(seen, F.collect_set(wanted).alias("values")), table, overwrite=True, grouped=grouped)
     for v in sorted(set(listed) - _observed(seen, "values")):
         _clear(spark, table, key, v)
 
