@@ -117,26 +117,27 @@ def validate_testable(df: DataFrame, allowed: DataFrame | None, by: By = "date",
     """E6, step-9 rule set: nulls, empty, non-positive amounts, unknown
     sellers.  Output per date: valid, erreurs (array), nb_lignes.
 
-    One pass: the rows are joined to the (distinct) domain, then a single
-    aggregation counts rows, missing cells and non-positive amounts and
-    collects the distinct unknown values (a set per date, folded
-    map-side).  ``expected`` (the dates that should have rows) adds the
+    One pass: rows of a date, a value and two flags are joined to the
+    (distinct) domain; counts are taken per date and unknown value (known
+    rows fold to one per date and task), then per date, which collects the
+    values: only unknown ones are held, no row is sorted.  ``expected`` (the dates that should have rows) adds the
     dates without any, which fail as empty."""
     keys = by_list(by)
-    nulls = null_cells_expr(df)
+    narrow = df.select(*keys, F.col(col).alias("_value"), null_cells_expr(df).alias("_nulls"),
+                       (F.col(amount) <= 0).alias("_neg"))
+    unknown = F.lit(None).cast("string")
     if allowed is not None:
         dom = allowed.select(F.col(allowed.columns[0]).alias("_dom")).distinct() \
                      .withColumn("_known", F.lit(True))
-        rows = df.join(dom, df[col] == dom["_dom"], "left")
-        unknown = F.collect_set(F.when(F.col("_known").isNull(),
-                                       F.coalesce(F.col(col), F.lit("None"))))
-    else:
-        rows, unknown = df, F.array().cast("array<string>")
-    stats = group(rows, keys).agg(
-        F.count(F.lit(1)).alias("nb_lignes"),
-        F.sum(nulls).cast("bigint").alias("nb_nulls"),
-        F.count_if(F.col(amount) <= 0).alias("nb_neg"),
-        F.array_sort(unknown).alias("inconnus"))
+        narrow = narrow.join(dom, narrow["_value"] == dom["_dom"], "left")
+        unknown = F.when(F.col("_known").isNull(), F.coalesce(F.col("_value").cast("string"), F.lit("None")))
+    per = narrow.withColumn("_unknown", unknown).groupBy(*keys, "_unknown").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("_nulls").alias("_nulls"), F.count_if("_neg").alias("_neg"))
+    stats = group(per, keys).agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("nb_lignes"),
+        F.sum("_nulls").cast("bigint").alias("nb_nulls"),
+        F.coalesce(F.sum("_neg"), F.lit(0)).alias("nb_neg"),
+        F.array_sort(F.collect_set("_unknown")).alias("inconnus"))
     stats = _with_expected(stats, expected, keys, {"nb_lignes": 0, "nb_nulls": 0, "nb_neg": 0})
     stats = stats.withColumn("inconnus", F.coalesce("inconnus", F.array().cast("array<string>")))
     errs = _errors(
@@ -225,11 +226,14 @@ def require_valid(report: DataFrame, valid: str = "valid", errors: str = "erreur
 
 
 def quarantine(df: DataFrame, report: DataFrame, by: By = "date",
-               valid: str = "valid") -> tuple[DataFrame, DataFrame]:
+               valid: str = "valid", bounded: bool = False) -> tuple[DataFrame, DataFrame]:
     """E8, batch form: split rows into (accepted, rejected) by the report
-    of their date, without stopping the whole history for one bad day."""
+    of their date, without stopping the whole history for one bad day.
+    ``bounded``: the report has few groups (days), which go to the rows, so
+    that these stay where they are."""
     keys = by_list(by)
     ok = report.where(F.col(valid)).select(*keys)
+    ok = F.broadcast(ok) if bounded else ok
     return df.join(ok, keys, "left_semi"), df.join(ok, keys, "left_anti")
 
 

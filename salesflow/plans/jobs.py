@@ -11,7 +11,8 @@ tomorrow's run finds today's history (none: fresh tables), and ``days``,
 the run dates: a run date without (valid) rows is cleared, so a replay
 gives the state of a first run.  ``gate`` says what an invalid day does:
 ``"quarantine"`` keeps it out of the clean layer, ``"stop"`` raises with
-the full report written out.
+the full report written out.  ``grouped``: the rows of a day lie together
+(``layout.by_day``), so that a load by day needs no shuffle.
 """
 
 from __future__ import annotations
@@ -60,10 +61,10 @@ def _tables(prefix: str | None, *names: str) -> list[str]:
     return [f"{prefix}_{n}" for n in names]
 
 
-def _load(spark: SparkSession, df: DataFrame, table: str, ddl: str, days: Days) -> DataFrame:
+def _load(spark: SparkSession, df: DataFrame, table: str, ddl: str, days: Days, grouped: bool = False) -> DataFrame:
     """B2 + B4: the columns of ``ddl`` into their table; those days of it."""
     ensure_table(spark, table, ddl)
-    replace_days(spark, df.select(*_ddl_cols(ddl)), table, days=days)
+    replace_days(spark, df.select(*_ddl_cols(ddl)), table, days=days, grouped=grouped)
     return _run_days(spark.table(table), days)
 
 
@@ -78,7 +79,7 @@ def _gate(rows: DataFrame, report: DataFrame, gate: str) -> DataFrame:
         return rows
     if gate != "quarantine":
         raise ValueError("gate is 'stop' or 'quarantine'")
-    return Q.quarantine(rows, report)[0]
+    return Q.quarantine(rows, report, bounded=True)[0]  # a report has a row a day
 
 
 def simple_etl(spark: SparkSession, raw: DataFrame, out: str,
@@ -237,7 +238,7 @@ def region_fanout(spark: SparkSession, sales: DataFrame, targets: DataFrame,
 
 def multi_source(spark: SparkSession, api: DataFrame, files_folder: str, files_schema: str,
                  file_prefix: str = "region_", file_suffix: str = ".csv", prefix: str | None = None,
-                 days: Days = None) -> tuple[DataFrame, DataFrame]:
+                 days: Days = None, grouped: bool = False) -> tuple[DataFrame, DataFrame]:
     """API rows (with fallback already applied) and the region files
     ``<file_prefix>*<file_suffix>`` of a folder replace their days in their
     tables, the long consolidated view is rebuilt from the tables for these
@@ -245,7 +246,7 @@ def multi_source(spark: SparkSession, api: DataFrame, files_folder: str, files_s
     matching file: the API rows alone.  Returns (consolidated view, totals)."""
     api_t, files_t, cons_t = _tables(prefix, "source_api", "source_fichiers", "consolide")
     mine = _load(spark, api, api_t, "date string, vendeur string, produit string, "
-                                    "montant decimal(18,2), source string", days)
+                                    "montant decimal(18,2), source string", days, grouped)
     files = read_many(spark, files_folder, files_schema, prefix=file_prefix, suffix=file_suffix)
     files = spark.createDataFrame([], files_schema) if files is None else files.drop("_file")
     regions = _load(spark, files, files_t, "date string, region string, ca_region decimal(18,2), "
@@ -291,7 +292,7 @@ def monitored_etl(spark: SparkSession, sales: DataFrame, allowed: DataFrame, sta
 
 def testable_etl(spark: SparkSession, sales: DataFrame, allowed: DataFrame,
                  edges: Sequence[float] = DEFAULT_EDGES, prefix: str | None = None, days: Days = None,
-                 gate: str = "quarantine") -> tuple[DataFrame, DataFrame]:
+                 gate: str = "quarantine", grouped: bool = False) -> tuple[DataFrame, DataFrame]:
     """Validation gate, transform (margin, rate, size class, title
     case), idempotent load, step-9 KPIs of the loaded table.  Returns
     (validation, KPIs)."""
@@ -300,7 +301,7 @@ def testable_etl(spark: SparkSession, sales: DataFrame, allowed: DataFrame,
     t = En.transform_testable(_gate(sales, report, gate), edges=edges)
     _load(spark, t, table, "date string, produit string, vendeur string, quantite int, "
                            "montant decimal(18,2), marge decimal(18,2), taux_marge double, "
-                           "taille_vente string", days)
+                           "taille_vente string", days, grouped)
     return report, K.kpis_basic(spark.table(table))
 
 
@@ -308,7 +309,7 @@ def final_etl(spark: SparkSession, raw: DataFrame | str, objectif: float = 50000
               edges: Sequence[float] = DEFAULT_EDGES, n_latest: int = 10,
               stages: DataFrame | None = None, targets: DataFrame | None = None,
               source: str = "SOURCE_PRINCIPALE", prefix: str | None = None, days: Days = None,
-              gate: str = "quarantine") -> dict[str, DataFrame]:
+              gate: str = "quarantine", grouped: bool = False) -> dict[str, DataFrame]:
     """Read (a frame, or a CSV folder), raw load, validation gate,
     strategy label, enrichment, idempotent clean load, final KPIs with the
     run's total duration (``stages``: date, stage, seconds), keyed upsert,
@@ -321,7 +322,7 @@ def final_etl(spark: SparkSession, raw: DataFrame | str, objectif: float = 50000
     cols = [c for c in _ddl_cols(VENTES_DDL) if c != "charge_le"]
     if isinstance(raw, str):
         raw = read_csv(spark, raw, VENTES_DDL.rsplit(", ", 1)[0])
-    loaded = _load(spark, En.with_lineage(raw), raw_t, VENTES_DDL, days)  # read once, judged from the table
+    loaded = _load(spark, En.with_lineage(raw), raw_t, VENTES_DDL, days, grouped)  # read once, judged from the table
     report = Q.validate_final(loaded.select(*cols), min_lignes)
     accepted = _gate(loaded, report, gate)
     strategy = Ro.choose_strategy(accepted, objectif)

@@ -3,11 +3,12 @@
 from pyspark.sql import functions as F
 
 from salesflow.functions.text import code_key
+from salesflow.layout import by_day
 from salesflow.plans import jobs as J
 from salesflow.registry import register
 from salesflow.registry._sql import (EDGES, MIN_LIGNES, OBJECTIF, W, WB, bucket_sql, snap, title_sql,
                                      top_sql)
-from salesflow.registry.q_consolidate import API_SQL, api_rows, region_files
+from salesflow.registry.q_consolidate import API_COLS, API_SQL, api_rows, region_files
 from salesflow.registry.q_enrich import SELLER_YEARS_SQL, ROUTE_LIMITS, seller_years
 from salesflow.registry.q_kpis import _G7_SQL, CONSOLIDATED_LIMITS, g6_sql
 from salesflow.registry.q_monitoring import METRICS_SQL, SLA_LIMITS, run_metrics_from_events
@@ -25,10 +26,13 @@ b AS (SELECT min(date) AS d0, max(date) AS d1 FROM ventes),
 vc AS (SELECT v.* FROM ventes v, b WHERE date NOT IN (d0, d1) OR (date = d1 AND l_linenumber = 1))"""
 
 
-def replay(spark, sf_dir, run, rows=ventes):
+def replay(spark, sf_dir, run, rows=ventes, land=False):
     """``run(rows, days)`` on everything, twice on the two corrected days;
-    the last result."""
+    the last result.  ``land``: the rows are joined once and lie by day, for
+    jobs that read them more than once in a run."""
     v = rows(spark, sf_dir)
+    if land:
+        v = by_day(spark, v)
     d0, d1 = lines(spark, sf_dir).agg(F.min("date"), F.max("date")).first()
     corrected = v.where((F.col("date") == d1) & (F.col("l_linenumber") == 1))
     run(v, None)
@@ -236,15 +240,14 @@ FROM (SELECT date, sum(ca) FILTER (WHERE dimension = 'vendeur') AS t FROM cons G
 def n11_multi_source(spark, sf_dir):
     """Replay with sellers removed from the last day, the first day gone;
     region files as Spark writes them, under a prefix that is a parameter."""
-    prefix = unique_table("n11")
+    prefix, v = unique_table("n11"), by_day(spark, ventes(spark, sf_dir).select(*API_COLS))
 
     def run(rows, days):
         folder = scratch_path(spark, "n11")
-        files = region_files(spark, sf_dir)
-        files = files.where(F.col("date") == days[1]) if days else files
+        files = region_files(spark, sf_dir, v.where(F.col("date") == days[1]) if days else v)
         write_csv(files.coalesce(1) if days else files, f"{folder}/region_toutes.csv")
         return J.multi_source(spark, rows, folder, REGION_SCHEMA, file_prefix="part-", prefix=prefix, days=days)
-    view, total = replay(spark, sf_dir, run, api_rows)
+    view, total = replay(spark, sf_dir, run, lambda spark, sf_dir: api_rows(spark, sf_dir, v))
     text = F.lit(None).cast("string")
     return view.select(F.lit("vue").alias("couche"), "date", "dimension", "valeur",
                        F.col("ca").cast("double").alias("ca"), "source").unionByName(
@@ -347,7 +350,7 @@ GROUP BY d.date""")
 def n13_testable_etl(spark, sf_dir):
     prefix, ok = unique_table("n13"), vendeurs_valides(spark, sf_dir)
     return replay(spark, sf_dir, lambda rows, days: J.testable_etl(
-        spark, rows, ok, EDGES, prefix, days))[1]
+        spark, rows, ok, EDGES, prefix, days, grouped=True), land=True)[1]
 
 
 N14 = _G7_SQL.replace(W, VC).replace(
@@ -367,8 +370,8 @@ def _n14(spark, sf_dir):
                 F.struct(F.lit("load").alias("stage"), F.col("b").cast("double").alias("seconds")))).alias("x")) \
             .select("date", "x.*")
         return J.final_etl(spark, rows, OBJECTIF, MIN_LIGNES, EDGES, stages=stages, targets=targets,
-                           prefix=prefix, days=days)
-    return replay(spark, sf_dir, run)
+                           prefix=prefix, days=days, grouped=True)
+    return replay(spark, sf_dir, run, land=True)
 
 
 @register("n14_final_etl", N14 + f""",
