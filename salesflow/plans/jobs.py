@@ -72,14 +72,14 @@ def _run_days(df: DataFrame, days: Days) -> DataFrame:
     return df.where(F.col("date").isin(list(days))) if days else df
 
 
-def _gate(rows: DataFrame, report: DataFrame, gate: str) -> DataFrame:
+def _gate(rows: DataFrame, report: DataFrame, gate: str, grouped: bool = False) -> DataFrame:
     """The rows that pass; ``"stop"`` raises if a day does not."""
     if gate == "stop":
         Q.require_valid(report)
         return rows
     if gate != "quarantine":
         raise ValueError("gate is 'stop' or 'quarantine'")
-    return Q.quarantine(rows, report, bounded=True)[0]  # a report has a row a day
+    return Q.quarantine(rows, report, bounded=grouped)[0]  # a report has a row a day
 
 
 def simple_etl(spark: SparkSession, raw: DataFrame, out: str,
@@ -238,7 +238,7 @@ def region_fanout(spark: SparkSession, sales: DataFrame, targets: DataFrame,
 
 def multi_source(spark: SparkSession, api: DataFrame, files_folder: str, files_schema: str,
                  file_prefix: str = "region_", file_suffix: str = ".csv", prefix: str | None = None,
-                 days: Days = None, grouped: bool = False) -> tuple[DataFrame, DataFrame]:
+                 days: Days = None) -> tuple[DataFrame, DataFrame]:
     """API rows (with fallback already applied) and the region files
     ``<file_prefix>*<file_suffix>`` of a folder replace their days in their
     tables, the long consolidated view is rebuilt from the tables for these
@@ -246,7 +246,7 @@ def multi_source(spark: SparkSession, api: DataFrame, files_folder: str, files_s
     matching file: the API rows alone.  Returns (consolidated view, totals)."""
     api_t, files_t, cons_t = _tables(prefix, "source_api", "source_fichiers", "consolide")
     mine = _load(spark, api, api_t, "date string, vendeur string, produit string, "
-                                    "montant decimal(18,2), source string", days, grouped)
+                                    "montant decimal(18,2), source string", days)
     files = read_many(spark, files_folder, files_schema, prefix=file_prefix, suffix=file_suffix)
     files = spark.createDataFrame([], files_schema) if files is None else files.drop("_file")
     regions = _load(spark, files, files_t, "date string, region string, ca_region decimal(18,2), "
@@ -298,7 +298,7 @@ def testable_etl(spark: SparkSession, sales: DataFrame, allowed: DataFrame,
     (validation, KPIs)."""
     (table,) = _tables(prefix, "ventes_testable")
     report = Q.validate_testable(sales, allowed)
-    t = En.transform_testable(_gate(sales, report, gate), edges=edges)
+    t = En.transform_testable(_gate(sales, report, gate, grouped), edges=edges)
     _load(spark, t, table, "date string, produit string, vendeur string, quantite int, "
                            "montant decimal(18,2), marge decimal(18,2), taux_marge double, "
                            "taille_vente string", days, grouped)
@@ -309,7 +309,7 @@ def final_etl(spark: SparkSession, raw: DataFrame | str, objectif: float = 50000
               edges: Sequence[float] = DEFAULT_EDGES, n_latest: int = 10,
               stages: DataFrame | None = None, targets: DataFrame | None = None,
               source: str = "SOURCE_PRINCIPALE", prefix: str | None = None, days: Days = None,
-              gate: str = "quarantine", grouped: bool = False) -> dict[str, DataFrame]:
+              gate: str = "quarantine") -> dict[str, DataFrame]:
     """Read (a frame, or a CSV folder), raw load, validation gate,
     strategy label, enrichment, idempotent clean load, final KPIs with the
     run's total duration (``stages``: date, stage, seconds), keyed upsert,
@@ -322,7 +322,7 @@ def final_etl(spark: SparkSession, raw: DataFrame | str, objectif: float = 50000
     cols = [c for c in _ddl_cols(VENTES_DDL) if c != "charge_le"]
     if isinstance(raw, str):
         raw = read_csv(spark, raw, VENTES_DDL.rsplit(", ", 1)[0])
-    loaded = _load(spark, En.with_lineage(raw), raw_t, VENTES_DDL, days, grouped)  # read once, judged from the table
+    loaded = _load(spark, En.with_lineage(raw), raw_t, VENTES_DDL, days)  # read once, judged from the table
     report = Q.validate_final(loaded.select(*cols), min_lignes)
     accepted = _gate(loaded, report, gate)
     strategy = Ro.choose_strategy(accepted, objectif)
